@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tessellar.common import table
+from tessellar.llm import langid as G
 from tessellar.llm import leakage as L
 
 
@@ -19,5 +20,15 @@ def p6_items(spark: SparkSession, d: str) -> DataFrame:
     return L.leaked_items(L.leaked(table(spark, d, "documents"), items), items)
 
 
-QUERIES = {"p6_found": p6_found, "p6_items": p6_items}
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    """Language stretches of documents whose label is absent or wrong or too simple."""
+    return G.label_faults(G.language_stretches(table(spark, d, "documents"))).select("doc_id", "seg_no", "lang")
+
+
+def p8_stretches(spark: SparkSession, d: str) -> DataFrame:
+    """Every language stretch of every document, with its confidence."""
+    return G.language_stretches(table(spark, d, "documents")).drop("n_segs")
+
+
+QUERIES = {"p6_found": p6_found, "p6_items": p6_items, "p8_found": p8_found, "p8_stretches": p8_stretches}
 ORACLES: dict[str, str] = {}
