@@ -2,11 +2,95 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tessellar.common import table
+from tessellar.common import cut, join_sized, shared_dir, table
+from tessellar.functions.urls import tidy_url
 from tessellar.llm import langid as G
 from tessellar.llm import leakage as L
+from tessellar.llm import ledger as E
+from tessellar.llm import mixing as M
+from tessellar.llm import sketches as S
+from tessellar.operators.record_filter import has_probability, load_filter
+
+#: Record filters are configuration: more than this are refused.
+MOST_FILTERS = 1000
+
+
+def _capture_states(spark: SparkSession, d: str) -> DataFrame:
+    """(day, tld, mime, field, bucket, bits) of digests and hosts, and of tlds per day under field 'tld'."""
+    urls = table(spark, d, "cc_urls").select("captured_at", "host", "mime", "digest")
+    hosts = table(spark, d, "cc_hosts").where("id IS NOT NULL").groupBy(F.col("id").alias("host")).agg(F.min("tld").alias("tld"))
+    mimes = table(spark, d, "cc_mimes").where("id IS NOT NULL").groupBy(F.col("id").alias("mime")).agg(F.min("name").alias("mime_name"))
+    rows = join_sized(urls, hosts, ["host"], "left", salt_by=["digest", "captured_at"])
+    rows = join_sized(rows, mimes, ["mime"], "left", salt_by=["digest", "captured_at"])
+    tld = S.tidy_label(F.col("tld"))
+    groups = {"day": F.to_date("captured_at"), "tld": tld, "mime": S.tidy_label(F.col("mime_name"))}
+    return S.sketch(rows, groups, {"digest": S.tidy_digest(F.col("digest")), "host": F.col("host"), "tld": F.when(tld != S.NONE, tld)})
+
+
+def p4_distinct(spark: SparkSession, d: str) -> DataFrame:
+    """Distinct digests and hosts for each day, tld and mime, for their unions, and distinct tlds per day, with standard error and bounds.
+
+    A null in day, tld or mime stands for the union over all its values; '(none)' for captures without one.
+    """
+    groups = ["day", "tld", "mime"]
+    states = _capture_states(spark, d)
+    sets = [groups, ["day", "tld"], ["day", "mime"], ["tld", "mime"], ["day"], ["tld"], ["mime"], []]
+    out = S.estimate(S.unions(states.where("field <> 'tld'"), groups, sets), groups)
+    tlds = S.estimate(S.merge(states.where("field = 'tld'"), ["day"]), ["day"])
+    return out.unionByName(tlds.select("day", F.lit(None).cast("string").alias("tld"), F.lit(None).cast("string").alias("mime"), "field", "n_distinct", "std_error", "low", "high"))
+
+
+def p4_states(spark: SparkSession, d: str) -> DataFrame:
+    """Size of the mergeable states per day: buckets in use and bits set."""
+    return _capture_states(spark, d).groupBy("day", "field").agg(F.count(F.lit(1)).alias("n_buckets"), F.sum(F.bit_count("bits")).alias("n_bits"))
+
+
+def _strata(spark: SparkSession, d: str) -> tuple[DataFrame, dict[str, float], list[int]]:
+    """Keys by first epoch, rates, and epochs: months of loaded_at, counted as year * 12 + month."""
+    confs = table(spark, d, "record_filters").where("filter_json IS NOT NULL").orderBy("filter_name").limit(MOST_FILTERS + 1).collect()
+    if len(confs) > MOST_FILTERS:
+        raise ValueError(f"more than {MOST_FILTERS} filters")
+    urls = table(spark, d, "cc_urls").select("url", "mime", "detected_mime", "status", "loaded_at")
+    names = lambda t, key, out: table(spark, d, t).where("id IS NOT NULL").groupBy(F.col("id").alias(key)).agg(F.min("name").alias(out))
+    rows = join_sized(urls, names("cc_mimes", "mime", "mime_name"), ["mime"], "left", salt_by=["url"])
+    rows = join_sized(rows, names("cc_detected_mimes", "detected_mime", "detected_name"), ["detected_mime"], "left", salt_by=["url"])
+    rates: dict[str, float] = {}
+    strata = []
+    for c in confs:
+        if not has_probability(c["filter_json"]):
+            continue
+        f = load_filter(c["filter_json"])
+        rates |= {f"{c['filter_name']}|{k}": v for k, v in f.rates().items()}
+        strata.append(F.concat(F.lit(c["filter_name"] + "|"), f.stratum(F.col("status"), F.col("mime_name"), F.col("detected_name"))))
+    if not strata:
+        strata = [F.lit(None).cast("string")]
+    url = tidy_url(F.col("url"))
+    flat = rows.select(F.when(url != "", url).alias("key"), "loaded_at", F.explode(F.array_compact(F.array(*strata))).alias("stratum"))
+    keys = cut(E.first_seen(flat, F.col("stratum"), F.col("key"), F.year("loaded_at") * 12 + F.month("loaded_at") - 1))
+    epochs = [r[0] for r in keys.select("epoch").distinct().orderBy("epoch").limit(2400).collect()]
+    return keys, rates or {"": 0.0}, epochs
+
+
+def _ledger(spark: SparkSession, d: str) -> tuple[DataFrame, dict[str, float], DataFrame]:
+    keys, rates, epochs = _strata(spark, d)
+    return keys, rates, E.grow(keys, rates, f"{shared_dir(spark)}/ledger-{uuid.uuid4().hex}", epochs)
+
+
+def p5_sample(spark: SparkSession, d: str) -> DataFrame:
+    """Each sampling filter's urls, selected month by month of loading, with the month that selected them."""
+    ledger = _ledger(spark, d)[2]
+    month = F.format_string("%04d-%02d", F.expr("epoch DIV 12"), F.expr("epoch % 12 + 1"))
+    return ledger.select(F.substring_index("stratum", "|", 1).alias("filter_name"), F.expr("substring(stratum, instr(stratum, '|') + 1)").alias("rule"), F.col("key").alias("url"), month.alias("selected_in"))
+
+
+def p5_shares(spark: SparkSession, d: str) -> DataFrame:
+    """Rate aimed at and reached, per filter and rule."""
+    return E.shares(*_ledger(spark, d))
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
@@ -20,6 +104,16 @@ def p6_items(spark: SparkSession, d: str) -> DataFrame:
     return L.leaked_items(L.leaked(table(spark, d, "documents"), items), items)
 
 
+def p7_mix(spark: SparkSession, d: str) -> DataFrame:
+    """Each mix as a sequence of documents: order by slot, then offset."""
+    return M.mixed(table(spark, d, "documents"), table(spark, d, "mix_targets"))[0]
+
+
+def p7_shares(spark: SparkSession, d: str) -> DataFrame:
+    """Target and reached shares of tokens, and repeats, per mix and source."""
+    return M.mixed(table(spark, d, "documents"), table(spark, d, "mix_targets"))[1]
+
+
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
     """Language stretches of documents whose label is absent or wrong or too simple."""
     return G.label_faults(G.language_stretches(table(spark, d, "documents"))).select("doc_id", "seg_no", "lang")
@@ -30,5 +124,5 @@ def p8_stretches(spark: SparkSession, d: str) -> DataFrame:
     return G.language_stretches(table(spark, d, "documents")).drop("n_segs")
 
 
-QUERIES = {"p6_found": p6_found, "p6_items": p6_items, "p8_found": p8_found, "p8_stretches": p8_stretches}
+QUERIES = {f.__name__: f for f in (p4_distinct, p4_states, p5_sample, p5_shares, p6_found, p6_items, p7_mix, p7_shares, p8_found, p8_stretches)}
 ORACLES: dict[str, str] = {}
