@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tessellar.common import table
 from tessellar.operators import hot_keys as H
+from tessellar.operators import log_entries as G
 from tessellar.operators import orphans as O
 
 REFERENCES = (
@@ -18,6 +19,25 @@ REFERENCES = (
 )
 
 
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    """Log entries of all runs with their header fields."""
+    return G.entries(table(spark, d, "tool_runs")).drop("message_at")
+
+
+def p1_messages(spark: SparkSession, d: str) -> DataFrame:
+    """The same with messages."""
+    runs = table(spark, d, "tool_runs")
+    return G.with_messages(G.entries(runs), runs)
+
+
+def p1_templates(spark: SparkSession, d: str) -> DataFrame:
+    """Leaf templates of the lines that might begin an entry, with the number of different lines of each and what its slots mean."""
+    parts = G.partition(G.candidate_lines(table(spark, d, "tool_runs")).select("seq").distinct())
+    n = parts.groupBy("part").agg(F.count(F.lit(1)).alias("n_sequences"))
+    t = G.template_fields(parts).join(n, "part")
+    return t.select(F.concat_ws("", F.transform("template", lambda x: x)).alias("template"), "n_sequences", "s.is_header", "s.opens")
+
+
 def _orphans(spark: SparkSession, d: str) -> DataFrame:
     t = lambda n: table(spark, d, n)
     sources = {
@@ -106,7 +126,7 @@ _STATES = """states AS (
 dims AS (SELECT 'host' AS field_name, id::bigint AS key_id, count(*) AS n_dim, min(host) AS label FROM cc_hosts GROUP BY 2
   UNION ALL SELECT 'mime', id::bigint, count(*), min(name) FROM cc_mimes GROUP BY 2)"""
 
-QUERIES = {"p2_found": p2_found, "p2_report": p2_report, "p3_found": p3_found, "p3_key_profiles": p3_key_profiles, "p3_roll_up": p3_roll_up}
+QUERIES = {"p1_found": p1_found, "p1_messages": p1_messages, "p1_templates": p1_templates, "p2_found": p2_found, "p2_report": p2_report, "p3_found": p3_found, "p3_key_profiles": p3_key_profiles, "p3_roll_up": p3_roll_up}
 
 ORACLES = {
     "p2_found": _direct_sql(),
