@@ -55,12 +55,12 @@ class RecordFilter:
             out[DEFAULT] = 1.0
         return out
 
-    def stratum(self, status: Column, mime: Column, detected: Column) -> Column:
-        """Name of the rule that decides on a record, null where the record is rejected whatever the sampling."""
+    def stratum(self, status: Column, mime: Column, detected: Column, tidy: bool = False) -> Column:
+        """Name of the rule that decides on a record, null where the record is rejected whatever the sampling; ``tidy``: the mimes are normalised already."""
         ok = status.isin(*self.status) if self.status else F.lit(True)
         if self.thinned:
             return F.when(F.coalesce(ok, F.lit(False)), F.lit(DEFAULT))
-        values = {"mimes": normalize_mime(mime), "detected_mimes": normalize_mime(detected)}
+        values = {"mimes": mime if tidy else normalize_mime(mime), "detected_mimes": detected if tidy else normalize_mime(detected)}
         out = F.lit(DEFAULT) if self.default_include else F.lit(None).cast("string")
         for r in reversed(self.rules):
             v = values[r.field]
