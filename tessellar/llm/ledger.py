@@ -17,21 +17,22 @@ from tessellar.common import join_sized
 
 #: A boundary bin, the only one whose keys are ranked, holds about so many keys.
 BIN_KEYS = 20_000
-SCHEMA = "stratum string, key string, priority bigint, epoch int"
+SCHEMA = "stratum int, key string, priority bigint, epoch int"
 
 
-def priority(stratum: Column, key: Column) -> Column:
-    """Hash priority of a key, not negative."""
-    return F.shiftrightunsigned(F.xxhash64(stratum, key), 1)
+def first_seen(rows: DataFrame, names: Column, key: Column, epoch: Column, numbers: Mapping[str, int]) -> DataFrame:
+    """(stratum, key, priority, epoch): each key of each stratum once, with the first epoch that has it.
 
-
-def first_seen(rows: DataFrame, stratum: Column, key: Column, epoch: Column) -> DataFrame:
-    """(stratum, key, priority, epoch): each key of each stratum once, with the first epoch that has it. Null strata, keys and epochs are left out."""
-    flat = rows.select(stratum.alias("stratum"), key.alias("key"), epoch.cast("int").alias("epoch")).where("stratum IS NOT NULL AND key IS NOT NULL AND epoch IS NOT NULL")
-    return flat.groupBy("stratum", "key").agg(F.min("epoch").alias("epoch")).select("stratum", "key", priority(F.col("stratum"), F.col("key")).alias("priority"), "epoch")
+    ``names`` is an array of stratum names, null ones among them, and ``numbers`` the number of each; the priority hashes the
+    name, so a change of numbers changes no sample. Null keys and epochs are left out.
+    """
+    number = F.create_map(*(F.lit(x) for n, i in numbers.items() for x in (n, i)))
+    flat = rows.select(key.alias("key"), epoch.cast("int").alias("epoch"), F.explode(F.array_compact(names)).alias("name")).where("key IS NOT NULL AND epoch IS NOT NULL")
+    flat = flat.select("key", "epoch", F.try_element_at(number, F.col("name")).alias("stratum"), F.shiftrightunsigned(F.xxhash64("name", "key"), 1).alias("priority"))
+    return flat.groupBy("stratum", "key").agg(F.min("priority").alias("priority"), F.min("epoch").alias("epoch"))
 
 
-def extend(keys: DataFrame, rates: Mapping[str, float], ledger: DataFrame, epoch: int) -> DataFrame:
+def extend(keys: DataFrame, rates: Mapping[int, float], ledger: DataFrame, epoch: int) -> DataFrame:
     """The keys that ``epoch`` adds to ``ledger``, as (stratum, key, priority, epoch).
 
     ``keys`` as from first_seen(). Quotas are round(rate * keys seen up to the epoch) less the kept ones, never negative. To find
@@ -57,14 +58,14 @@ def extend(keys: DataFrame, rates: Mapping[str, float], ledger: DataFrame, epoch
     bins = counts.select("stratum", "bin", quota.alias("quota"), before.alias("before"), (F.col("n") - F.col("kept")).alias("free"))
     bins = bins.where("before < quota AND free > 0").select("stratum", "bin", (F.col("quota") - F.col("before")).alias("wanted"), "free")
     fresh = join_sized(seen.withColumn("bin", in_bin), bins, ["stratum", "bin"], "inner", salt_by=["key"])
-    fresh = join_sized(fresh, ledger.select("stratum", "key"), ["stratum", "key"], "left_anti", salt_by=["key"])
+    fresh = fresh.join(ledger.select("stratum", "key"), ["stratum", "key"], "left_anti")  # keys are distinct, none is hot
     cols = ["stratum", "key", "priority", F.lit(epoch).alias("epoch")]
     whole = fresh.where("wanted >= free").select(*cols)
     ranked = fresh.where("wanted < free").withColumn("__r", F.row_number().over(Window.partitionBy("stratum", "bin").orderBy("priority", "key")))
     return whole.unionByName(ranked.where("__r <= wanted").select(*cols))
 
 
-def grow(keys: DataFrame, rates: Mapping[str, float], path: str, epochs: list[int]) -> DataFrame:
+def grow(keys: DataFrame, rates: Mapping[int, float], path: str, epochs: list[int]) -> DataFrame:
     """Extend the ledger at ``path`` by each of ``epochs`` that it lacks, one folder each, and return it.
 
     An epoch's folder is written whole or not at all and never changed; a repeated run finds its epochs there and adds nothing.
@@ -86,7 +87,7 @@ def _complete(spark, path: str) -> bool:
     return p.getFileSystem(conf).exists(p)
 
 
-def shares(keys: DataFrame, rates: Mapping[str, float], ledger: DataFrame) -> DataFrame:
+def shares(keys: DataFrame, rates: Mapping[int, float], ledger: DataFrame) -> DataFrame:
     """(stratum, n_keys, n_selected, rate, reached)."""
     rate = F.create_map(*(F.lit(x) for k, v in rates.items() for x in (k, float(v))))
     n = keys.groupBy("stratum").agg(F.count(F.lit(1)).alias("n_keys"))

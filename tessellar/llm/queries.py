@@ -7,7 +7,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessellar.common import cut, join_sized, shared_dir, table
+from tessellar.common import join_sized, shared_dir, table
+from tessellar.functions.strings import normalize_mime
 from tessellar.functions.urls import tidy_url
 from tessellar.llm import langid as G
 from tessellar.llm import leakage as L
@@ -50,47 +51,48 @@ def p4_states(spark: SparkSession, d: str) -> DataFrame:
     return _capture_states(spark, d).groupBy("day", "field").agg(F.count(F.lit(1)).alias("n_buckets"), F.sum(F.bit_count("bits")).alias("n_bits"))
 
 
-def _strata(spark: SparkSession, d: str) -> tuple[DataFrame, dict[str, float], list[int]]:
-    """Keys by first epoch, rates, and epochs: months of loaded_at, counted as year * 12 + month."""
+def _strata(spark: SparkSession, d: str) -> tuple[DataFrame, list[tuple[str, float]], list[int]]:
+    """Keys by first epoch, name and rate of each stratum, and epochs: months of loaded_at, counted as year * 12 + month."""
     confs = table(spark, d, "record_filters").where("filter_json IS NOT NULL").orderBy("filter_name").limit(MOST_FILTERS + 1).collect()
     if len(confs) > MOST_FILTERS:
         raise ValueError(f"more than {MOST_FILTERS} filters")
     urls = table(spark, d, "cc_urls").select("url", "mime", "detected_mime", "status", "loaded_at")
-    names = lambda t, key, out: table(spark, d, t).where("id IS NOT NULL").groupBy(F.col("id").alias(key)).agg(F.min("name").alias(out))
+    names = lambda t, key, out: table(spark, d, t).where("id IS NOT NULL").groupBy(F.col("id").alias(key)).agg(F.min(normalize_mime(F.col("name"))).alias(out))
     rows = join_sized(urls, names("cc_mimes", "mime", "mime_name"), ["mime"], "left", salt_by=["url"])
     rows = join_sized(rows, names("cc_detected_mimes", "detected_mime", "detected_name"), ["detected_mime"], "left", salt_by=["url"])
     rates: dict[str, float] = {}
     strata = []
     for c in confs:
-        if not has_probability(c["filter_json"]):
-            continue
-        f = load_filter(c["filter_json"])
-        rates |= {f"{c['filter_name']}|{k}": v for k, v in f.rates().items()}
-        strata.append(F.concat(F.lit(c["filter_name"] + "|"), f.stratum(F.col("status"), F.col("mime_name"), F.col("detected_name"))))
-    if not strata:
-        strata = [F.lit(None).cast("string")]
+        if has_probability(c["filter_json"]):
+            f = load_filter(c["filter_json"])
+            rates |= {f"{c['filter_name']}|{k}": v for k, v in f.rates().items()}
+            strata.append(F.concat(F.lit(f"{c['filter_name']}|"), f.stratum(F.col("status"), F.col("mime_name"), F.col("detected_name"), tidy=True)))
     url = tidy_url(F.col("url"))
-    flat = rows.select(F.when(url != "", url).alias("key"), "loaded_at", F.explode(F.array_compact(F.array(*strata))).alias("stratum"))
-    keys = cut(E.first_seen(flat, F.col("stratum"), F.col("key"), F.year("loaded_at") * 12 + F.month("loaded_at") - 1))
-    epochs = [r[0] for r in keys.select("epoch").distinct().orderBy("epoch").limit(2400).collect()]
-    return keys, rates or {"": 0.0}, epochs
+    path = f"{shared_dir(spark)}/keys-{uuid.uuid4().hex}"
+    named = list(rates.items()) or [("", 0.0)]
+    E.first_seen(rows, F.array(*strata) if strata else F.array(F.lit(None).cast("string")), F.when(url != "", url), F.year("loaded_at") * 12 + F.month("loaded_at") - 1, {n: i for i, (n, _) in enumerate(named)}).write.parquet(path)
+    keys = spark.read.parquet(path)
+    return keys, named, [r[0] for r in keys.select("epoch").distinct().orderBy("epoch").limit(2400).collect()]
 
 
-def _ledger(spark: SparkSession, d: str) -> tuple[DataFrame, dict[str, float], DataFrame]:
-    keys, rates, epochs = _strata(spark, d)
-    return keys, rates, E.grow(keys, rates, f"{shared_dir(spark)}/ledger-{uuid.uuid4().hex}", epochs)
+def _ledger(spark: SparkSession, d: str) -> tuple[DataFrame, list[tuple[str, float]], DataFrame]:
+    keys, named, epochs = _strata(spark, d)
+    return keys, named, E.grow(keys, {i: r for i, (_, r) in enumerate(named)}, f"{shared_dir(spark)}/ledger-{uuid.uuid4().hex}", epochs)
 
 
 def p5_sample(spark: SparkSession, d: str) -> DataFrame:
     """Each sampling filter's urls, selected month by month of loading, with the month that selected them."""
-    ledger = _ledger(spark, d)[2]
+    _, named, ledger = _ledger(spark, d)
+    name = F.element_at(F.array(*(F.lit(n) for n, _ in named)), F.col("stratum") + 1)
     month = F.format_string("%04d-%02d", F.expr("epoch DIV 12"), F.expr("epoch % 12 + 1"))
-    return ledger.select(F.substring_index("stratum", "|", 1).alias("filter_name"), F.expr("substring(stratum, instr(stratum, '|') + 1)").alias("rule"), F.col("key").alias("url"), month.alias("selected_in"))
+    return ledger.select(F.substring_index(name, "|", 1).alias("filter_name"), F.regexp_replace(name, r"^[^|]*\|", "").alias("rule"), F.col("key").alias("url"), month.alias("selected_in"))
 
 
 def p5_shares(spark: SparkSession, d: str) -> DataFrame:
     """Rate aimed at and reached, per filter and rule."""
-    return E.shares(*_ledger(spark, d))
+    keys, named, ledger = _ledger(spark, d)
+    out = E.shares(keys, {i: r for i, (_, r) in enumerate(named)}, ledger)
+    return out.select(F.element_at(F.array(*(F.lit(n) for n, _ in named)), F.col("stratum") + 1).alias("rule"), "n_keys", "n_selected", "rate", "reached")
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
