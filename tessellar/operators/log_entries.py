@@ -45,22 +45,22 @@ _MONTHS = {m: i + 1 for i, m in enumerate("Jan Feb Mar Apr May Jun Jul Aug Sep O
 _COLOUR = re.compile(r"\x1b(?:\[[0-9;]*[A-Za-z]?)?")
 _MON = r"(?:Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)"
 _TOKEN = re.compile(
-    r"(?P<letter>\A[DIWEF](?=\d{4} \d\d:\d\d:\d\d))"
-    r"|(?P<iso>(?<![\w.])\d{4}[-/]\d\d[-/]\d\d[T ]\d\d:\d\d:\d\d(?:[.,]\d+)?(?: ?(?:Z|UTC|GMT)\b| ?[+-]\d\d:?\d\d\b)?)"
-    rf"|(?P<long>\b{_MON} \d\d?, \d{{4}},? \d\d?:\d\d:\d\d(?: [AP]M\b)?)"
+    rf"(?=[A-Z][a-z][a-z],? )(?:"
+    rf"(?P<long>\b{_MON} \d\d?, \d{{4}},? \d\d?:\d\d:\d\d(?: [AP]M\b)?)"
     rf"|(?P<ctime>\b(?:Mon|Tue|Wed|Thu|Fri|Sat|Sun),? {_MON} [ \d]\d \d\d:\d\d:\d\d(?:\.\d+)? (?:[A-Z]{{3}} )?\d{{4}}\b)"
+    rf"|(?P<sys>\b{_MON} [ \d]\d \d\d:\d\d:\d\d\b))"
+    r"|(?P<letter>\A[DIWEF](?=\d{4} \d\d:\d\d:\d\d))"
+    r"|(?P<word>@?[^\W\d][\w$]*(?:[.\-/'][\w$]+)*)"
+    r"|(?=\d)(?:(?P<iso>(?<![\w.])\d{4}[-/]\d\d[-/]\d\d[T ]\d\d:\d\d:\d\d(?:[.,]\d+)?(?: ?(?:Z|UTC|GMT)\b| ?[+-]\d\d:?\d\d\b)?)"
     rf"|(?P<clf>\b\d\d/{_MON}/\d{{4}}:\d\d:\d\d:\d\d [+-]\d{{4}})"
-    rf"|(?P<sys>\b{_MON} [ \d]\d \d\d:\d\d:\d\d\b)"
     r"|(?P<mmdd>(?<=\A[DIWEF])\d{4} \d\d:\d\d:\d\d(?:\.\d+)?)"
     r"|(?P<clock>(?<![\w:.])\d\d:\d\d:\d\d(?:[.,]\d+)?(?![\w:]))"
     r"|(?P<epoch>(?<![\w.])1\d{9}(?:\.\d{1,9}|\d{3})?(?![\w.]))"
-    r"|(?P<key>(?<=\")@?[A-Za-z_.]+(?=\"\s*:)|(?:(?<=\s)|\A)@?[A-Za-z_.]+(?==))"
-    r"|(?P<thread>(?<=\[)(?:main|[\w .\-]*[Tt]hread[\w .\-]*|[\w\-]*(?:exec|worker)-?\d+)(?=\]))"
-    r"|(?P<word>@?[^\W\d][\w$]*(?:[.\-/'][\w$]+)*)"
-    r"|(?P<num>\d[\w.]*)"
+    r"|(?P<num>\d[\w.]*))"
     r"|(?P<mark>(?P<one>[^\w\s])(?P=one)*)"
 )
-_TIMES = frozenset("iso long ctime clf sys mmdd clock epoch".split())
+_KEY_COLON = re.compile(r'"\s*:')
+_THREAD_NAME = re.compile(r"main|[\w.\-]*[Tt]hread[\w.\-]*|[\w\-]*(?:exec|worker)-?\d+")
 #: Masks whose values a line carries along.
 VALUED = frozenset(["<time>", "<level>", "<name>"])
 _TIME, _LVL, _NAME, _NUM, _THREAD = "<time>", "<level>", "<name>", "<num>", "<thread>"
@@ -115,34 +115,37 @@ def _word(w: str) -> tuple[str, str | None]:
 
 def tokens(line: str, started: datetime | None) -> tuple[list[str], list[str], list[int]]:
     """Masked tokens of a line, the values of those in VALUED, and where each token ends."""
-    out, values, ends = [], [], []
-    last = 0
+    out: list[str] = []
+    values: list[str] = []
+    ends: list[int] = []
+    last, size = 0, len(line)
     for m in _TOKEN.finditer(line):
-        kind, at = m.lastgroup, m.start()
-        raw, value = m[kind], None
+        kind, (at, end) = m.lastgroup, m.span()
+        value = None
         if kind == "word":
+            raw = m.group()
             mask, value = _word(raw)
-            if value is None and at and line[at - 1] in '"/' and raw[0].isupper():
+            nxt = line[end] if end < size else ""
+            if nxt == "=" or nxt == '"' and at and line[at - 1] == '"' and _KEY_COLON.match(line, end):
+                if (known := _KEY.get(raw.lower())) and (nxt == '"' or not at or line[at - 1].isspace()):
+                    mask, value = f"<key:{known}>", None
+            elif at and value is None and line[at - 1] in '"/' and raw[0].isupper():
                 mask, value = _NAME, raw
+            if nxt == "]" and at and line[at - 1] == "[" and _THREAD_NAME.fullmatch(raw):
+                mask, value = _THREAD, None
         elif kind == "mark":
-            mask = "<*>" if raw == "*" else raw
-        elif kind in _TIMES:
-            mask, value = _TIME, to_utc(kind, raw, started)
-        elif kind == "key":
-            known = _KEY.get(raw.lower())
-            if known:
-                mask = f"<key:{known}>"
-            else:
-                mask, value = _word(raw)
+            mask = m.group()
+            if mask == "*":
+                mask = "<*>"
+        elif kind == "num":
+            mask = _NUM
         elif kind == "letter":
-            mask, value = _LVL, _LETTER[raw]
-        elif kind == "thread":
-            mask = _THREAD
+            mask, value = _LVL, _LETTER[line[at]]
         else:
-            mask = _NUM
+            mask, value = _TIME, to_utc(kind, m.group(), started)
         out.append(mask if at == last else " " + mask)
-        last = m.end()
-        ends.append(last)
+        last = end
+        ends.append(end)
         if value is not None:
             values.append(value)
     return out, values, ends
@@ -208,14 +211,14 @@ def candidate_lines(runs: DataFrame) -> DataFrame:
 
 def _cardinalities(parts: DataFrame) -> DataFrame:
     """(part, pos, card): number of different tokens at each position of each part."""
-    at = parts.select("part", F.posexplode("toks").alias("pos", "tok")).distinct()
+    at = parts.select("part", F.posexplode(F.transform("toks", lambda t: F.xxhash64(t))).alias("pos", "tok")).distinct()
     return at.groupBy("part", "pos").agg(F.count(F.lit(1)).alias("card"))
 
 
 def _split(parts: DataFrame, choice: DataFrame, key: Column) -> DataFrame:
     """Sub-parts by ``key``, where ``choice`` names a position for the part."""
-    joined = join_sized(parts, choice, ["part"], "left", salt_by=["seq"])
-    return joined.withColumn("part", F.xxhash64("part", F.coalesce(key, F.lit("")))).select("seq", "toks", "part")
+    joined = join_sized(parts, choice, ["part"], "left", salt_by=["id"])
+    return joined.withColumn("part", F.xxhash64("part", F.coalesce(key, F.lit("")))).select("id", "id2", "toks", "part")
 
 
 def split_by_least_variable(parts: DataFrame) -> DataFrame:
@@ -234,14 +237,14 @@ def split_by_bijection(parts: DataFrame) -> DataFrame:
     varying = _cardinalities(parts).where("card > 1")
     sizes = varying.groupBy("part", "card").agg(F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_list("pos")).alias("ps"))
     choice = sizes.where("n > 1").groupBy("part").agg(F.max(F.struct("n", F.negate("card").alias("c"), "ps")).alias("x")).select("part", F.col("x.ps")[0].alias("p1"), F.col("x.ps")[1].alias("p2"))
-    placed = join_sized(parts, choice, ["part"], "left", salt_by=["seq"]).select("seq", "toks", "part", F.expr("toks[p1]").alias("t1"), F.expr("toks[p2]").alias("t2"))
+    placed = join_sized(parts, choice, ["part"], "left", salt_by=["id"]).select("id", "id2", "toks", "part", F.expr("toks[p1]").alias("t1"), F.expr("toks[p2]").alias("t2"))
     pairs = placed.where("t1 IS NOT NULL").select("part", "t1", "t2").distinct()
     right = pairs.groupBy("part", "t1").agg(F.count(F.lit(1)).alias("d1"))
     left = pairs.groupBy("part", "t2").agg(F.count(F.lit(1)).alias("d2"))
     key = F.when(F.col("d2") == 1, F.concat(F.lit("1"), F.col("t1"))).when(F.col("d1") == 1, F.concat(F.lit("2"), F.col("t2")))
     pairs = pairs.join(right, ["part", "t1"]).join(left, ["part", "t2"]).select("part", "t1", "t2", key.alias("k"))
     joined = placed.join(pairs, ["part", "t1", "t2"], "left")
-    return joined.withColumn("part", F.xxhash64("part", F.coalesce("k", F.lit("")))).select("seq", "toks", "part")
+    return joined.withColumn("part", F.xxhash64("part", F.coalesce("k", F.lit("")))).select("id", "id2", "toks", "part")
 
 
 def split_by_marks(parts: DataFrame) -> DataFrame:
@@ -258,9 +261,14 @@ def leaf_templates(parts: DataFrame) -> DataFrame:
     return each.groupBy("part").agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", "tok"))), lambda x: x["tok"]).alias("template"))
 
 
+def sequence_ids(seq: Column) -> list[Column]:
+    """128 bits that stand for a sequence."""
+    return [F.xxhash64(seq).alias("id"), F.xxhash64(F.lit("second"), seq).alias("id2")]
+
+
 def partition(sequences: DataFrame) -> DataFrame:
-    """(seq, toks, part) of distinct ``sequences`` (column seq): the leaf of each, written to the shared folder between steps."""
-    parts = sequences.select("seq", F.split("seq", SEP).alias("toks")).withColumn("part", F.xxhash64(F.size("toks")))
+    """(id, id2, toks, part) of distinct ``sequences`` (column seq): the leaf of each, written to the shared folder between steps."""
+    parts = sequences.select(*sequence_ids(F.col("seq")), F.split("seq", SEP).alias("toks")).withColumn("part", F.xxhash64(F.size("toks")))
     parts = cut(split_by_least_variable(cut(parts)))
     return cut(split_by_marks(split_by_bijection(parts)))
 
@@ -487,13 +495,13 @@ def entries(runs: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """
     spark = runs.sparkSession
     path = f"{shared_dir(spark)}/lines-{uuid.uuid4().hex}"
-    candidate_lines(runs).withColumn("id", F.xxhash64("seq")).write.parquet(path)
+    candidate_lines(runs).select("run_id", "line_no", "upto", "seq", "vals", *sequence_ids(F.col("seq"))).write.parquet(path)
     lines = spark.read.parquet(path)
     parts = partition(lines.select("seq").distinct())
-    fields = join_sized(parts, template_fields(parts).drop("template"), ["part"], "inner", salt_by=["seq"], max_rows=max_rows)
+    fields = join_sized(parts, template_fields(parts).drop("template"), ["part"], "inner", salt_by=["id"], max_rows=max_rows)
     literal = F.when((F.col("s.comp_at") < 0) & (F.col("s.comp_pos") >= 0), F.ltrim(F.get("toks", F.col("s.comp_pos"))))
-    meant = cut(fields.where("s.is_header").select(F.xxhash64("seq").alias("id"), "seq", "s.time_at", "s.level_at", "s.comp_at", literal.alias("named"), "s.message_at", "s.opens", "s.level_alone"))
-    known = join_sized(lines, meant, ["id", "seq"], "left", salt_by=["run_id", "line_no"], max_rows=max_rows)
+    meant = cut(fields.where("s.is_header").select("id", "id2", "s.time_at", "s.level_at", "s.comp_at", literal.alias("named"), "s.message_at", "s.opens", "s.level_alone"))
+    known = join_sized(lines.drop("seq"), meant, ["id", "id2"], "left", salt_by=["run_id", "line_no"], max_rows=max_rows)
     value = lambda c: F.when(F.col(c) >= 0, F.get("vals", F.col(c)))
     lit = known.select(
         "run_id",
