@@ -137,7 +137,7 @@ def item_seeds(items: DataFrame, window: int, mismatches: int) -> DataFrame:
                 near = s.context(ids, at, starts[owner[at]], ends[owner[at]], -2)
                 yield pa.record_batch([keys.take(pa.array(owner[at])), pa.array(h.view(np.int64)), _lists(near.ravel(), s.width)], ["item_id", "hash", "around"])
 
-    return items.where("text IS NOT NULL").select("item_id", "text").mapInArrow(run, "item_id bigint, hash bigint, around array<int>")
+    return items.where("text IS NOT NULL AND item_id IS NOT NULL").select("item_id", "text").mapInArrow(run, "item_id bigint, hash bigint, around array<int>")
 
 
 def bitmaps(hashes: DataFrame) -> np.ndarray:
@@ -172,7 +172,7 @@ def document_hits(documents: DataFrame, packed: np.ndarray, window: int, mismatc
                         near = s.context(ids, at, starts[owner[at]], ends[owner[at]], -1)
                         yield pa.record_batch([keys.take(pa.array(owner[at] + lo)), pa.array(h.view(np.int64)), _lists(near.ravel(), s.width)], ["doc_id", "hash", "near"])
 
-    return documents.where("text IS NOT NULL").select("doc_id", "text").mapInArrow(run, "doc_id bigint, hash bigint, near array<int>")
+    return documents.where("text IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "text").mapInArrow(run, "doc_id bigint, hash bigint, near array<int>")
 
 
 def _verifier(window: int, mismatches: int):
@@ -190,7 +190,7 @@ def _verifier(window: int, mismatches: int):
 def leaked(documents: DataFrame, items: DataFrame, window: int = 24, mismatches: int = 2, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """(doc_id, item_id): each document that holds ``window`` consecutive words of an item with at most ``mismatches`` replaced.
 
-    Null and empty texts, and items or documents of fewer words than the window, give nothing; repeated rows give one pair; extra
+    Null ids, null and empty texts, and items or documents of fewer words than the window, give nothing; repeated rows give one pair; extra
     columns are never read. The items' seeds are broadcast if a count finds at most ``max_rows``; beyond, both sides shuffle by
     hash, the documents' side salted, so that a stock phrase in a third of all texts is spread over tasks.
     """
