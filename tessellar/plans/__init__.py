@@ -4,9 +4,9 @@ from __future__ import annotations
 
 
 def _modules():
-    from tessellar.plans import problem_queries
+    from tessellar.plans import crawl_queries, problem_queries, text_queries, tool_queries
 
-    return [problem_queries]
+    return [problem_queries, crawl_queries, tool_queries, text_queries]
 
 
 def all_queries() -> dict:
