@@ -13,8 +13,12 @@ from pyspark.sql import types as T
 EOF, HEADER = b"%%EOF", b"%PDF-"
 #: Bytes before the header that are kept.
 PREHEADER = 10_000
-# Magic numbers (offset, bytes, mime).
-MAGIC = ((0, b"%PDF-", "application/pdf"), (0, b"\x89PNG\r\n\x1a\n", "image/png"), (0, b"\xff\xd8\xff", "image/jpeg"), (0, b"PK\x03\x04", "application/zip"), (36, b"acsp", "application/vnd.iccprofile"))
+# Magic numbers (offset, bytes, mime); an offset may be a range.
+MAGIC = (
+    (0, b"%PDF-", "application/pdf"), (0, b"\x89PNG\r\n\x1a\n", "image/png"), (0, b"\xff\xd8\xff", "image/jpeg"), (0, b"PK\x03\x04", "application/zip"), (36, b"acsp", "application/vnd.iccprofile"),
+    (0, b"\x01\x00\x04", "application/x-pdf-internal-fontfile3"), (0, b"true\x00", "application/x-font-ttf-unk"), (0, b"%!FontType1", "application/x-font-postscript-type1"),
+    *((k, b"<?xpacket begin", "application/x-xmp-packet") for k in range(5)),
+)
 
 
 def pattern_ends(content: bytes, pattern: bytes) -> list[int]:

@@ -147,3 +147,38 @@ def pair_counts(rows: DataFrame, a: str, b: str) -> DataFrame:
     inside = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("null"))
     each = F.explode(F.array(F.struct(F.lit(a).alias("kind"), alone(a).alias("key")), F.struct(F.lit(b).alias("kind"), alone(b).alias("key")), F.struct(F.lit("pair").alias("kind"), F.concat(inside(b), F.lit("->"), inside(a)).alias("key"))))
     return rows.select(each.alias("e")).groupBy("e.kind", "e.key").agg(F.count(F.lit(1)).alias("n"))
+
+
+def ip_number(ip: Column) -> Column:
+    """An IPv4 address as a number, null for anything else."""
+    parts = F.split(F.trim(ip), r"\.")
+    n = [F.get(parts, F.lit(k)).try_cast("bigint") for k in range(4)]
+    valid = F.trim(ip).rlike(r"^\d{1,3}(\.\d{1,3}){3}$") & (F.greatest(*n) <= 255)
+    return F.when(valid, n[0] * 16777216 + n[1] * 65536 + n[2] * 256 + n[3])
+
+
+def locate(rows: DataFrame, ip: str, blocks: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``rows`` with ``columns`` of the address block (first_ip to last_ip, disjoint) that holds their address; null where none does.
+
+    A range join by buckets: blocks are listed under every 2**16 addresses that they touch, so the join is by equal keys and a
+    bucket holds few blocks.
+    """
+    wide = blocks.select(ip_number(F.col("first_ip")).alias("__lo"), ip_number(F.col("last_ip")).alias("__hi"), *columns).where("__lo <= __hi")
+    listed = wide.withColumn("__b", F.explode(F.sequence(F.shiftright("__lo", 16), F.shiftright("__hi", 16))))
+    keyed = rows.withColumn("__ip", ip_number(F.col(ip)))
+    distinct = keyed.select("__ip", F.shiftright("__ip", 16).alias("__b")).where("__ip IS NOT NULL").distinct()
+    hit = join_sized(distinct, listed, ["__b"], "inner").where("__ip BETWEEN __lo AND __hi").groupBy("__ip").agg(*(F.min(c).alias(c) for c in columns))
+    return join_sized(keyed, hit, ["__ip"], "left").drop("__ip")
+
+
+def digest_counts(rows: DataFrame, digest: Column) -> DataFrame:
+    """(digest, n), largest counts first."""
+    return by_count(rows.select(digest.alias("digest")).where("digest IS NOT NULL").groupBy("digest").agg(F.count(F.lit(1)).alias("n")), "n", "digest")
+
+
+def observed(rows: DataFrame, name: str) -> tuple[DataFrame, object]:
+    """``rows`` with a counter that is read after they ran: progress without a second pass."""
+    from pyspark.sql import Observation
+
+    seen = Observation(name)
+    return rows.observe(seen, F.count(F.lit(1)).alias("rows")), seen

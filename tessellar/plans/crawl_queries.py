@@ -331,3 +331,23 @@ def host_languages(spark: SparkSession, d: str) -> DataFrame:
 def largest_hosts(spark: SparkSession, d: str) -> DataFrame:
     """The twenty hosts with the most captures."""
     return R.page(table(spark, d, "cc_urls").where("host IS NOT NULL").groupBy("host").agg(F.count(F.lit(1)).alias("n")).withColumn("neg", -F.col("n")), ["neg", "host"], 20).drop("neg")
+
+
+_BLOCKS = [("192.0.2.0", "192.0.2.99", "AA"), ("192.0.2.100", "192.0.2.255", "BB"), ("198.51.0.0", "198.52.255.255", "CC")]
+_NUMBER = "(split_part({0}, '.', 1)::bigint * 16777216 + split_part({0}, '.', 2)::bigint * 65536 + split_part({0}, '.', 3)::bigint * 256 + split_part({0}, '.', 4)::bigint)"
+
+
+@query(
+    "WITH b(first_ip, last_ip, place) AS (VALUES " + ", ".join(map(str, _BLOCKS)) + f"), h AS (SELECT id, CASE WHEN regexp_full_match(trim(ip_address), '\\d{{1,3}}(\\.\\d{{1,3}}){{3}}') THEN {_NUMBER.format('trim(ip_address)')} END AS n FROM cc_hosts) "
+    f"SELECT id, place FROM h LEFT JOIN b ON n BETWEEN {_NUMBER.format('first_ip')} AND {_NUMBER.format('last_ip')}"
+)
+def hosts_by_address_block(spark: SparkSession, d: str) -> DataFrame:
+    """The address block of every host: a range join by buckets."""
+    blocks = spark.createDataFrame(_BLOCKS, "first_ip string, last_ip string, place string")
+    return R.locate(table(spark, d, "cc_hosts").select("id", "ip_address"), "ip_address", blocks, ["place"]).select("id", "place")
+
+
+@query("SELECT upper(regexp_replace(trim(digest), '^[A-Za-z0-9-]+:', '')) AS digest, count(*) AS n FROM cc_urls WHERE digest IS NOT NULL GROUP BY 1")
+def digest_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Captures per content, largest first."""
+    return R.digest_counts(table(spark, d, "cc_urls"), F.upper(F.regexp_replace(F.trim("digest"), r"^[A-Za-z0-9\-]+:", "")))

@@ -209,3 +209,33 @@ def files_to_run(spark: SparkSession, d: str) -> DataFrame:
 def latest_profiles(spark: SparkSession, d: str) -> DataFrame:
     """One profile per path, the latest."""
     return R.upsert(None, table(spark, d, "profiles"), ["path"], [F.col(c) for c in ("profiled_at", "size", "shasum256", "collection")])
+
+
+@query(
+    _WIDE_SQL
+    + ", p AS (SELECT path, max(collection) AS collection, max(shasum256) AS sha FROM profiles WHERE path IS NOT NULL GROUP BY 1), "
+    + f"o AS (SELECT path, stderr FROM (WITH {_LATEST} SELECT * FROM latest) WHERE tool = 'pdfcpu') "
+    + "SELECT p.path AS fname, nullif(trim(p.collection), '') AS collection, nullif(trim(p.sha), '') AS shasum_256, nullif(trim(replace(replace(replace(o.stderr, chr(0), 'u0000'), chr(31), 'u001f'), chr(30), 'u001e')), '') IS NOT NULL AS has_cpu_warn, "
+    + _named_sql("warn").replace("_status IN", "_status IN")
+    + " AS tools_status_warn FROM p JOIN w ON w.path = p.path LEFT JOIN o ON o.path = p.path"
+)
+def feature_documents(spark: SparkSession, d: str) -> DataFrame:
+    """Feature documents of every profiled file: profile, tool outputs and the roll-up of all tools."""
+    from tessellar.operators import features as FE
+
+    anchor = table(spark, d, "profiles").where("path IS NOT NULL").groupBy("path").agg(F.max("collection").alias("collection"), F.max("shasum256").alias("shasum_256"))
+    rows = ST.wide(anchor, table(spark, d, "tool_runs"), WIDE, ("stderr",)).withColumns({"fname": F.col("path"), "cpu_warn": F.col("cpu_stderr")})
+    made = FE.tidy(FE.apply(rows, ["profile", "cpu", "status"]))
+    return made.select("fname", "collection", "shasum_256", F.col("cpu_warn").isNotNull().alias("has_cpu_warn"), F.coalesce("tools_status_warn", F.lit("")).alias("tools_status_warn"))
+
+
+_EXIF = ["Title                           : A b\r\nAuthor                          : C\nProducer                        : D 1.0\n", "none"]
+
+
+@query("SELECT * FROM (VALUES (0, 'A b', 'C', 'D 1.0', NULL), (1, NULL, NULL, NULL, NULL)) AS t(id, title, author, producer, tagged)")
+def exif_report(spark: SparkSession, d: str) -> DataFrame:
+    """Fields of an EXIF report."""
+    from tessellar.operators import features as FE
+
+    e = spark.createDataFrame(list(enumerate(_EXIF)), "id int, text string").select("id", FE.exif_pack(F.col("text")).alias("e"))
+    return e.select("id", F.col("e.exif_title").alias("title"), F.col("e.`dc:creator`").alias("author"), "e.producer", "e.tagged")
