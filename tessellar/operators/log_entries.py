@@ -11,6 +11,7 @@ All steps are aggregations and joins of the distinct sequences; no part is ever
 
 from __future__ import annotations
 
+import json
 import re
 import uuid
 from collections.abc import Iterator
@@ -151,8 +152,8 @@ def tokens(line: str, started: datetime | None) -> tuple[list[str], list[str], l
     return out, values, ends
 
 
-def line_rows(text: str, started: datetime | None) -> Iterator[tuple[int, int, str, list[str]]]:
-    """(line_no, upto, sequence, values) of each line that might begin an entry; ``upto`` is the last non-blank line before the next such line.
+def line_rows(text: str, started: datetime | None) -> Iterator[tuple[int, int, str, list[str], list[int]]]:
+    """(line_no, upto, sequence, values, token ends) of each line that might begin an entry; ``upto`` is the last non-blank line before the next such line.
 
     A line that begins with white space, ``|`` or ``>`` never does. A line that is ``{`` alone takes the indented lines up to its
     ``}`` with it, as one header.
@@ -179,31 +180,34 @@ def line_rows(text: str, started: datetime | None) -> Iterator[tuple[int, int, s
             if j + 1 < n and lines[j + 1].rstrip() in ("}", "},"):
                 j += 1
             x = " ".join(y.strip() for y in lines[i : j + 1])
-        toks, values, _ = tokens(x, started)
-        held = [i + 1, j + 1, SEP.join(toks), values]
+        toks, values, ends = tokens(x, started)
+        held = [i + 1, j + 1, SEP.join(toks), values, ends]
         i = j + 1
     if held:
         yield tuple(held)
 
 
-_LINES = "run_id bigint, line_no int, upto int, seq string, vals array<string>"
+_LINES = "run_id bigint, version bigint, line_no int, upto int, seq string, vals array<string>"
 
 
-def candidate_lines(runs: DataFrame) -> DataFrame:
-    """Each run's lines that might begin an entry. ``runs`` has run_id, started_at and stderr; a repeated run_id counts once, the row that sorts last."""
-    one = runs.where("run_id IS NOT NULL AND stderr IS NOT NULL AND stderr <> ''").groupBy("run_id").agg(F.max(F.struct("started_at", "stderr")).alias("r"))
+def candidate_lines(runs: DataFrame, ends: bool = False) -> DataFrame:
+    """Each run's lines that might begin an entry. ``runs`` has run_id, started_at and stderr, and is never shuffled here.
+
+    ``version`` tells rows of a repeated run_id apart; ``ends`` adds where each token of a line ends.
+    """
+    one = runs.where("run_id IS NOT NULL AND stderr IS NOT NULL AND stderr <> ''").select("run_id", F.xxhash64("started_at", "stderr").alias("version"), "started_at", "stderr")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []
-            for run_id, started, text in zip(b["run_id"], b["started_at"], b["stderr"]):
+            for run_id, version, started, text in zip(b["run_id"], b["version"], b["started_at"], b["stderr"]):
                 at = None if pd.isna(started) else started.to_pydatetime()
                 if at is not None and at.tzinfo is not None:
                     at = at.astimezone(timezone.utc).replace(tzinfo=None)
-                rows += [(run_id, *r) for r in line_rows(text, at)]
-            yield pd.DataFrame(rows, columns=["run_id", "line_no", "upto", "seq", "vals"])
+                rows += [(run_id, version, *r) if ends else (run_id, version, *r[:4]) for r in line_rows(text, at)]
+            yield pd.DataFrame(rows, columns=["run_id", "version", "line_no", "upto", "seq", "vals", *(["ends"] if ends else [])])
 
-    return one.select("run_id", "r.started_at", "r.stderr").mapInPandas(run, _LINES)
+    return one.mapInPandas(run, _LINES + ", ends array<int>" * ends)
 
 
 # ---- iterative partitioning of the distinct sequences
@@ -487,15 +491,16 @@ def template_fields(parts: DataFrame) -> DataFrame:
 # ---- entries
 
 
-def entries(runs: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """(run_id, line_no, n_lines, log_ts, log_level, component, message_at): one row per log entry.
+def entries(runs: DataFrame, max_rows: int = BROADCAST_ROWS, offsets: bool = False) -> DataFrame:
+    """(run_id, line_no, n_lines, log_ts, log_level, component): one row per log entry.
 
     Null or empty stderr gives nothing, a run without any header no entry; lines before the first entry belong to none. A repeated
-    run counts once. Extra columns are never read. ``message_at`` is the token of the header at which the message begins.
+    run counts once; should its rows differ, the one of the largest hash counts. Extra columns are never read. ``offsets`` adds message_from, where the message begins in the entry's first
+    line (in a header that takes a block of lines, in these joined).
     """
     spark = runs.sparkSession
     path = f"{shared_dir(spark)}/lines-{uuid.uuid4().hex}"
-    candidate_lines(runs).select("run_id", "line_no", "upto", "seq", "vals", *sequence_ids(F.col("seq"))).write.parquet(path)
+    candidate_lines(runs, offsets).select("*", *sequence_ids(F.col("seq"))).write.parquet(path)
     lines = spark.read.parquet(path)
     parts = partition(lines.select("seq").distinct())
     fields = join_sized(parts, template_fields(parts).drop("template"), ["part"], "inner", salt_by=["id"], max_rows=max_rows)
@@ -505,17 +510,20 @@ def entries(runs: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     value = lambda c: F.when(F.col(c) >= 0, F.get("vals", F.col(c)))
     lit = known.select(
         "run_id",
+        "version",
         "line_no",
         "upto",
         F.col("message_at").isNotNull().alias("is_header"),
         value("time_at").alias("ts"),
         value("level_at").alias("level"),
         F.coalesce(value("comp_at"), "named").alias("comp"),
-        "message_at",
+        (F.when(F.col("message_at") > 0, F.get("ends", F.col("message_at") - 1)).otherwise(0) if offsets else F.lit(0)).alias("message_from"),
         F.coalesce("opens", F.lit(False)).alias("opens"),
         F.coalesce("level_alone", F.lit(False)).alias("level_alone"),
     )
-    w = Window.partitionBy("run_id").orderBy("line_no")
+    w = Window.partitionBy("run_id").orderBy("line_no")  # all windows share one shuffle of the fields, a run's lines in order
+    lit = lit.withColumn("__one", F.max("version").over(Window.partitionBy("run_id")) == F.col("version")).where("__one")
+    lit = lit.withColumn("__again", F.lag("line_no").over(w).eqNullSafe(F.col("line_no"))).where("NOT __again")
     lit = lit.withColumn("goes_on", F.lag("opens", 1, False).over(w) & F.col("level_alone") & (F.lag("upto").over(w) + 1 == F.col("line_no")))
     lit = lit.withColumn("next_level", F.when(F.lead("goes_on").over(w), F.lead("level").over(w)))
     lit = lit.withColumn("begins", F.col("is_header") & ~F.col("goes_on"))
@@ -530,29 +538,46 @@ def entries(runs: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
             of(F.col("ts")).alias("log_ts"),
             of(F.coalesce("level", "next_level")).alias("log_level"),
             of(F.col("comp")).alias("component"),
-            F.max(F.when(F.col("begins"), F.col("message_at"))).alias("message_at"),
+            F.max(F.when(F.col("begins"), F.col("message_from"))).alias("message_from"),
         )
-        .drop("entry")
+        .drop("entry", *([] if offsets else ["message_from"]))
     )
 
 
+def message(own: list[str], start: int) -> str:
+    """The message of an entry's lines, that begins at ``start`` of the first: of a JSON entry its message value, else what follows the header."""
+    first, rest = own[0], own[1:]
+    if first.startswith("{"):
+        end = next((k + 1 for k, x in enumerate(own) if x.rstrip() == "}"), len(own)) if first.rstrip() == "{" else 1
+        try:
+            found = json.loads("\n".join(own[:end]))
+            head = next((str(v) for k, v in found.items() if _KEY.get(k.lower()) == "msg"), "")
+            return "\n".join(x for x in [head, *own[end:]] if x.strip())
+        except (ValueError, AttributeError):
+            if end > 1:  # cut off
+                first, rest = " ".join(x.strip() for x in own[:end]), own[end:]
+    head = first[start:].strip()
+    if start and first[start - 1] == '"' and first[:1] != '"':
+        head = re.sub(r'"\s*\}?$', "", head)
+    return "\n".join(x for x in [head, *rest] if x.strip())
+
+
 def with_messages(found: DataFrame, runs: DataFrame) -> DataFrame:
-    """``found`` with the message of each entry: what follows its header, its further lines included, colour codes and final ``\\r`` off."""
-    one = runs.where("run_id IS NOT NULL AND stderr IS NOT NULL AND stderr <> ''").groupBy("run_id").agg(F.max(F.struct("started_at", "stderr")).alias("r"))
-    listed = found.groupBy("run_id").agg(F.sort_array(F.collect_list(F.struct("line_no", "n_lines", "log_ts", "log_level", "component", "message_at"))).alias("es"))
-    joined = one.join(listed, "run_id").select("run_id", F.col("r.stderr").alias("stderr"), "es")
+    """``found`` (entries with offsets) with the message of each in place of its offset; colour codes and final ``\\r`` are off."""
+    own = runs.where("run_id IS NOT NULL AND stderr IS NOT NULL AND stderr <> ''").select("run_id", "stderr", F.xxhash64("started_at", "stderr").alias("v"))
+    one = own.groupBy("run_id").agg(F.max(F.struct("v", "stderr")).alias("r"))
+    fields = ["line_no", "n_lines", "log_ts", "log_level", "component"]
+    listed = found.groupBy("run_id").agg(F.sort_array(F.collect_list(F.struct(*fields, "message_from"))).alias("es"))
+    joined = one.join(listed, "run_id").select("run_id", F.col("r.stderr").alias("stderr"), "es.line_no", "es.n_lines", "es.message_from", "es")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows = []
-            for run_id, text, es in zip(b["run_id"], b["stderr"], b["es"]):
-                lines = [_COLOUR.sub("", x).removesuffix("\r") for x in text.split("\n")]
-                for e in es:
-                    own = lines[e["line_no"] - 1 : e["line_no"] - 1 + e["n_lines"]]
-                    ends = tokens(own[0], None)[2]
-                    k = e["message_at"]
-                    head = own[0][ends[k - 1] :].strip() if 0 < k <= len(ends) else "" if k else own[0]
-                    rows.append((run_id, e["line_no"], e["n_lines"], e["log_ts"], e["log_level"], e["component"], "\n".join(x for x in [head, *own[1:]] if x.strip())))
-            yield pd.DataFrame(rows, columns=["run_id", "line_no", "n_lines", "log_ts", "log_level", "component", "message"])
-
-    return joined.mapInPandas(run, "run_id bigint, line_no int, n_lines int, log_ts string, log_level string, component string, message string")
+            out = []
+            for text, starts, sizes, offsets in zip(b["stderr"], b["line_no"], b["n_lines"], b["message_from"]):
+                lines = [(_COLOUR.sub("", x) if "\x1b" in x else x).removesuffix("\r") for x in text.split("\n")]
+                out.append([message(lines[k - 1 : k - 1 + n], f) for k, n, f in zip(starts.tolist(), sizes.tolist(), offsets.tolist())])
+            yield pd.DataFrame({"run_id": b["run_id"], "messages": out})
+
+    texts = joined.drop("es").mapInPandas(run, "run_id bigint, messages array<string>")
+    zipped = listed.join(texts, "run_id").select("run_id", F.explode(F.arrays_zip("es", "messages")).alias("z"))
+    return zipped.select("run_id", *(f"z.es.{c}" for c in fields), F.col("z.messages").alias("message"))

@@ -21,13 +21,13 @@ REFERENCES = (
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
     """Log entries of all runs with their header fields."""
-    return G.entries(table(spark, d, "tool_runs")).drop("message_at")
+    return G.entries(table(spark, d, "tool_runs"))
 
 
 def p1_messages(spark: SparkSession, d: str) -> DataFrame:
     """The same with messages."""
     runs = table(spark, d, "tool_runs")
-    return G.with_messages(G.entries(runs), runs)
+    return G.with_messages(G.entries(runs, offsets=True), runs)
 
 
 def p1_templates(spark: SparkSession, d: str) -> DataFrame:

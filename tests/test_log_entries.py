@@ -65,9 +65,10 @@ def test_partition_splits_by_bijection(spark):
 
 
 def test_messages(spark):
-    df = spark.createDataFrame([(1, AT, "x.c: ERROR: one two\n  more\r\nwarning: b", "t", "c")], SCHEMA)
-    got = [(r.line_no, r.message) for r in G.with_messages(G.entries(df), df).orderBy("line_no").collect()]
-    assert got == [(1, "one two\n  more"), (3, "b")]
+    text = 'x.c: ERROR: one two\n  more\r\nwarning: b\n{"level": "info", "msg": "c \\"d\\""}\nlvl=warn msg="e f"\n{\n  "level": "info",\n  "msg": "g"\n}\ntail\n{"level": "info", "msg": "cut o'
+    df = spark.createDataFrame([(1, AT, text, "t", "c"), (1, AT, text, "t", "c"), (2, AT, None, "t", "c")], SCHEMA)
+    got = [(r.line_no, r.n_lines, r.message) for r in G.with_messages(G.entries(df, offsets=True), df).orderBy("line_no").collect()]
+    assert got == [(1, 2, "one two\n  more"), (3, 1, "b"), (4, 1, 'c "d"'), (5, 1, "e f"), (6, 5, "g\ntail"), (11, 1, "cut o")]
 
 
 @pytest.mark.parametrize("kind,raw,want", [("iso", "2025-02-30 00:00:00", ""), ("iso", "2025-01-01T00:30:00+0200", "2024-12-31 22:30:00"), ("long", "Jan 1, 2025 12:05:00 AM", "2025-01-01 00:05:00"), ("clf", "01/Feb/2025:10:00:00 -0130", "2025-02-01 11:30:00")])
