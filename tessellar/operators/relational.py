@@ -59,7 +59,7 @@ def first_seen(rows: DataFrame, digest: Column, order: Sequence[str]) -> DataFra
     """
     keyed = rows.withColumn("__d", digest).withColumn("__o", F.struct(*order))
     first = keyed.where("__d IS NOT NULL").groupBy("__d").agg(F.min("__o").alias("__first"))
-    joined = keyed.join(first, "__d", "left")
+    joined = join_sized(keyed, first, ["__d"], "left", salt_by=order)
     return joined.withColumn("outcome", F.when(F.col("__o") == F.col("__first"), "copied").otherwise("skipped")).drop("__d", "__o", "__first")
 
 

@@ -35,12 +35,14 @@ def upsert_table(changes: DataFrame, path: str, key: Sequence[str], latest: Sequ
     _swap(spark, f"{path}.new", path)
 
 
+#: Fields go to CSV as they are, blanks around them, too.
+_CSV = {"header": "true", "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 RESULT_COLUMNS = ("path", "exit_value", "timeout", "process_time_ms", "stdout", "stdout_length", "stdout_truncated", "stderr", "stderr_length", "stderr_truncated")
 
 
 def write_results_csv(runs: DataFrame, path: str) -> None:
     """Tool results as CSV, ten columns and a header."""
-    runs.select(*RESULT_COLUMNS).write.mode("overwrite").csv(path, header=True, quoteAll=False, escape='"')
+    runs.select(*RESULT_COLUMNS).write.mode("overwrite").options(**_CSV).csv(path)
 
 
 def write_results_json(runs: DataFrame, path: str) -> None:
@@ -88,9 +90,9 @@ def write_features(features: DataFrame, path: str, batch_rows: int = 100_000) ->
     features.write.mode("overwrite").option("maxRecordsPerFile", batch_rows).parquet(path)
 
 
-def write_query_csv(spark: SparkSession, query: str, path: str) -> None:
-    """Any SQL to CSV; the header is the column names and nothing else."""
-    spark.sql(query).write.mode("overwrite").csv(path, header=True, escape='"')
+def write_query_csv(spark: SparkSession, query: str, path: str, null: str = "") -> None:
+    """Any SQL to CSV; the header is the column names and nothing else. Null is written as ``null``."""
+    spark.sql(query).write.mode("overwrite").options(**_CSV).csv(path, nullValue=null)
 
 
 def write_blobs(files: DataFrame, root: str, flat: bool = False, replace: bool = False) -> DataFrame:

@@ -159,3 +159,26 @@ def test_incremental_upsert(spark, tmp_path):
     go()
     go()
     assert sorted((r.id, r.v) for r in spark.read.parquet(out).collect()) == [(1, "b"), (2, "c")]
+
+
+def test_late_rows_in_a_stream(spark, tmp_path):
+    src, prog = str(tmp_path / "src"), str(tmp_path / "prog")
+    df = spark.createDataFrame([(datetime(2025, 1, 1, 5), "a"), (datetime(2025, 1, 20), "a"), (datetime(2025, 1, 1, 9), "a")], "at timestamp_ntz, k string")
+    df.write.parquet(src)
+    q = I.late_counts(I.landed(spark, src, df.schema), "at", ["k"]).writeStream.format("memory").queryName("late_counts").outputMode("complete").option("checkpointLocation", prog).trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert sorted(r.n for r in spark.table("late_counts").collect()) == [1, 2]
+
+
+def test_jdbc_ranges(spark):
+    url = "jdbc:derby:memory:tessellar;create=true"
+    spark.range(100).select(F.col("id").cast("int").alias("ID"), F.concat(F.lit("p"), "id").alias("PATH")).write.format("jdbc").options(url=url, dbtable="T", driver="org.apache.derby.iapi.jdbc.AutoloadedDriver").mode("overwrite").save()
+    got = S.jdbc(spark, url, "SELECT ID, PATH FROM T WHERE ID >= 10", "ID", 0, 100, 4, {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"})
+    assert got.rdd.getNumPartitions() == 4 and got.count() == 90
+
+
+def test_results_keep_blanks(spark, tmp_path):
+    row = ("p", 0, False, 1, " out ", 5, False, 'a "b"\n c, ', 9, True)
+    df = spark.createDataFrame([row], "path string, exit_value int, timeout boolean, process_time_ms bigint, stdout string, stdout_length bigint, stdout_truncated boolean, stderr string, stderr_length bigint, stderr_truncated boolean")
+    K.write_results_csv(df, str(tmp_path / "r.csv"))
+    assert tuple(S.tool_results(spark, str(tmp_path / "r.csv")).first()) == row
