@@ -14,12 +14,20 @@ from tessellar.operators.relational import by_count, upsert
 FEATURE_CELL = 10_000
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a table is at ``path``; one that was written beside it whole, but not yet swapped in when a driver died, is swapped in now."""
+    if not _there(spark, path) and _there(spark, f"{path}.new/_SUCCESS"):
+        swap_in(spark, f"{path}.new", path)
+    return _there(spark, path)
+
+
+def _there(spark: SparkSession, path: str) -> bool:
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
-def _swap(spark: SparkSession, new: str, path: str) -> None:
+def swap_in(spark: SparkSession, new: str, path: str) -> None:
+    """Put a table that was written beside ``path`` in its place."""
     fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     fs = fs_path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if fs.exists(fs_path(path)):
@@ -30,9 +38,9 @@ def _swap(spark: SparkSession, new: str, path: str) -> None:
 def upsert_table(changes: DataFrame, path: str, key: Sequence[str], latest: Sequence[Column], delta: bool = True) -> None:
     """Write one row per key, the latest; ``delta`` keeps what is stored and merges, else the table is made anew. Written beside, then swapped in."""
     spark = changes.sparkSession
-    old = spark.read.parquet(path) if delta and _exists(spark, path) else None
+    old = spark.read.parquet(path) if delta and table_exists(spark, path) else None
     upsert(old, changes, key, latest).write.mode("overwrite").parquet(f"{path}.new")
-    _swap(spark, f"{path}.new", path)
+    swap_in(spark, f"{path}.new", path)
 
 
 #: Fields go to CSV as they are, blanks around them, too.

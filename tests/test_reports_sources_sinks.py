@@ -125,6 +125,9 @@ def test_sinks(spark, tmp_path):
     assert [r.v for r in spark.read.parquet(p).collect()] == ["b"]
     K.upsert_table(df, p, ["id"], [F.col("at")], delta=False)
     assert [r.v for r in spark.read.parquet(p).collect()] == ["a"]
+    (tmp_path / "t").rename(tmp_path / "t.new")  # as if the driver had died before the swap
+    K.upsert_table(df.withColumn("id", F.lit(2)), p, ["id"], [F.col("at")])
+    assert sorted(r.id for r in spark.read.parquet(p).collect()) == [1, 2]
     files = spark.createDataFrame([("x", bytearray(b"1")), ("y", bytearray(b"1")), ("z", None)], "path string, content binary")
     assert [r.outcome for r in K.write_blobs(files, str(tmp_path / "blobs")).collect()] == ["written"]
     assert [r.outcome for r in K.write_blobs(files, str(tmp_path / "blobs")).collect()] == ["present"]
