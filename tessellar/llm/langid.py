@@ -311,10 +311,10 @@ def language_stretches(documents: DataFrame, model: Model | None = None) -> Data
     label be usable, the anchors alone decide.
     """
     model = model or fit(sample(documents))
-    words, grams = model.words, model.grams
+    packed = [(list(table), np.stack(list(table.values())) if table else np.zeros((0, len(LANGS)), np.float32)) for table in (model.words, model.grams)]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        labeller = Labeller(Model(words, grams))
+        labeller = Labeller(Model(*(dict(zip(names, scores)) for names, scores in packed)))
         for b in batches:
             found = labeller.stretches(b["text"].tolist())
             n = [len(x) for x in found]

@@ -14,6 +14,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessellar.sinks import swap_in, table_exists
+
 #: log2 of the buckets; the standard error is about 0.65 / sqrt(2**BUCKET_BITS), 1 % for 12.
 BUCKET_BITS = 12
 #: Ranks from 0 on whose bits are counted: good for 2**(RANKS + BUCKET_BITS) identifiers and more.
@@ -41,6 +43,19 @@ def unions(states: DataFrame, groups: Sequence[str], sets: Sequence[Sequence[str
     return states.groupingSets([[*(F.col(g) for g in s), F.col("field"), F.col("bucket")] for s in sets], *groups, "field", "bucket").agg(F.bit_or("bits").alias("bits"))
 
 
+def accumulate(states: DataFrame, path: str, by: Sequence[str]) -> DataFrame:
+    """Merge ``states`` into those stored at ``path`` and return the stored ones; late rows may come at any time, and a repeated batch changes nothing.
+
+    Written beside and then swapped in, so a stream's foreachBatch may call it.
+    """
+    spark = states.sparkSession
+    old = spark.read.parquet(path) if table_exists(spark, path) else None
+    kept = states.select(*by, "field", "bucket", "bits")
+    merge(kept if old is None else old.unionByName(kept), by).write.mode("overwrite").parquet(f"{path}.new")
+    swap_in(spark, f"{path}.new", path)
+    return spark.read.parquet(path)
+
+
 def likelihood_estimate(counts: np.ndarray, buckets: int = 1 << BUCKET_BITS) -> tuple[np.ndarray, np.ndarray]:
     """Estimates and standard errors from (groups x ranks) counts of buckets with a rank's bit set.
 

@@ -36,6 +36,16 @@ def test_merging_parts_is_the_whole(spark):
     assert abs(u[None] - 9000) < 400 and set(u) == {None, "x", "y"}
 
 
+def test_stored_states_take_late_rows(spark, tmp_path):
+    df = spark.range(5000).select(F.lit("a").alias("g"), "id")
+    path = str(tmp_path / "states")
+    S.accumulate(states(df.where("id % 2 = 0")), path, ["g"])
+    for _ in range(2):
+        stored = S.accumulate(states(df.where("id % 2 = 1")), path, ["g"])
+    key = lambda s: sorted(map(tuple, s.select("g", "field", "bucket", "bits").collect()))
+    assert key(stored) == key(states(df))
+
+
 def test_standard_error_is_honest():
     rng = np.random.default_rng(1)
     n, m, errors = 20_000, 512, []
