@@ -13,7 +13,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessellar.common import join_sized
+from tessellar.common import cut, join_sized
 
 #: A boundary bin, the only one whose keys are ranked, holds about so many keys.
 BIN_KEYS = 20_000
@@ -32,16 +32,18 @@ def first_seen(rows: DataFrame, names: Column, key: Column, epoch: Column, numbe
     return flat.groupBy("stratum", "key").agg(F.min("priority").alias("priority"), F.min("epoch").alias("epoch"))
 
 
-def extend(keys: DataFrame, rates: Mapping[int, float], ledger: DataFrame, epoch: int) -> DataFrame:
+def extend(keys: DataFrame, rates: Mapping[int, float], ledger: DataFrame, epoch: int, most: int | None = None) -> DataFrame:
     """The keys that ``epoch`` adds to ``ledger``, as (stratum, key, priority, epoch).
 
     ``keys`` as from first_seen(). Quotas are round(rate * keys seen up to the epoch) less the kept ones, never negative. To find
     the lowest hashes without sorting a stratum in one task, keys and ledger are counted per hash bin; their difference, summed up,
     shows the bins that are wanted whole and the one that is wanted in part; only these bins are joined with the ledger, and only
-    the last is ranked. Equal hashes go by key.
+    the last is ranked. Equal hashes go by key. ``most``, the keys of the largest stratum, sets the number of bins; it is counted
+    if not given, and changes no result.
     """
     seen = keys.where(F.col("epoch") <= epoch)
-    most = seen.groupBy("stratum").count().agg(F.max("count")).first()[0] or 0
+    if most is None:
+        most = keys.groupBy("stratum").count().agg(F.max("count")).first()[0] or 0
     bits = min(20, max(6, math.ceil(math.log2(max(1, most) / BIN_KEYS)))) if most > BIN_KEYS else 6
     in_bin = F.shiftrightunsigned("priority", 63 - bits).alias("bin")
     counts = (
@@ -56,7 +58,7 @@ def extend(keys: DataFrame, rates: Mapping[int, float], ledger: DataFrame, epoch
     quota = F.greatest(F.lit(0), F.round(F.try_element_at(rate, F.col("stratum")) * F.sum("n").over(all_bins)).cast("bigint") - F.sum("kept").over(all_bins))
     before = F.coalesce(F.sum(F.col("n") - F.col("kept")).over(all_bins.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     bins = counts.select("stratum", "bin", quota.alias("quota"), before.alias("before"), (F.col("n") - F.col("kept")).alias("free"))
-    bins = bins.where("before < quota AND free > 0").select("stratum", "bin", (F.col("quota") - F.col("before")).alias("wanted"), "free")
+    bins = cut(bins.where("before < quota AND free > 0").select("stratum", "bin", (F.col("quota") - F.col("before")).alias("wanted"), "free"))
     fresh = join_sized(seen.withColumn("bin", in_bin), bins, ["stratum", "bin"], "inner", salt_by=["key"])
     fresh = fresh.join(ledger.select("stratum", "key"), ["stratum", "key"], "left_anti")  # keys are distinct, none is hot
     cols = ["stratum", "key", "priority", F.lit(epoch).alias("epoch")]
@@ -72,11 +74,12 @@ def grow(keys: DataFrame, rates: Mapping[int, float], path: str, epochs: list[in
     """
     spark = keys.sparkSession
     done: list[str] = []
+    most = keys.groupBy("stratum").count().agg(F.max("count")).first()[0] or 0
     for e in sorted(epochs):
         ledger = spark.read.schema(SCHEMA).parquet(*done) if done else spark.createDataFrame([], SCHEMA)
         part = f"{path}/part-epoch-{e:06d}"
         if not _complete(spark, part):
-            extend(keys, rates, ledger, e).write.mode("overwrite").parquet(part)
+            extend(keys, rates, ledger, e, most).write.mode("overwrite").parquet(part)
         done.append(part)
     return spark.read.schema(SCHEMA).parquet(*done) if done else spark.createDataFrame([], SCHEMA)
 
