@@ -62,14 +62,17 @@ def join_sized(
     salt_by: Sequence[str | Column] = (),
     max_rows: int = BROADCAST_ROWS,
     salts: int = SALTS,
+    keep: bool = False,
 ) -> DataFrame:
     """Equi-join of a possibly skewed ``big`` with ``small``.
 
     ``small`` is counted (up to ``max_rows + 1`` rows). Within the bound it is broadcast, so that hot keys of ``big`` never
     meet in one task. Beyond it, ``big`` is salted by ``salt_by`` and ``small`` copied once per salt, which splits every hot
-    key into ``salts`` tasks. Null keys never match, as in SQL. ``how``: inner, left, left_semi or left_anti.
+    key into ``salts`` tasks. Null keys never match, as in SQL. ``how``: inner, left, left_semi or left_anti. ``keep`` writes a
+    ``small`` that is dear to compute to the shared folder first, so that counting and joining it compute it once.
     """
     on = list(on)
+    small = cut(small) if keep else small
     if small.limit(max_rows + 1).count() <= max_rows:
         return big.join(F.broadcast(small), on, how)
     salt = F.pmod(F.xxhash64(*(salt_by or big.columns)), F.lit(salts)).cast("int")

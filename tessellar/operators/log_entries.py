@@ -221,7 +221,7 @@ def _cardinalities(parts: DataFrame) -> DataFrame:
 
 def _split(parts: DataFrame, choice: DataFrame, key: Column) -> DataFrame:
     """Sub-parts by ``key``, where ``choice`` names a position for the part."""
-    joined = join_sized(parts, choice, ["part"], "left", salt_by=["id"])
+    joined = join_sized(parts, choice, ["part"], "left", salt_by=["id"], keep=True)
     return joined.withColumn("part", F.xxhash64("part", F.coalesce(key, F.lit("")))).select("id", "id2", "toks", "part")
 
 
@@ -241,7 +241,7 @@ def split_by_bijection(parts: DataFrame) -> DataFrame:
     varying = _cardinalities(parts).where("card > 1")
     sizes = varying.groupBy("part", "card").agg(F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_list("pos")).alias("ps"))
     choice = sizes.where("n > 1").groupBy("part").agg(F.max(F.struct("n", F.negate("card").alias("c"), "ps")).alias("x")).select("part", F.col("x.ps")[0].alias("p1"), F.col("x.ps")[1].alias("p2"))
-    placed = join_sized(parts, choice, ["part"], "left", salt_by=["id"]).select("id", "id2", "toks", "part", F.expr("toks[p1]").alias("t1"), F.expr("toks[p2]").alias("t2"))
+    placed = join_sized(parts, choice, ["part"], "left", salt_by=["id"], keep=True).select("id", "id2", "toks", "part", F.expr("toks[p1]").alias("t1"), F.expr("toks[p2]").alias("t2"))
     pairs = placed.where("t1 IS NOT NULL").select("part", "t1", "t2").distinct()
     right = pairs.groupBy("part", "t1").agg(F.count(F.lit(1)).alias("d1"))
     left = pairs.groupBy("part", "t2").agg(F.count(F.lit(1)).alias("d2"))
@@ -258,11 +258,17 @@ def split_by_marks(parts: DataFrame) -> DataFrame:
 
 
 def leaf_templates(parts: DataFrame) -> DataFrame:
-    """(part, template): the common token of each position, ``*`` (after a blank, `` *``) where tokens vary."""
-    at = parts.select("part", F.posexplode("toks").alias("pos", "tok"))
-    slot = F.when(F.min("tok") == F.max("tok"), F.min("tok")).otherwise(F.when(F.min("tok").startswith(" "), F.lit(" *")).otherwise(F.lit("*")))
-    each = at.groupBy("part", "pos").agg(slot.alias("tok"))
-    return each.groupBy("part").agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", "tok"))), lambda x: x["tok"]).alias("template"))
+    """(part, template): the common token of each position, ``*`` (after a blank, `` *``) where tokens vary.
+
+    Tokens are compared by hash; the template is any member with its varying positions blotted out.
+    """
+    at = parts.select("part", F.posexplode(F.transform("toks", lambda t: F.xxhash64(t))).alias("pos", "tok"))
+    varying = at.groupBy("part", "pos").agg(F.min("tok").alias("a"), F.max("tok").alias("b")).where("a <> b")
+    varying = varying.groupBy("part").agg(F.collect_list("pos").alias("varying"))
+    member = parts.groupBy("part").agg(F.any_value("toks").alias("toks"))
+    slot = lambda t, i: F.when(F.array_contains("varying", i), F.when(t.startswith(" "), " *").otherwise("*")).otherwise(t)
+    joined = member.join(varying, "part", "left")
+    return joined.select("part", F.when(F.col("varying").isNull(), F.col("toks")).otherwise(F.transform("toks", slot)).alias("template"))
 
 
 def sequence_ids(seq: Column) -> list[Column]:
@@ -503,7 +509,7 @@ def entries(runs: DataFrame, max_rows: int = BROADCAST_ROWS, offsets: bool = Fal
     candidate_lines(runs, offsets).select("*", *sequence_ids(F.col("seq"))).write.parquet(path)
     lines = spark.read.parquet(path)
     parts = partition(lines.select("seq").distinct())
-    fields = join_sized(parts, template_fields(parts).drop("template"), ["part"], "inner", salt_by=["id"], max_rows=max_rows)
+    fields = join_sized(parts, template_fields(parts).drop("template"), ["part"], "inner", salt_by=["id"], max_rows=max_rows, keep=True)
     literal = F.when((F.col("s.comp_at") < 0) & (F.col("s.comp_pos") >= 0), F.ltrim(F.get("toks", F.col("s.comp_pos"))))
     meant = cut(fields.where("s.is_header").select("id", "id2", "s.time_at", "s.level_at", "s.comp_at", literal.alias("named"), "s.message_at", "s.opens", "s.level_alone"))
     known = join_sized(lines.drop("seq"), meant, ["id", "id2"], "left", salt_by=["run_id", "line_no"], max_rows=max_rows)
@@ -526,21 +532,18 @@ def entries(runs: DataFrame, max_rows: int = BROADCAST_ROWS, offsets: bool = Fal
     lit = lit.withColumn("__again", F.lag("line_no").over(w).eqNullSafe(F.col("line_no"))).where("NOT __again")
     lit = lit.withColumn("goes_on", F.lag("opens", 1, False).over(w) & F.col("level_alone") & (F.lag("upto").over(w) + 1 == F.col("line_no")))
     lit = lit.withColumn("next_level", F.when(F.lead("goes_on").over(w), F.lead("level").over(w)))
-    lit = lit.withColumn("begins", F.col("is_header") & ~F.col("goes_on"))
-    lit = lit.withColumn("entry", F.sum(F.col("begins").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    of = lambda c: F.coalesce(F.max(F.when(F.col("begins"), c)), F.lit(""))
-    return (
-        lit.where("entry > 0")
-        .groupBy("run_id", "entry")
-        .agg(
-            F.min("line_no").alias("line_no"),
-            (F.max("upto") - F.min("line_no") + 1).cast("int").alias("n_lines"),
-            of(F.col("ts")).alias("log_ts"),
-            of(F.coalesce("level", "next_level")).alias("log_level"),
-            of(F.col("comp")).alias("component"),
-            F.max(F.when(F.col("begins"), F.col("message_from"))).alias("message_from"),
-        )
-        .drop("entry", *([] if offsets else ["message_from"]))
+    # an entry ends where the line before the next one's first line ends, the last one of a run with the run
+    lit = lit.withColumn("before", F.lag("upto").over(w)).withColumn("last", F.max("upto").over(Window.partitionBy("run_id"))).where(F.col("is_header") & ~F.col("goes_on"))
+    end = F.coalesce(F.lead("before").over(w), "last")
+    text = lambda c: F.coalesce(c, F.lit(""))
+    return lit.select(
+        "run_id",
+        "line_no",
+        (end - F.col("line_no") + 1).cast("int").alias("n_lines"),
+        text(F.col("ts")).alias("log_ts"),
+        text(F.coalesce("level", "next_level")).alias("log_level"),
+        text(F.col("comp")).alias("component"),
+        *(["message_from"] if offsets else []),
     )
 
 
