@@ -19,6 +19,7 @@ from datetime import datetime, timedelta, timezone
 from functools import lru_cache
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -573,14 +574,14 @@ def with_messages(found: DataFrame, runs: DataFrame) -> DataFrame:
     listed = found.groupBy("run_id").agg(F.sort_array(F.collect_list(F.struct(*fields, "message_from"))).alias("es"))
     joined = one.join(listed, "run_id").select("run_id", F.col("r.stderr").alias("stderr"), "es.line_no", "es.n_lines", "es.message_from", "es")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:  # the fields pass through as they are
             out = []
-            for text, starts, sizes, offsets in zip(b["stderr"], b["line_no"], b["n_lines"], b["message_from"]):
+            for text, starts, sizes, offsets in zip(*(b.column(c).to_pylist() for c in ("stderr", "line_no", "n_lines", "message_from"))):
                 lines = [(_COLOUR.sub("", x) if "\x1b" in x else x).removesuffix("\r") for x in text.split("\n")]
-                out.append([message(lines[k - 1 : k - 1 + n], f) for k, n, f in zip(starts.tolist(), sizes.tolist(), offsets.tolist())])
-            yield pd.DataFrame({"run_id": b["run_id"], "messages": out})
+                out.append([message(lines[k - 1 : k - 1 + n], f) for k, n, f in zip(starts, sizes, offsets)])
+            yield pa.record_batch([b.column("run_id"), b.column("es"), pa.array(out, pa.list_(pa.string()))], ["run_id", "es", "messages"])
 
-    texts = joined.drop("es").mapInPandas(run, "run_id bigint, messages array<string>")
-    zipped = listed.join(texts, "run_id").select("run_id", F.explode(F.arrays_zip("es", "messages")).alias("z"))
+    kind = joined.schema["es"].dataType.simpleString()
+    zipped = joined.mapInArrow(run, f"run_id bigint, es {kind}, messages array<string>").select("run_id", F.explode(F.arrays_zip("es", "messages")).alias("z"))
     return zipped.select("run_id", *(f"z.es.{c}" for c in fields), F.col("z.messages").alias("message"))
