@@ -39,17 +39,21 @@ def dimension_states(dims: Mapping[str, tuple[DataFrame, str, Column]]) -> DataF
     return out
 
 
-def joined_states(states: DataFrame, dimensions: DataFrame) -> DataFrame:
+def all_rows(facts: DataFrame) -> Column:
+    """The number of rows of a table, repeated ones included, as a scalar subquery: for parquet the footers have it."""
+    return facts.agg(F.count(F.lit(1)).alias("n")).scalar()
+
+
+def joined_states(states: DataFrame, dimensions: DataFrame, total: Column) -> DataFrame:
     """What joining all rows with the dimension and aggregating by key would give, from compact states only.
 
     A key without a dimension row stays (``n_dim`` 0), as in a left join: ``joined_rows`` is n_rows * max(n_dim, 1), and
-    ``joined_sum`` scales the sum alike. ``share`` is the key's part of all rows of its field, null keys included.
+    ``joined_sum`` scales the sum alike. ``share`` is the key's part of ``total``, all rows, null keys included.
     """
-    totals = states.groupBy("field_name").agg(F.sum("n_rows").alias("__total"))  # one row per field
     times = F.greatest(F.coalesce("n_dim", F.lit(0)), F.lit(1))
     return (
         states.join(dimensions, ["field_name", "key_id"], "left")
-        .join(F.broadcast(totals), "field_name")
+        .withColumn("__total", total)
         .select(
             "field_name",
             "key_id",
@@ -68,7 +72,7 @@ def joined_states(states: DataFrame, dimensions: DataFrame) -> DataFrame:
 
 
 def heavy_keys(joined: DataFrame, percent: int = 2) -> DataFrame:
-    """Non-null keys with at least ``percent`` % of all rows of their field; compared in whole numbers, so ties at the bound count."""
+    """Non-null keys with at least ``percent`` % of all rows; compared in whole numbers, so ties at the bound count."""
     return joined.where(F.col("key_id").isNotNull() & (F.col("n_rows") * 100 >= F.col("__total") * percent))
 
 

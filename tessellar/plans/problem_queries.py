@@ -62,9 +62,10 @@ def p2_report(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _hot(spark: SparkSession, d: str) -> DataFrame:
-    states = H.key_states(table(spark, d, "cc_urls"), ["host", "mime"], "warc_length", "captured_at")
+    urls = table(spark, d, "cc_urls")
+    states = H.key_states(urls, ["host", "mime"], "warc_length", "captured_at")
     dims = H.dimension_states({"host": (table(spark, d, "cc_hosts"), "id", F.col("host")), "mime": (table(spark, d, "cc_mimes"), "id", F.col("name"))})
-    return H.joined_states(states, dims)
+    return H.joined_states(states, dims, H.all_rows(urls))
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:

@@ -40,6 +40,15 @@ def test_cascade_and_cycle(spark):
     assert [(r.src_table, r.period, r.n_direct, r.n_inherited) for r in report] == [("a", "2025-01", 1, 2)]
 
 
+def test_empty_tables_repeats_and_null_keys(spark):
+    a = spark.createDataFrame([(1, 9, T0), (1, 9, T0), (None, 9, T0), (2, None, T0), (3, 9, None)], "id int, tag int, at timestamp_ntz")
+    tags = spark.createDataFrame([], "id int, since timestamp_ntz, until timestamp_ntz")
+    refs = [O.Reference("a", "tag", "tags", "id", "since", "until")]
+    found = lambda rows: sorted(map(str, O.find_orphans({"a": O.Source(rows, F.col("id"), "at"), "tags": O.Source(tags, F.col("id"), None)}, refs).select("row_key", "kind").collect()))
+    assert found(a) == ["Row(row_key='1', kind='direct')", "Row(row_key=None, kind='direct')"]
+    assert found(a.limit(0)) == []
+
+
 def test_paths(spark):
     df = spark.createDataFrame([(".\\A\\b",), ("./a/B",), ("a/b",), (None,)], "p string").select(O.plain_path(F.col("p")).alias("p"))
     assert [r.p for r in df.collect()] == ["a/b", "a/b", "a/b", None]
@@ -49,10 +58,10 @@ def test_hot_keys(spark):
     rows = [(1, 7, 10, T0)] * 97 + [(2, None, None, None), (2, 8, 5, T0), (None, 8, 1, T0 + timedelta(1))]
     facts = spark.createDataFrame([(*r, 0) for r in rows], "host int, mime int, len bigint, at timestamp_ntz, key_id int")
     dims = spark.createDataFrame([(1, "a"), (1, "b"), (7, "x"), (None, "n")], "id int, name string")
-    j = H.joined_states(H.key_states(facts, ["host", "mime"], "len", "at"), H.dimension_states({"host": (dims, "id", F.col("name")), "mime": (dims, "id", F.col("name"))}))
+    j = H.joined_states(H.key_states(facts, ["host", "mime"], "len", "at"), H.dimension_states({"host": (dims, "id", F.col("name")), "mime": (dims, "id", F.col("name"))}), H.all_rows(facts))
     got = {(r.field_name, r.key_id): (r.n_rows, r.sum_measure, r.joined_rows, r.joined_sum, r.n_dim) for r in j.collect()}
     assert got[("host", 1)] == (97, 970, 194, 1940, 2) and got[("host", 2)] == (2, 5, 2, 5, 0) and got[("host", None)] == (1, 1, 1, 1, 0) and got[("mime", None)] == (1, None, 1, None, 0)
     assert {(r.field_name, r.key_id) for r in H.heavy_keys(j, 2).collect()} == {("host", 1), ("host", 2), ("mime", 7), ("mime", 8)}
     up = {(r.field_name, r.label): (r.n_keys, r.n_rows) for r in H.roll_up(j, F.upper("label")).collect()}
     assert up[("host", "A")] == (1, 97) and up[("host", None)] == (1, 3)
-    assert H.joined_states(H.key_states(facts.limit(0), ["host"], "len", "at"), H.dimension_states({"host": (dims, "id", F.col("name"))})).count() == 0
+    assert H.joined_states(H.key_states(facts.limit(0), ["host"], "len", "at"), H.dimension_states({"host": (dims, "id", F.col("name"))}), H.all_rows(facts.limit(0))).count() == 0
