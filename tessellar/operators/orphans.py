@@ -85,7 +85,8 @@ def find_orphans(sources: Mapping[str, Source], references: Sequence[Reference],
 
     ``compare`` maps a column name to the function under which its values are compared (paths, say). A row that is orphaned both
     ways is direct. The cascade ends when a round finds no new row, so cycles in the graph end, too; ``max_rounds`` guards against
-    a graph that is deeper than anyone meant.
+    a graph that is deeper than anyone meant. Repeated rows count once; rows with a null row key are one case for each period;
+    empty tables give nothing.
     """
     compare = dict(compare or {})
 
