@@ -13,6 +13,11 @@ from pyspark.sql import functions as F
 
 from tessellar import sinks as K
 from tessellar.common import shared_dir, table
+from tessellar.functions import urls as U
+from tessellar.functions.strings import primary_language
+from tessellar.operators import relational as R
+from tessellar.operators.record_filter import load_filter
+from tessellar.plans.crawl_queries import _NORMAL, _TLD, FILTER, _named
 from tessellar.sources import files as S
 from tessellar.streaming import incremental as I
 
@@ -128,3 +133,38 @@ def extract_names(spark: SparkSession, d: str) -> DataFrame:
     files = table(spark, d, "documents").where("path IS NOT NULL").select(F.concat("path", F.when(F.col("doc_id") % 2 == 0, ".txt").otherwise(".json")).alias("path"))
     return S.base_names(files).select("path", F.regexp_extract("path", r"([^/\\]+)$", 1).alias("name"))
 
+
+
+def index_build(spark: SparkSession, d: str) -> DataFrame:
+    """From index files to the star and back to names: lines parsed, filtered, hosts and dictionaries made, records encoded by id, ids looked up again."""
+    u = _named(spark, d).where("url IS NOT NULL")
+    text = lambda c: F.col(c).cast("string")
+    record = F.to_json(F.struct("url", text("status").alias("status"), F.col("mime_name").alias("mime"), F.col("detected_mime_name").alias("mime-detected"), F.col("warc_file_name").alias("filename"), "languages", "truncated"))
+    path = _place(spark, "crawl")
+    u.select(F.concat(F.lit("x)/ 20250101000000 "), record)).write.option("compression", "gzip").text(path)
+    f = load_filter(FILTER)
+    kept = S.parse_index(S.index_lines(spark, path)).where("ok").where(f.accept(F.col("status_n").cast("int"), F.col("mime"), F.col("mime_detected"), F.col("url")))
+    h = U.url_host(U.tidy_url(F.col("url")))
+    facts = kept.select("url", h.alias("host"), "mime", primary_language(F.col("languages")).alias("language"), "truncated", F.col("filename").alias("warc_file"))
+    stored = _place(spark, "facts")
+    facts.write.parquet(stored)
+    facts = spark.read.parquet(stored)
+    hosts = R.hosts(facts, F.col("host"), U.host_tld(F.col("host")))
+    sizes = {"mime": 2000, "language": 2000, "truncated": 12, "warc_file": 200}
+    words = {c: R.dictionary(facts, c, n) for c, n in sizes.items()}
+    coded = facts
+    for c, n in sizes.items():
+        coded = R.encode(coded, c, words[c], n)
+    out = coded.join(hosts, "host", "left")
+    for c in sizes:
+        out = R.star(out.withColumnRenamed(f"{c}_id", c), {c: (words[c], "id", "name")})
+    return out.select("url", "host", F.coalesce("tld", F.lit("")).alias("tld"), F.col("mime_name").alias("mime"), F.col("language_name").alias("language"), F.col("truncated_name").alias("truncated"), F.col("warc_file_name").alias("warc_file"))
+
+
+_URL_HOST = "lower(regexp_extract(trim(url), '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#: ]*)', 1))"
+QUERIES["index_build"] = index_build
+ORACLES["index_build"] = (
+    f"WITH t AS (SELECT u.url, u.status, u.languages, u.truncated, u.warc_file_name, m.name AS mime, {_NORMAL.format('m.name')} AS m, {_NORMAL.format('d.name')} AS x FROM cc_urls u LEFT JOIN cc_mimes m ON m.id = u.mime LEFT JOIN cc_detected_mimes d ON d.id = u.detected_mime WHERE url IS NOT NULL), "
+    "k AS (SELECT * FROM t WHERE status IN (200, 206) AND (coalesce(m IN ('application/pdf', 'application/x-pdf'), false) OR coalesce(x = 'application/rtf', false) OR coalesce(regexp_matches(m, '^image/'), false) OR coalesce(regexp_matches(m, '(?i)vnd\\.'), false) OR coalesce(regexp_matches(x, '^audio'), false))), "
+    f"h AS (SELECT *, {_URL_HOST} AS host FROM k) SELECT url, host, {_TLD.format('host')} AS tld, coalesce(mime, '') AS mime, coalesce(split_part(languages, ',', 1), '') AS language, coalesce(truncated, '') AS truncated, coalesce(warc_file_name, '') AS warc_file FROM h"
+)
