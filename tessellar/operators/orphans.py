@@ -106,8 +106,12 @@ def find_orphans(sources: Mapping[str, Source], references: Sequence[Reference],
     known = frontier.select("src_table", "row_key", "period").distinct()
     found_all = [known.withColumn("kind", F.lit("direct"))]
     for _ in range(max_rounds):
+        reached = {r["src_table"] for r in frontier.select("src_table").distinct().collect()}
+        edges = [r for r in references if r.parent in reached]
+        if not edges:
+            break
         nxt = None
-        for r in references:
+        for r in edges:
             s = sources[r.child]
             parents = frontier.where(F.col("src_table") == r.parent).select(F.col("__keys").getItem(_all_keys(references).index((r.parent, r.key))).alias("__key")).where("__key IS NOT NULL").distinct()
             at = F.date_format(F.col(f"`{s.at}`"), "yyyy-MM") if s.at else F.lit(None).cast("string")
@@ -118,8 +122,6 @@ def find_orphans(sources: Mapping[str, Source], references: Sequence[Reference],
         same = [nxt_c.eqNullSafe(k_c) for nxt_c, k_c in ((F.col(f"n.{c}"), F.col(f"k.{c}")) for c in ("src_table", "row_key", "period"))]
         fresh = nxt.distinct().alias("n").join(known.alias("k"), same[0] & same[1] & same[2], "left_anti")
         frontier = cut(fresh)
-        if frontier.isEmpty():
-            break
         new = frontier.select("src_table", "row_key", "period").distinct()
         found_all.append(new.withColumn("kind", F.lit("inherited")))
         known = cut(known.unionByName(new))
