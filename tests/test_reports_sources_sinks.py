@@ -185,3 +185,10 @@ def test_results_keep_blanks(spark, tmp_path):
     df = spark.createDataFrame([row], "path string, exit_value int, timeout boolean, process_time_ms bigint, stdout string, stdout_length bigint, stdout_truncated boolean, stderr string, stderr_length bigint, stderr_truncated boolean")
     K.write_results_csv(df, str(tmp_path / "r.csv"))
     assert tuple(S.tool_results(spark, str(tmp_path / "r.csv")).first()) == row
+
+
+def test_config_rows(spark):
+    spark.createDataFrame([(1, "f", 3, 9)], "id int, file string, a int, b int").createOrReplaceTempView("work_rows")
+    conf = {"query": S.fill_template("SELECT * FROM ${t}", {"t": "work_rows"}), "id_column": "id", "fetch_key_column": "file", "range_start_column": "a", "range_end_column": "b"}
+    assert S.config_rows(spark, conf).first().asDict() == {"id": 1, "fetch_key": "f", "range_start": 3, "range_end": 9}
+    assert spark.range(1).select(S.byte_range(F.lit(5), F.lit(10)).alias("r")).first().r == "bytes=5-14"
