@@ -127,4 +127,43 @@ def p8_stretches(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (p4_distinct, p4_states, p5_sample, p5_shares, p6_found, p6_items, p7_mix, p7_shares, p8_found, p8_stretches)}
-ORACLES: dict[str, str] = {}
+
+# Words as in the operator; runs of eight equal words, of which every case has one, find the alignments to compare.
+_JOIN_HYPHENS = "regexp_replace({}, '([\\p{{L}}\\p{{N}}_])[-‐‑‒]([ \\t]*\\r?\\n[\\s>|]*)?([\\p{{L}}\\p{{N}}_])', '\\1\\3', 'g')"
+_PLAIN = "regexp_replace(strip_accents(lower(text)), '[\\x{00AD}\\x{0300}-\\x{036F}\\x{200B}-\\x{200D}\\x{2060}\\x{FEFF}]', '', 'g')"
+_WORDS = f"regexp_extract_all({_JOIN_HYPHENS.format(_JOIN_HYPHENS.format(_PLAIN))}, '[\\p{{L}}\\p{{N}}]+')"
+_LEAKED = f"""WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents WHERE text IS NOT NULL),
+i AS (SELECT item_id, {_WORDS} AS w FROM heldout_items WHERE text IS NOT NULL),
+dp AS (SELECT doc_id, unnest(range(1, len(w) - 6)) AS p, w FROM d WHERE len(w) >= 24),
+dg AS (SELECT doc_id, p, array_to_string(w[p:p + 7], ' ') AS g FROM dp),
+ip AS (SELECT item_id, unnest(range(1, len(w) - 6)) AS p, w FROM i WHERE len(w) >= 24),
+ig AS (SELECT item_id, p, array_to_string(w[p:p + 7], ' ') AS g FROM ip),
+c AS (SELECT DISTINCT doc_id, item_id, dg.p - ig.p AS shift FROM dg JOIN ig USING (g)),
+x AS (SELECT c.doc_id, c.item_id, list_transform(range(greatest(1, 1 - shift), least(len(i.w), len(d.w) - shift) + 1), lambda k: CASE WHEN i.w[k] = d.w[k + shift] THEN 1 ELSE 0 END) AS same
+  FROM c JOIN d USING (doc_id) JOIN i USING (item_id)),
+leaked AS (SELECT DISTINCT doc_id, item_id FROM x WHERE len(same) >= 24 AND list_max(list_transform(range(1, len(same) - 22), lambda s: list_sum(same[s:s + 23]))) >= 22)"""
+
+# Rules of the filters in their order; a quota never falls, so the last epoch's is the number selected.
+_NORMAL = "trim(regexp_replace(regexp_replace(lower({}), '^\"|\"$', '', 'g'), '\\s+', ' ', 'g'))"
+_SHARES = f"""WITH f AS (SELECT filter_name, filter_json::json AS j FROM record_filters WHERE filter_json LIKE '%"probability"%' OR filter_json LIKE '%"defaultProbability"%'),
+f2 AS (SELECT *, coalesce(try_cast(j->>'defaultProbability' AS double), 1) AS thin, coalesce(try_cast(j->>'defaultInclude' AS boolean), false) AS rest,
+  CASE WHEN json_type(j->'status') = 'ARRAY' THEN from_json(j->'status', '["int"]') WHEN j->>'status' IS NOT NULL THEN [(j->>'status')::int] ELSE []::int[] END AS ok FROM f),
+e AS (SELECT filter_name, 1 AS k, 'exact.mimes' AS kind, unnest(from_json(coalesce(j->'exact'->'mimes', '[]'), '["json"]')) AS el FROM f2
+  UNION ALL SELECT filter_name, 2, 'exact.detected_mimes', unnest(from_json(coalesce(j->'exact'->'detected_mimes', '[]'), '["json"]')) FROM f2
+  UNION ALL SELECT filter_name, 3, 'regex.mimes', unnest(from_json(coalesce(j->'regex'->'mimes', '[]'), '["json"]')) FROM f2
+  UNION ALL SELECT filter_name, 4, 'regex.detected_mimes', unnest(from_json(coalesce(j->'regex'->'detected_mimes', '[]'), '["json"]')) FROM f2),
+r AS (SELECT filter_name, k, kind, CASE WHEN json_type(el) = 'VARCHAR' THEN el->>'$' ELSE el->>'pattern' END AS pattern, CASE WHEN json_type(el) = 'VARCHAR' THEN 1 ELSE coalesce(try_cast(el->>'probability' AS double), 1) END AS p FROM e),
+u AS (SELECT DISTINCT u.id, lower(regexp_extract(trim(url), '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*')) || regexp_replace(trim(url), '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*', '') AS key, u.status,
+  {_NORMAL.format('m.name')} AS m, {_NORMAL.format('d.name')} AS x FROM cc_urls u LEFT JOIN cc_mimes m ON m.id = u.mime LEFT JOIN cc_detected_mimes d ON d.id = u.detected_mime WHERE trim(url) <> ''),
+s AS (SELECT u.id, u.key, f2.filter_name, f2.thin, f2.rest FROM u JOIN f2 ON len(f2.ok) = 0 OR list_contains(f2.ok, u.status)),
+hit AS (SELECT u.id, u.key, r.filter_name, min_by(r.kind || ':' || r.pattern, r.k) AS rule, min_by(r.p, r.k) AS p FROM u JOIN r ON CASE r.k WHEN 1 THEN u.m = lower(r.pattern) WHEN 2 THEN u.x = lower(r.pattern) WHEN 3 THEN regexp_matches(u.m, r.pattern) ELSE regexp_matches(u.x, r.pattern) END GROUP BY ALL),
+st AS (SELECT s.filter_name, s.key, CASE WHEN thin < 1 THEN 'default' ELSE coalesce(hit.rule, CASE WHEN rest THEN 'default' END) END AS rule, CASE WHEN thin < 1 THEN thin ELSE coalesce(hit.p, 1) END AS p
+  FROM s LEFT JOIN hit ON hit.id = s.id AND hit.key = s.key AND hit.filter_name = s.filter_name),
+n AS (SELECT filter_name || '|' || rule AS rule, max(p)::double AS rate, count(DISTINCT key) AS n_keys FROM st WHERE rule IS NOT NULL GROUP BY 1)
+SELECT rule, n_keys, round(rate * n_keys)::bigint AS n_selected, rate, round(rate * n_keys) / n_keys AS reached FROM n"""
+
+ORACLES: dict[str, str] = {
+    "p5_shares": _SHARES,
+    "p6_found": f"{_LEAKED} SELECT doc_id, item_id FROM leaked",
+    "p6_items": f"{_LEAKED}, items AS (SELECT DISTINCT item_id FROM heldout_items) SELECT items.item_id, count(doc_id) AS n_documents FROM items LEFT JOIN leaked ON leaked.item_id = items.item_id GROUP BY 1",
+}
