@@ -120,10 +120,6 @@ def _chunks(texts: list[str | None], most: int) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
-def _slots(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return (h >> np.uint64(64 - BITMAP_BITS)).astype(np.int64), ((h >> np.uint64(8)) & np.uint64((1 << BITMAP_BITS) - 1)).astype(np.int64)
-
-
 def item_seeds(items: DataFrame, window: int, mismatches: int) -> DataFrame:
     """(item_id, hash, around): every seed of every item, with the words around it."""
 
@@ -166,7 +162,7 @@ def document_hits(documents: DataFrame, packed: np.ndarray, window: int, mismatc
                 for at, h in s.hashes(ids, ends, ends - starts):
                     kept = one[(h >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)]
                     at, h = at[kept], h[kept]
-                    kept = two[_slots(h)[1]]
+                    kept = two[((h >> np.uint64(8)) & np.uint64((1 << BITMAP_BITS) - 1)).astype(np.int64)]
                     at, h = at[kept], h[kept]
                     if len(at):
                         near = s.context(ids, at, starts[owner[at]], ends[owner[at]], -1)

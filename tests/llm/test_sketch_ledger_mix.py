@@ -115,10 +115,6 @@ def test_pfair_schedule_lag():
         M.quantise({str(i): 1.0 for i in range(11)}, 10)
 
 
-def brute_mix(sized, planned, block, period):
-    return {(p["mix_name"], p["source"]): p["take"] for p in planned}
-
-
 def test_mix_shares_and_repeats(spark):
     rng = random.Random(4)
     rows = [(i, "big", rng.randrange(1, 60)) for i in range(3000)] + [(10_000 + i, "small", rng.randrange(1, 60)) for i in range(60)] + [(1, None, 5), (None, "big", 9), (99_999, "big", 0)]
