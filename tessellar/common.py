@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 from collections.abc import Sequence
 
@@ -78,7 +77,3 @@ def join_sized(
     salt = F.pmod(F.xxhash64(*(salt_by or big.columns)), F.lit(salts)).cast("int")
     copies = small.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return big.withColumn("__salt", salt).join(copies, [*on, "__salt"], how).drop("__salt")
-
-
-def env_dir(name: str, default: str) -> str:
-    return os.environ.get(name, default)

@@ -26,6 +26,8 @@ from pyspark.sql import types as T
 
 from tessellar.common import BROADCAST_ROWS, cut, join_sized, shared_dir
 
+#: A task remembers so many runs to skip their copies; the rest is left to the windows.
+_SEEN_RUNS = 200_000
 #: Between the tokens of a sequence; a token that follows white space starts with a blank.
 SEP = "\x1f"
 
@@ -199,9 +201,15 @@ def candidate_lines(runs: DataFrame, ends: bool = False) -> DataFrame:
     one = runs.where("run_id IS NOT NULL AND stderr IS NOT NULL AND stderr <> ''").select("run_id", F.xxhash64("started_at", "stderr").alias("version"), "started_at", "stderr")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: set = set()  # copies of a run within a task, however many, are read once
         for b in batches:
             rows = []
             for run_id, version, started, text in zip(b["run_id"], b["version"], b["started_at"], b["stderr"]):
+                if (run_id, version) in seen:
+                    continue
+                if len(seen) >= _SEEN_RUNS:
+                    seen.clear()
+                seen.add((run_id, version))
                 at = None if pd.isna(started) else started.to_pydatetime()
                 if at is not None and at.tzinfo is not None:
                     at = at.astimezone(timezone.utc).replace(tzinfo=None)

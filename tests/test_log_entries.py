@@ -51,6 +51,17 @@ def test_nulls_repeats_and_empty(spark):
     assert found(spark, []) == {}
 
 
+def test_many_copies_of_a_run(spark):
+    rows = [(7, AT, "error: a\n  b\ninfo: c")] * 500 + [(i, AT, "warning: d") for i in range(5)]
+    want = {(7, 1): (2, "", "ERROR", ""), (7, 3): (1, "", "INFO", "")} | {(i, 1): (1, "", "WARN", "") for i in range(5)}
+    assert found(spark, rows) == want
+
+
+def test_differing_copies_of_a_run(spark):
+    got = found(spark, [(1, AT, "error: a"), (1, AT, "info: b\nwarn: c")])
+    assert got in ({(1, 1): (1, "", "ERROR", "")}, {(1, 1): (1, "", "INFO", ""), (1, 2): (1, "", "WARN", "")})
+
+
 def test_long_text_and_salted_joins(spark):
     text = "\n".join(f"warning: page {i}\n  more" for i in range(3000))
     got = found(spark, [(1, AT, text)], max_rows=0)
