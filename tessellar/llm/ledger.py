@@ -24,7 +24,8 @@ def first_seen(rows: DataFrame, names: Column, key: Column, epoch: Column, numbe
     """(stratum, key, priority, epoch): each key of each stratum once, with the first epoch that has it.
 
     ``names`` is an array of stratum names, null ones among them, and ``numbers`` the number of each; the priority hashes the
-    name, so a change of numbers changes no sample. Null keys and epochs are left out.
+    name, so a change of numbers changes no sample. Null keys and epochs are left out, repeated rows count once, an empty table gives
+    no key; further columns of ``rows`` are never read.
     """
     number = F.create_map(*(F.lit(x) for n, i in numbers.items() for x in (n, i)))
     flat = rows.select(key.alias("key"), epoch.cast("int").alias("epoch"), F.explode(F.array_compact(names)).alias("name")).where("key IS NOT NULL AND epoch IS NOT NULL")

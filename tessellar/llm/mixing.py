@@ -121,11 +121,12 @@ def mix(sized: DataFrame, targets: DataFrame, total: int | None = None, block: i
 
     First (mix_name, slot, source, offset, repeat_no, doc_id, n_tokens): the order of a mix is slot, then offset. Second the
     shares: (mix_name, source, target_share, aimed_share, reached_share, n_tokens, n_rows, most_repeats, max_repeats). ``sized``
-    has doc_id, source and n_tokens; rows without tokens or source are left out, as they add nothing to a share. A source's take
-    ends with the document that reaches it.
+    has doc_id, source and n_tokens; rows without tokens or source are left out, as they add nothing to a share; repeated rows are
+    documents of their own. A source's take ends with the document that reaches it. Ties in hash order go by doc_id and size. Without
+    documents a mix is empty and all its shares 0. Further columns are dropped.
     """
     spark = sized.sparkSession
-    sized = sized.where("n_tokens > 0 AND source IS NOT NULL AND doc_id IS NOT NULL")
+    sized = sized.select("doc_id", "source", "n_tokens").where("n_tokens > 0 AND source IS NOT NULL AND doc_id IS NOT NULL")
     wanted = targets.select("source").where("source IS NOT NULL").distinct()
     of = sized.groupBy("source").agg(F.sum("n_tokens").alias("n")).join(F.broadcast(wanted.limit(MOST_TARGETS)), "source", "left_semi")
     planned = plan(targets, {r["source"]: r["n"] for r in of.collect()}, total, block, period)

@@ -25,7 +25,11 @@ NONE = "(none)"
 
 
 def sketch(rows: DataFrame, groups: Mapping[str, Column], fields: Mapping[str, Column]) -> DataFrame:
-    """(groups..., field, bucket, bits): states of the rows, pre-aggregated before their shuffle. Null identifiers count for nothing."""
+    """(groups..., field, bucket, bits): states of the rows, pre-aggregated before their shuffle.
+
+    Null identifiers count for nothing, repeated rows once; an empty table has no state. Only the columns named are read, so further
+    ones may be called anything. Identifiers of any length are hashed whole.
+    """
     h = F.xxhash64("__v.id")
     rest = F.shiftrightunsigned(h, BUCKET_BITS).bitwiseOR(F.lit(1 << (64 - BUCKET_BITS - 1)))  # never 0
     ids = F.explode(F.array(*(F.struct(F.lit(f).alias("field"), c.cast("string").alias("id")) for f, c in fields.items())))
