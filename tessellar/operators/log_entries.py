@@ -397,9 +397,13 @@ class _Header:
                     break
                 i = j
                 continue
-            elif x == _THREAD and headed or x == _NUM and headed and self.comp is None and self._letter():
+            elif x == _THREAD and headed or x == _NUM and headed and self.comp is None and (self._letter() or after == "---"):
                 pass
-            elif headed and x in ("|", ",", "-", "--", ">", "]") and not (x in ("-", "--") and not self.spaced[i]):
+            elif x == "{" and headed and self.comp is None and self.name(i + 1) and (j := self._group(i, "}")) > i:  # {file:line}
+                self.comp = i + 1
+                i = j
+                continue
+            elif headed and x in ("|", ",", "-", "--", "---", ">", "]") and not (x[0] == "-" and not self.spaced[i]):
                 if self.comp is not None and self.level is not None:
                     self.end = i + 1
                     return
@@ -434,7 +438,7 @@ class _Header:
         after = self.at(i + 1)
         if self.time is not None or self.comp is not None and self.comp < i:
             return True
-        if i == 0 and not self.spaced[1:2] == [True] and after == _TIME:
+        if i == 0 and after == _TIME:
             return True
         return after in (":", "|", "]", ">") or after in ("[", "(", "-") and self._gap(i + 1)
 

@@ -30,6 +30,11 @@ HEADERS = [
     ("W0331 16:01:53.870670   38640 xref.go:595] odd", "2025-03-31 16:01:53", "WARN", "xref.go"),
     ("Mar  2 23:45:00 node3 scan-runner[41]: ERROR: odd", "2025-03-02 23:45:00", "ERROR", "scan-runner"),
     ("Mar 12 23:45:04 node19 freshdb[2]: odd at 12:58:07", "2025-03-12 23:45:04", "", "freshdb"),
+    ("2025-03-01T10:00:00.123Z  INFO 12345 --- [main] c.e.App : odd", "2025-03-01 10:00:00", "INFO", "c.e.App"),
+    ("[2025-03-01 10:00:00,123] {task.py:90} INFO - odd", "2025-03-01 10:00:00", "INFO", "task.py"),
+    ("ERROR 2025-03-01 10:00:00,123 module 123 odd", "2025-03-01 10:00:00", "ERROR", ""),
+    ("2025/03/01 10:00:00 [error] 123#0: *1 odd", "2025-03-01 10:00:00", "ERROR", ""),
+    ('time="2025-03-01T10:00:00+02:00" level=info msg="x y" component=yy', "2025-03-01 08:00:00", "INFO", "yy"),
 ]
 NONE = ["Traceback (most recent call last):", "KeyError: odd", "a.b.BadState: odd (error: none)", "Caused by: a.B: odd", "while reading x", "-----", "build 7.41", "error reading file", ""]
 
