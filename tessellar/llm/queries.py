@@ -39,11 +39,8 @@ def p4_distinct(spark: SparkSession, d: str) -> DataFrame:
     A null in day, tld or mime stands for the union over all its values; '(none)' for captures without one.
     """
     groups = ["day", "tld", "mime"]
-    states = _capture_states(spark, d)
     sets = [groups, ["day", "tld"], ["day", "mime"], ["tld", "mime"], ["day"], ["tld"], ["mime"], []]
-    out = S.estimate(S.unions(states.where("field <> 'tld'"), groups, sets), groups)
-    tlds = S.estimate(S.merge(states.where("field = 'tld'"), ["day"]), ["day"])
-    return out.unionByName(tlds.select("day", F.lit(None).cast("string").alias("tld"), F.lit(None).cast("string").alias("mime"), "field", "n_distinct", "std_error", "low", "high"))
+    return S.estimate(S.unions(_capture_states(spark, d), groups, sets, own={"tld": [["day"]]}), groups)
 
 
 def p4_states(spark: SparkSession, d: str) -> DataFrame:

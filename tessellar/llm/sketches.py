@@ -42,9 +42,19 @@ def merge(states: DataFrame, by: Sequence[str]) -> DataFrame:
     return states.groupBy(*by, "field", "bucket").agg(F.bit_or("bits").alias("bits"))
 
 
-def unions(states: DataFrame, groups: Sequence[str], sets: Sequence[Sequence[str]]) -> DataFrame:
-    """States of all unions in ``sets``, each a list of the group columns that are kept; the others are null."""
-    return states.groupingSets([[*(F.col(g) for g in s), F.col("field"), F.col("bucket")] for s in sets], *groups, "field", "bucket").agg(F.bit_or("bits").alias("bits"))
+def unions(states: DataFrame, groups: Sequence[str], sets: Sequence[Sequence[str]], own: Mapping[str, Sequence[Sequence[str]]] | None = None) -> DataFrame:
+    """States of all unions in ``sets``, each a list of the group columns that are kept; the others are null. ``own`` has other sets for some fields.
+
+    The states are laid out by field and bucket, of which there are some thousands, evenly filled; so every union of a bucket is
+    made where it lies, and only the estimates' counts are shuffled again.
+    """
+    kinds = {g: states.schema[g].dataType for g in groups}
+    listed = lambda sets: F.array(*(F.struct(*((F.col(g) if g in s else F.lit(None).cast(kinds[g])).alias(g) for g in groups)) for s in sets))
+    each = listed(sets)
+    for field, other in (own or {}).items():
+        each = F.when(F.col("field") == field, listed(other)).otherwise(each)
+    placed = states.repartition("field", "bucket").select("field", "bucket", "bits", F.explode(each).alias("__g"))
+    return placed.groupBy(*(F.col(f"__g.{g}").alias(g) for g in groups), "field", "bucket").agg(F.bit_or("bits").alias("bits"))
 
 
 def accumulate(states: DataFrame, path: str, by: Sequence[str]) -> DataFrame:

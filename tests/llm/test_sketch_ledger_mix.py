@@ -34,6 +34,8 @@ def test_merging_parts_is_the_whole(spark):
     assert key(S.merge(parts, ["g"])) == key(S.merge(whole, ["g"]))
     u = {r.g: r.n_distinct for r in S.estimate(S.unions(whole, ["g"], [["g"], []]), ["g"]).collect()}
     assert abs(u[None] - 9000) < 400 and set(u) == {None, "x", "y"}
+    only = S.estimate(S.unions(whole, ["g"], [["g"], []], own={"id": [["g"]]}), ["g"]).collect()
+    assert {r.g for r in only} == {"x", "y"}
 
 
 def test_stored_states_take_late_rows(spark, tmp_path):
