@@ -38,8 +38,8 @@ def extend(keys: DataFrame, rates: Mapping[int, float], ledger: DataFrame, epoch
 
     ``keys`` as from first_seen(). Quotas are round(rate * keys seen up to the epoch) less the kept ones, never negative. To find
     the lowest hashes without sorting a stratum in one task, keys and ledger are counted per hash bin; their difference, summed up,
-    shows the bins that are wanted whole and the one that is wanted in part; only these bins are joined with the ledger, and only
-    the last is ranked. Equal hashes go by key. ``most``, the keys of the largest stratum, sets the number of bins; it is counted
+    shows the bins that are wanted whole and the one that is wanted in part; only the last is ranked. Bins in which every key but
+    those of this epoch is kept need no look at the ledger, the others are joined with it. Equal hashes go by key. ``most``, the keys of the largest stratum, sets the number of bins; it is counted
     if not given, and changes no result.
     """
     seen = keys.where(F.col("epoch") <= epoch)
@@ -49,19 +49,22 @@ def extend(keys: DataFrame, rates: Mapping[int, float], ledger: DataFrame, epoch
     in_bin = F.shiftrightunsigned("priority", 63 - bits).alias("bin")
     counts = (
         seen.groupBy("stratum", in_bin)
-        .agg(F.count(F.lit(1)).alias("n"), F.lit(0).cast("bigint").alias("kept"))
-        .unionByName(ledger.groupBy("stratum", in_bin).agg(F.lit(0).cast("bigint").alias("n"), F.count(F.lit(1)).alias("kept")))
+        .agg(F.count(F.lit(1)).alias("n"), F.lit(0).cast("bigint").alias("kept"), F.count(F.when(F.col("epoch") == epoch, 1)).alias("new"))
+        .unionByName(ledger.groupBy("stratum", in_bin).agg(F.lit(0).cast("bigint").alias("n"), F.count(F.lit(1)).alias("kept"), F.lit(0).cast("bigint").alias("new")))
         .groupBy("stratum", "bin")
-        .agg(F.sum("n").alias("n"), F.sum("kept").alias("kept"))
+        .agg(F.sum("n").alias("n"), F.sum("kept").alias("kept"), F.sum("new").alias("new"))
     )
     rate = F.create_map(*(F.lit(x) for k, v in rates.items() for x in (k, float(v))))
     all_bins = Window.partitionBy("stratum")
     quota = F.greatest(F.lit(0), F.round(F.try_element_at(rate, F.col("stratum")) * F.sum("n").over(all_bins)).cast("bigint") - F.sum("kept").over(all_bins))
     before = F.coalesce(F.sum(F.col("n") - F.col("kept")).over(all_bins.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    bins = counts.select("stratum", "bin", quota.alias("quota"), before.alias("before"), (F.col("n") - F.col("kept")).alias("free"))
-    bins = cut(bins.where("before < quota AND free > 0").select("stratum", "bin", (F.col("quota") - F.col("before")).alias("wanted"), "free"))
-    fresh = join_sized(seen.withColumn("bin", in_bin), bins, ["stratum", "bin"], "inner", salt_by=["key"])
-    fresh = fresh.join(ledger.select("stratum", "key"), ["stratum", "key"], "left_anti")  # keys are distinct, none is hot
+    bins = counts.select("stratum", "bin", quota.alias("quota"), before.alias("before"), (F.col("n") - F.col("kept")).alias("free"), "new")
+    bins = cut(bins.where("before < quota AND free > 0").select("stratum", "bin", (F.col("quota") - F.col("before")).alias("wanted"), "free", (F.col("free") == F.col("new")).alias("all_new"), F.col("bin").alias("of_bin")))
+    in_bins = lambda rows, which: join_sized(rows.withColumn("bin", in_bin), bins.where(which), ["stratum", "bin"], "inner", salt_by=["key"])
+    kept = ledger.select(F.col("stratum").alias("__s"), F.col("key").alias("__k"), in_bin.alias("__b"))
+    # by the bins' own column, too, or the anti join would be moved below the join with the bins and shuffle every key; none is hot
+    older = in_bins(seen, "NOT all_new").join(kept, F.expr("stratum = __s AND key = __k AND of_bin = __b"), "left_anti")
+    fresh = older.unionByName(in_bins(seen.where(F.col("epoch") == epoch), "all_new"))
     cols = ["stratum", "key", "priority", F.lit(epoch).alias("epoch")]
     whole = fresh.where("wanted >= free").select(*cols)
     ranked = fresh.where("wanted < free").withColumn("__r", F.row_number().over(Window.partitionBy("stratum", "bin").orderBy("priority", "key")))
