@@ -8,6 +8,7 @@ the same sample, and what was once selected stays selected.
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, Window
@@ -33,14 +34,14 @@ def first_seen(rows: DataFrame, names: Column, key: Column, epoch: Column, numbe
     return flat.groupBy("stratum", "key").agg(F.min("priority").alias("priority"), F.min("epoch").alias("epoch"))
 
 
-def extend(keys: DataFrame, rates: Mapping[int, float], ledger: DataFrame, epoch: int, most: int | None = None) -> DataFrame:
+def extend(keys: DataFrame, rates: Mapping[int, float], ledger: DataFrame, epoch: int, most: int | None = None, again: bool = False) -> DataFrame:
     """The keys that ``epoch`` adds to ``ledger``, as (stratum, key, priority, epoch).
 
     ``keys`` as from first_seen(). Quotas are round(rate * keys seen up to the epoch) less the kept ones, never negative. To find
     the lowest hashes without sorting a stratum in one task, keys and ledger are counted per hash bin; their difference, summed up,
     shows the bins that are wanted whole and the one that is wanted in part; only the last is ranked. Bins in which every key but
     those of this epoch is kept need no look at the ledger, the others are joined with it. Equal hashes go by key. ``most``, the keys of the largest stratum, sets the number of bins; it is counted
-    if not given, and changes no result.
+    if not given, and changes no result. ``again``: the ledger may already hold keys of this epoch, so every wanted bin is compared with it.
     """
     seen = keys.where(F.col("epoch") <= epoch)
     if most is None:
@@ -49,7 +50,7 @@ def extend(keys: DataFrame, rates: Mapping[int, float], ledger: DataFrame, epoch
     in_bin = F.shiftrightunsigned("priority", 63 - bits).alias("bin")
     counts = (
         seen.groupBy("stratum", in_bin)
-        .agg(F.count(F.lit(1)).alias("n"), F.lit(0).cast("bigint").alias("kept"), F.count(F.when(F.col("epoch") == epoch, 1)).alias("new"))
+        .agg(F.count(F.lit(1)).alias("n"), F.lit(0).cast("bigint").alias("kept"), F.count(F.when((F.col("epoch") == epoch) & F.lit(not again), 1)).alias("new"))
         .unionByName(ledger.groupBy("stratum", in_bin).agg(F.lit(0).cast("bigint").alias("n"), F.count(F.lit(1)).alias("kept"), F.lit(0).cast("bigint").alias("new")))
         .groupBy("stratum", "bin")
         .agg(F.sum("n").alias("n"), F.sum("kept").alias("kept"), F.sum("new").alias("new"))
@@ -72,20 +73,45 @@ def extend(keys: DataFrame, rates: Mapping[int, float], ledger: DataFrame, epoch
 
 
 def grow(keys: DataFrame, rates: Mapping[int, float], path: str, epochs: list[int]) -> DataFrame:
-    """Extend the ledger at ``path`` by each of ``epochs`` that it lacks, one folder each, and return it.
+    """Extend the ledger at ``path`` to what ``epochs`` and the keys of earlier runs' epochs ask for, and return it.
 
-    An epoch's folder is written whole or not at all and never changed; a repeated run finds its epochs there and adds nothing.
+    A part's folder is written whole or not at all and never changed. Of an empty ledger every epoch becomes one part. A later run
+    keeps what it finds; where epochs up to the last one found have grown, one further part of that last epoch fills their quotas
+    from keys not yet selected, and then the new epochs follow. Without new keys nothing is added. Selected keys that ``keys``
+    lacks stay in the parts, but are neither counted nor returned. Only one run at a time may extend a ledger.
     """
     spark = keys.sparkSession
-    done: list[str] = []
+    none = spark.createDataFrame([], SCHEMA)
+    read = lambda parts: spark.read.schema(SCHEMA).parquet(*parts) if parts else none
     most = keys.groupBy("stratum").count().agg(F.max("count")).first()[0] or 0
+    old, last = _parts(spark, path)
+    found = cut(read(old).join(keys.select("stratum", "key", F.col("epoch").alias("first")), ["stratum", "key"])) if old else none.withColumn("first", F.col("epoch"))
+    added: list[str] = []
+    # a key's first epoch may lie after the one at hand if rows were taken away; then it isn't counted yet
+    ledger = lambda e: found.where(F.col("first") <= e).drop("first").select("stratum", "key", "priority", "epoch").unionByName(read(added))
+    if old:
+        short = shares(keys.where(F.col("epoch") <= last), rates, ledger(last)).where(F.round(F.col("rate") * F.col("n_keys")) > F.col("n_selected"))
+        if not short.isEmpty():
+            part = f"{path}/part-epoch-{last:06d}-{len(old):04d}"
+            extend(keys, rates, ledger(last), last, most, again=True).write.mode("overwrite").parquet(part)
+            added.append(part)
     for e in sorted(epochs):
-        ledger = spark.read.schema(SCHEMA).parquet(*done) if done else spark.createDataFrame([], SCHEMA)
+        if old and e <= last:
+            continue
         part = f"{path}/part-epoch-{e:06d}"
-        if not _complete(spark, part):
-            extend(keys, rates, ledger, e, most).write.mode("overwrite").parquet(part)
-        done.append(part)
-    return spark.read.schema(SCHEMA).parquet(*done) if done else spark.createDataFrame([], SCHEMA)
+        extend(keys, rates, ledger(e) if old else read(added), e, most, again=bool(old)).write.mode("overwrite").parquet(part)
+        added.append(part)
+    return found.select("stratum", "key", "priority", "epoch").unionByName(read(added)) if old else read(added)
+
+
+def _parts(spark, path: str) -> tuple[list[str], int]:
+    """The complete parts of the ledger at ``path``, and the last epoch that they reach (-1: none)."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(conf)
+    names = sorted(f.getPath().getName() for f in fs.listStatus(p)) if fs.exists(p) else []
+    numbers = {n: int(m[1]) for n in names if (m := re.fullmatch(r"part-epoch-(\d+)(?:-\d+)?", n)) and _complete(spark, f"{path}/{n}")}
+    return [f"{path}/{n}" for n in numbers], max(numbers.values(), default=-1)
 
 
 def _complete(spark, path: str) -> bool:

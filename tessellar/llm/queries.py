@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,9 +50,12 @@ def p4_states(spark: SparkSession, d: str) -> DataFrame:
     return _capture_states(spark, d).groupBy("day", "field").agg(F.count(F.lit(1)).alias("n_buckets"), F.sum(F.bit_count("bits")).alias("n_bits"))
 
 
-def _strata(spark: SparkSession, d: str) -> tuple[DataFrame, list[tuple[str, float]], list[int]]:
-    """Keys by first epoch, name and rate of each stratum, and epochs: months of loaded_at, counted as year * 12 + month."""
-    confs = table(spark, d, "record_filters").where("filter_json IS NOT NULL").orderBy("filter_name").limit(MOST_FILTERS + 1).collect()
+def _strata(spark: SparkSession, d: str) -> tuple[DataFrame, list[tuple[str, float]], list[int], str]:
+    """Keys by first epoch, name and rate of each stratum, epochs (months of loaded_at, counted as year * 12 + month), and the ledger's name.
+
+    The name stands for the tables' path and the sampling filters, so that every run over them finds the ledger of the runs before.
+    """
+    confs = table(spark, d, "record_filters").where("filter_json IS NOT NULL").orderBy("filter_name", "filter_json").limit(MOST_FILTERS + 1).collect()
     if len(confs) > MOST_FILTERS:
         raise ValueError(f"more than {MOST_FILTERS} filters")
     urls = table(spark, d, "cc_urls").select("url", "mime", "detected_mime", "status", "loaded_at")
@@ -69,12 +74,20 @@ def _strata(spark: SparkSession, d: str) -> tuple[DataFrame, list[tuple[str, flo
     named = list(rates.items()) or [("", 0.0)]
     E.first_seen(rows, F.array(*strata) if strata else F.array(F.lit(None).cast("string")), F.when(url != "", url), F.year("loaded_at") * 12 + F.month("loaded_at") - 1, {n: i for i, (n, _) in enumerate(named)}).write.parquet(path)
     keys = spark.read.parquet(path)
-    return keys, named, [r[0] for r in keys.select("epoch").distinct().orderBy("epoch").limit(2400).collect()]
+    sampling = [[c["filter_name"], c["filter_json"]] for c in confs if has_probability(c["filter_json"])]
+    name = "ledger-" + hashlib.sha256(json.dumps([_full_path(spark, d), sampling]).encode()).hexdigest()[:32]
+    return keys, named, [r[0] for r in keys.select("epoch").distinct().orderBy("epoch").limit(2400).collect()], name
+
+
+def _full_path(spark: SparkSession, d: str) -> str:
+    """``d`` with scheme and host and without a final slash, however it was given."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(d)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(p).toString().rstrip("/")
 
 
 def _ledger(spark: SparkSession, d: str) -> tuple[DataFrame, list[tuple[str, float]], DataFrame]:
-    keys, named, epochs = _strata(spark, d)
-    return keys, named, E.grow(keys, {i: r for i, (_, r) in enumerate(named)}, f"{shared_dir(spark)}/ledger-{uuid.uuid4().hex}", epochs)
+    keys, named, epochs, ledger = _strata(spark, d)
+    return keys, named, E.grow(keys, {i: r for i, (_, r) in enumerate(named)}, f"{shared_dir(spark)}/{ledger}", epochs)
 
 
 def p5_sample(spark: SparkSession, d: str) -> DataFrame:

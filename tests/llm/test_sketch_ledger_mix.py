@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tessellar.llm import ledger as E
 from tessellar.llm import mixing as M
+from tessellar.llm import queries as Q
 from tessellar.llm import sketches as S
 from tessellar.llm import tokens as T
 
@@ -167,3 +168,34 @@ def test_token_counts_are_exact(spark):
 def test_epochs_are_months(spark):
     df = spark.createDataFrame([(datetime(2025, 1, 5),)], "t timestamp_ntz")
     assert df.select(F.year("t") * 12 + F.month("t") - 1).first()[0] == 2025 * 12
+
+
+def test_ledger_grows_within_its_last_epoch(spark, tmp_path):
+    path, rates = str(tmp_path / "ledger"), {0: 0.1, 1: 0.5}
+    rows = [("s", f"u{i}", i % 3) for i in range(3000)] + [("t", f"u{i}", 2) for i in range(50)]
+    of = lambda ledger: {(r.stratum, r.key) for r in ledger.collect()}
+    first = of(E.grow(keys_of(spark, rows), rates, path, [0, 1, 2]))
+    assert Counter(s for s, _ in first) == {0: 300, 1: 25}
+    rows += [("s", f"v{i}", 2 - i % 2) for i in range(3000)] + [("t", f"v{i}", 2) for i in range(50)]
+    second = of(E.grow(keys_of(spark, rows), rates, path, [0, 1, 2]))
+    assert first < second and Counter(s for s, _ in second) == {0: 600, 1: 50}
+    parts = sorted(p.name for p in (tmp_path / "ledger").iterdir())
+    assert of(E.grow(keys_of(spark, rows), rates, path, [0, 1, 2])) == second and sorted(p.name for p in (tmp_path / "ledger").iterdir()) == parts
+    rows += [("s", f"w{i}", 2 + i % 2) for i in range(1000)]
+    third = E.grow(keys_of(spark, rows), rates, path, [0, 1, 2, 3])
+    assert second < of(third) and third.count() == len(of(third)) == 750
+    fewer = of(E.grow(keys_of(spark, [r for r in rows if r[1][0] != "w"]), rates, path, [0, 1, 2]))
+    assert second <= fewer and not any(k[0] == "w" for _, k in fewer)
+
+
+def test_sample_query_keeps_its_urls_when_the_newest_month_grows(spark, tmp_path):
+    save = lambda rows, schema, name: spark.createDataFrame(rows, schema).write.mode("overwrite").parquet(f"{tmp_path}/{name}.parquet")
+    save([(1, "text/html")], "id int, name string", "cc_mimes")
+    save([(1, "text/html")], "id int, name string", "cc_detected_mimes")
+    save([(f"f{i}", '{"defaultInclude": true, "defaultProbability": 0.1}') for i in range(8)], "filter_name string, filter_json string", "record_filters")
+    captures = [(f"http://a/{i}", 1, 1, 200, datetime(2025, 1 + i % 2, 5)) for i in range(1000)]
+    runs = []
+    for rows in (captures, captures + [(f"http://b/{i}", 1, 1, 200, datetime(2025, 2, 20)) for i in range(1000)]):
+        save(rows, "url string, mime int, detected_mime int, status int, loaded_at timestamp_ntz", "cc_urls")
+        runs.append({(r.filter_name, r.url) for r in Q.p5_sample(spark, str(tmp_path)).collect()})
+    assert len(runs[0]) == 800 and len(runs[1]) == 1600 and runs[0] < runs[1]
