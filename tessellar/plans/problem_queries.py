@@ -17,6 +17,12 @@ REFERENCES = (
     O.Reference("cc_fetch", "id", "cc_urls", "id"),
     O.Reference("tool_runs", "path", "profiles", "path"),
 )
+#: With the texts, which p2_found and the SQL of p2_report leave out.
+ALL_REFERENCES = (
+    *REFERENCES,
+    O.Reference("documents", "host", "cc_hosts", "id", "added_at", "retired_at"),
+    O.Reference("documents", "path", "profiles", "path"),
+)
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
@@ -38,7 +44,7 @@ def p1_templates(spark: SparkSession, d: str) -> DataFrame:
     return t.select(F.concat_ws("", F.transform("template", lambda x: x)).alias("template"), "n_sequences", "s.is_header", "s.opens")
 
 
-def _orphans(spark: SparkSession, d: str) -> DataFrame:
+def _orphans(spark: SparkSession, d: str, references: tuple[O.Reference, ...] = REFERENCES) -> DataFrame:
     t = lambda n: table(spark, d, n)
     sources = {
         "cc_urls": O.Source(t("cc_urls"), F.col("id"), "loaded_at"),
@@ -48,7 +54,9 @@ def _orphans(spark: SparkSession, d: str) -> DataFrame:
         "cc_hosts": O.Source(t("cc_hosts"), F.col("id"), "added_at"),
         "cc_fetch_status": O.Source(t("cc_fetch_status"), F.col("id"), "added_at"),
     }
-    return O.find_orphans(sources, REFERENCES, compare={"path": O.plain_path})
+    if any(r.child == "documents" for r in references):
+        sources["documents"] = O.Source(t("documents"), F.col("doc_id"), "extracted_at")
+    return O.find_orphans(sources, references, compare={"path": O.plain_path})
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
@@ -61,6 +69,11 @@ def p2_report(spark: SparkSession, d: str) -> DataFrame:
     return O.per_table_and_period(_orphans(spark, d))
 
 
+def p2_report_all(spark: SparkSession, d: str) -> DataFrame:
+    """The same down the whole foreign-key graph, with documents whose host is not live or whose file is an orphan."""
+    return O.per_table_and_period(_orphans(spark, d, ALL_REFERENCES))
+
+
 def _hot(spark: SparkSession, d: str) -> DataFrame:
     urls = table(spark, d, "cc_urls")
     states = H.key_states(urls, ["host", "mime"], "warc_length", "captured_at")
@@ -121,17 +134,29 @@ SELECT src_table, period, count(*) FILTER (kind = 'd') AS n_direct, count(*) FIL
 FROM (SELECT *, 'd' AS kind FROM direct UNION ALL SELECT *, 'i' FROM inherited) GROUP BY 1, 2
 """
 
+# The same keys and orphans as in p2_report, then the documents.
+_REPORT_ALL_SQL = f"""
+{_REPORT_SQL.partition("inherited AS")[0]}inherited AS (SELECT * FROM (SELECT * FROM o1 UNION SELECT * FROM o2 UNION SELECT * FROM o3) EXCEPT SELECT * FROM direct),
+direct_docs AS (SELECT DISTINCT 'documents' AS src_table, doc_id::varchar AS row_key, strftime(extracted_at, '%Y-%m') AS period FROM documents c WHERE host IS NOT NULL AND extracted_at IS NOT NULL
+  AND NOT EXISTS (SELECT 1 FROM cc_hosts p WHERE p.id = c.host AND p.added_at <= c.extracted_at AND (p.retired_at IS NULL OR c.extracted_at < p.retired_at))),
+o4 AS (SELECT DISTINCT 'documents' AS src_table, doc_id::varchar AS row_key, strftime(extracted_at, '%Y-%m') AS period FROM documents
+  WHERE {_PLAIN.format("path")} IN (SELECT {_PLAIN.format("row_key")} FROM bad_profiles)),
+kinds AS (SELECT *, 'd' AS kind FROM direct UNION ALL SELECT *, 'i' FROM inherited UNION ALL SELECT *, 'd' FROM direct_docs UNION ALL SELECT *, 'i' FROM (SELECT * FROM o4 EXCEPT SELECT * FROM direct_docs))
+SELECT src_table, period, count(*) FILTER (kind = 'd') AS n_direct, count(*) FILTER (kind = 'i') AS n_inherited FROM kinds GROUP BY 1, 2
+"""
+
 _STATES = """states AS (
   SELECT 'host' AS field_name, host::bigint AS key_id, count(*) AS n_rows, sum(warc_length)::bigint AS sum_length, max(captured_at) AS latest_capture FROM cc_urls GROUP BY 2
   UNION ALL SELECT 'mime', mime::bigint, count(*), sum(warc_length)::bigint, max(captured_at) FROM cc_urls GROUP BY 2),
 dims AS (SELECT 'host' AS field_name, id::bigint AS key_id, count(*) AS n_dim, min(host) AS label FROM cc_hosts GROUP BY 2
   UNION ALL SELECT 'mime', id::bigint, count(*), min(name) FROM cc_mimes GROUP BY 2)"""
 
-QUERIES = {"p1_found": p1_found, "p1_messages": p1_messages, "p1_templates": p1_templates, "p2_found": p2_found, "p2_report": p2_report, "p3_found": p3_found, "p3_key_profiles": p3_key_profiles, "p3_roll_up": p3_roll_up}
+QUERIES = {"p1_found": p1_found, "p1_messages": p1_messages, "p1_templates": p1_templates, "p2_found": p2_found, "p2_report": p2_report, "p2_report_all": p2_report_all, "p3_found": p3_found, "p3_key_profiles": p3_key_profiles, "p3_roll_up": p3_roll_up}
 
 ORACLES = {
     "p2_found": _direct_sql(),
     "p2_report": _REPORT_SQL,
+    "p2_report_all": _REPORT_ALL_SQL,
     "p3_found": """SELECT 'host' AS field_name, host::bigint AS key_id FROM cc_urls WHERE host IS NOT NULL GROUP BY host HAVING count(*) * 100 >= 2 * (SELECT count(*) FROM cc_urls)
 UNION ALL SELECT 'mime', mime::bigint FROM cc_urls WHERE mime IS NOT NULL GROUP BY mime HAVING count(*) * 100 >= 2 * (SELECT count(*) FROM cc_urls)""",
     "p3_key_profiles": f"""WITH {_STATES} SELECT s.field_name, s.key_id, n_rows, sum_length, latest_capture, coalesce(n_dim, 0) AS n_dim,

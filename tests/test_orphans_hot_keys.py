@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tessellar.operators import hot_keys as H
 from tessellar.operators import orphans as O
+from tessellar.plans import all_queries
 
 T0 = datetime(2025, 1, 1)
 
@@ -65,3 +66,18 @@ def test_hot_keys(spark):
     up = {(r.field_name, r.label): (r.n_keys, r.n_rows) for r in H.roll_up(j, F.upper("label")).collect()}
     assert up[("host", "A")] == (1, 97) and up[("host", None)] == (1, 3)
     assert H.joined_states(H.key_states(facts.limit(0), ["host"], "len", "at"), H.dimension_states({"host": (dims, "id", F.col("name"))}), H.all_rows(facts.limit(0))).count() == 0
+
+
+def test_report_of_all_tables_reaches_documents(spark, tmp_path):
+    save = lambda rows, schema, name: spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    save([(1, T0, None)], "id int, added_at timestamp_ntz, retired_at timestamp_ntz", "cc_hosts")
+    save([(1, T0, None)], "id int, added_at timestamp_ntz, retired_at timestamp_ntz", "cc_fetch_status")
+    save([(1, 1, T0)], "id bigint, host int, loaded_at timestamp_ntz", "cc_urls")
+    save([(1, 1, "a/kept", T0, None)], "id bigint, status_id int, path string, fetched_at timestamp_ntz, removed_at timestamp_ntz", "cc_fetch")
+    save([("a/kept", T0), ("./A/gone", T0)], "path string, profiled_at timestamp_ntz", "profiles")
+    save([], "run_id bigint, path string, started_at timestamp_ntz", "tool_runs")
+    docs = [(1, 1, "a/kept", T0), (2, 1, "a\\gone", T0), (3, 9, "a/kept", T0), (4, 9, "a/gone", T0), (5, None, None, T0), (6, 1, "a/kept", T0 - timedelta(hours=1))]
+    save(docs, "doc_id bigint, host int, path string, extracted_at timestamp_ntz", "documents")
+    of = lambda name: {(r.src_table, r.period, r.n_direct, r.n_inherited) for r in all_queries()[name](spark, str(tmp_path)).collect()}
+    assert of("p2_report_all") == {("profiles", "2025-01", 1, 0), ("documents", "2025-01", 2, 1), ("documents", "2024-12", 1, 0)}
+    assert of("p2_report") == {("profiles", "2025-01", 1, 0)}
