@@ -25,7 +25,7 @@ NONE = "zxx"
 SAMPLE_DOCS, SAMPLE_CHARS = 400, 20_000
 #: At most so many words and trigrams are kept for each language, the commonest first: the bound on what is sent to tasks.
 VOCABULARY, TRIGRAMS = 30_000, 6_000
-#: Shortest stretch, in words split at white space; shorter texts are never judged.
+#: Shortest stretch, in words split at white space; shorter texts are one stretch and never faults.
 MIN_WORDS = 12
 #: Cost of a change of language, and most that one word can say for or against a language, in nats.
 SWITCH, CLIP = 7.0, 3.0
@@ -206,9 +206,10 @@ class Labeller:
         self.at[w] = i
         return i
 
-    def stretches(self, texts: Sequence[str | None]) -> list[list[tuple[str, int, int, float]]]:
-        """For each text its stretches (language, first word, end, confidence), words split at white space; [] below MIN_WORDS.
+    def stretches(self, texts: Sequence[str | None], short: bool = False) -> list[list[tuple[str, int, int, float]]]:
+        """For each text its stretches (language, first word, end, confidence), words split at white space.
 
+        A text below MIN_WORDS has none, with ``short`` it is one stretch; a text without words never has any.
         Confidence is the part of the stretch's telling words that favour its language, with one more vote for and one against;
         for a text without language, the part of its words that no language knows.
         """
@@ -222,6 +223,7 @@ class Labeller:
         todo = []
         for k, r in enumerate(rows):
             if len(r) < MIN_WORDS:
+                out[k] = [self._short(r)] if short and len(r) else []
                 continue
             known = int(self.known[r].sum())
             if known < max(KNOWN_WORDS, KNOWN_SHARE * len(r)):
@@ -294,19 +296,30 @@ class Labeller:
                 else:
                     merged.append(s)
             spans = merged
-        out = []
-        for lang, a, b in spans:
-            s = self.scores[row[a:b]]
-            telling = s.max(axis=1) - np.sort(s[:, : len(LANGS)], axis=1)[:, -2] > 0.05
-            votes = int((s[telling].argmax(axis=1) == lang).sum())
-            out.append((ALL_LANGS[lang], a, b, (votes + 1) / (int(telling.sum()) + 2)))
-        return out
+        return [(ALL_LANGS[lang], a, b, self._confidence(row[a:b], lang)) for lang, a, b in spans]
+
+    def _telling(self, row: np.ndarray) -> np.ndarray:
+        s = self.scores[row]
+        return s.max(axis=1) - np.sort(s[:, : len(LANGS)], axis=1)[:, -2] > 0.05
+
+    def _confidence(self, row: np.ndarray, lang: int) -> float:
+        telling = self._telling(row)
+        votes = int((self.scores[row[telling]].argmax(axis=1) == lang).sum())
+        return (votes + 1) / (int(telling.sum()) + 2)
+
+    def _short(self, row: np.ndarray) -> tuple[str, int, int, float]:
+        """A text under MIN_WORDS as one stretch; without language if no word is known and under half of them are telling."""
+        n, known = len(row), int(self.known[row].sum())
+        if not known and 2 * int(self._telling(row).sum()) < n:
+            return NONE, 0, n, (n + 1) / (n + 2)
+        lang = int(self.scores[row].sum(axis=0).argmax())
+        return ALL_LANGS[lang], 0, n, self._confidence(row, lang)
 
 
 def language_stretches(documents: DataFrame, model: Model | None = None) -> DataFrame:
     """(doc_id, label, seg_no, lang, first_word, n_words, n_segs, confidence): one row for each stretch of every document.
 
-    Null and empty texts, and texts under MIN_WORDS words, give no row. ``label`` is the delivered label as label_language() reads
+    Null and empty texts give no row, texts under MIN_WORDS words one. ``label`` is the delivered label as label_language() reads
     it. Repeated rows give repeated results. Without ``model``, one is fitted on a bounded sample of ``documents``; should no
     label be usable, the anchors alone decide.
     """
@@ -316,7 +329,7 @@ def language_stretches(documents: DataFrame, model: Model | None = None) -> Data
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         labeller = Labeller(Model(*(dict(zip(names, scores)) for names, scores in packed)))
         for b in batches:
-            found = labeller.stretches(b["text"].tolist())
+            found = labeller.stretches(b["text"].tolist(), short=True)
             n = [len(x) for x in found]
             flat = [(k + 1, len(x), *s) for x in found for k, s in enumerate(x)]
             cols = list(zip(*flat)) if flat else [[]] * 6
@@ -338,5 +351,22 @@ def language_stretches(documents: DataFrame, model: Model | None = None) -> Data
 
 
 def label_faults(stretches: DataFrame) -> DataFrame:
-    """Stretches of documents whose label is absent, names another language, or that have more than one stretch."""
-    return stretches.where((F.col("n_segs") > 1) | ~F.col("label").eqNullSafe(F.col("lang")))
+    """Stretches of documents whose label is absent, names another language, or that have more than one stretch; none of texts under MIN_WORDS."""
+    return stretches.where(F.col("n_words") >= MIN_WORDS).where((F.col("n_segs") > 1) | ~F.col("label").eqNullSafe(F.col("lang")))
+
+
+def document_languages(stretches: DataFrame, documents: DataFrame) -> DataFrame:
+    """(doc_id, lang, confidence, n_segs): the language of most of a document's words, the first one of equals.
+
+    Confidence is that of the language's stretches by their part of all words. A document without text or words is zxx, in no
+    stretch, with confidence 1. Every non-null doc_id comes out once; rows of equal doc_id count as one document.
+    """
+    per_lang = stretches.groupBy("doc_id", "lang").agg(
+        F.sum("n_words").alias("n"), F.min("seg_no").alias("seg"), F.sum(F.col("n_words") * F.col("confidence")).alias("sure"), F.max("n_segs").alias("n_segs")
+    )
+    most = F.max_by(F.struct("lang", "sure"), F.struct("n", -F.col("seg"), "lang"))
+    per_doc = per_lang.groupBy("doc_id").agg(most.alias("m"), F.sum("n").alias("words"), F.max("n_segs").alias("n_segs"))
+    ids = documents.where("doc_id IS NOT NULL").select("doc_id").distinct()
+    return ids.join(per_doc, "doc_id", "left").select(
+        "doc_id", F.coalesce("m.lang", F.lit(NONE)).alias("lang"), F.coalesce(F.col("m.sure") / F.col("words"), F.lit(1.0)).alias("confidence"), F.coalesce("n_segs", F.lit(0)).alias("n_segs")
+    )

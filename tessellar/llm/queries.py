@@ -136,7 +136,13 @@ def p8_stretches(spark: SparkSession, d: str) -> DataFrame:
     return G.language_stretches(table(spark, d, "documents")).drop("n_segs")
 
 
-QUERIES = {f.__name__: f for f in (p4_distinct, p4_states, p5_sample, p5_shares, p6_found, p6_items, p7_mix, p7_shares, p8_found, p8_stretches)}
+def p8_documents(spark: SparkSession, d: str) -> DataFrame:
+    """Every document with its language and confidence."""
+    documents = table(spark, d, "documents")
+    return G.document_languages(G.language_stretches(documents), documents)
+
+
+QUERIES = {f.__name__: f for f in (p4_distinct, p4_states, p5_sample, p5_shares, p6_found, p6_items, p7_mix, p7_shares, p8_found, p8_stretches, p8_documents)}
 
 # Words as in the operator; runs of eight equal words, of which every case has one, find the alignments to compare.
 _JOIN_HYPHENS = "regexp_replace({}, '([\\p{{L}}\\p{{N}}_])[-‐‑‒]([ \\t]*\\r?\\n[\\s>|]*)?([\\p{{L}}\\p{{N}}_])', '\\1\\3', 'g')"

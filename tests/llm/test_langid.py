@@ -93,3 +93,18 @@ def test_empty_table_and_no_labels(spark):
     assert G.language_stretches(docs(spark, [])).count() == 0
     r = G.language_stretches(docs(spark, [(1, BASE["en"] + " and it is the one that was for this", None)])).collect()
     assert [x.lang for x in r] == ["en"]
+
+
+def test_short_texts_and_whole_documents(spark):
+    rng = random.Random(3)
+    rows = [(i, " ".join(rng.sample(BASE[lang].split(), 18)), lang) for i in range(140) for lang in [G.LANGS[i % 7]]]
+    rows += [(200, "der fluss war kalt", None), (201, "0000 65535 f", "en"), (202, f"{BASE['nl']} {BASE['en']} {BASE['nl']}", None), (203, None, "en"), (204, " ", None), (205, BASE["it"], "it")]
+    d = docs(spark, rows)
+    s = G.language_stretches(d)
+    got = {r.doc_id: r for r in s.where("doc_id IN (200, 201)").collect()}
+    assert {k: (r.seg_no, r.lang, r.n_words, r.n_segs) for k, r in got.items()} == {200: (1, "de", 4, 1), 201: (1, "zxx", 3, 1)}
+    assert all(0 < r.confidence < 1 for r in got.values())
+    assert {r.doc_id for r in G.label_faults(s).collect()} == {202}
+    whole = {r.doc_id: r for r in G.document_languages(s, d).collect()}
+    assert set(whole) == {r[0] for r in rows} and {k: (whole[k].lang, whole[k].n_segs) for k in range(200, 206)} == {200: ("de", 1), 201: ("zxx", 1), 202: ("nl", 3), 203: ("zxx", 0), 204: ("zxx", 0), 205: ("it", 1)}
+    assert 0.4 < whole[202].confidence < 0.7 < whole[205].confidence <= 1
