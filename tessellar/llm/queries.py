@@ -76,7 +76,7 @@ def _strata(spark: SparkSession, d: str) -> tuple[DataFrame, list[tuple[str, flo
     keys = spark.read.parquet(path)
     sampling = [[c["filter_name"], c["filter_json"]] for c in confs if has_probability(c["filter_json"])]
     name = "ledger-" + hashlib.sha256(json.dumps([_full_path(spark, d), sampling]).encode()).hexdigest()[:32]
-    return keys, named, [r[0] for r in keys.select("epoch").distinct().orderBy("epoch").limit(2400).collect()], name
+    return keys, named, [r[0] for r in keys.select("epoch").distinct().orderBy("epoch").collect()], name
 
 
 def _full_path(spark: SparkSession, d: str) -> str:

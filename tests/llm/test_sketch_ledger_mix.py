@@ -199,3 +199,12 @@ def test_sample_query_keeps_its_urls_when_the_newest_month_grows(spark, tmp_path
         save(rows, "url string, mime int, detected_mime int, status int, loaded_at timestamp_ntz", "cc_urls")
         runs.append({(r.filter_name, r.url) for r in Q.p5_sample(spark, str(tmp_path)).collect()})
     assert len(runs[0]) == 800 and len(runs[1]) == 1600 and runs[0] < runs[1]
+
+
+def test_every_month_is_an_epoch(spark, tmp_path):
+    save = lambda rows, schema, name: spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    save([(1, "text/html")], "id int, name string", "cc_mimes")
+    save([(1, "text/html")], "id int, name string", "cc_detected_mimes")
+    save([("f", '{"defaultInclude": true, "defaultProbability": 0.1}')], "filter_name string, filter_json string", "record_filters")
+    save([(f"http://a/{i}", 1, 1, 200, datetime(1800 + i // 12, 1 + i % 12, 1)) for i in range(2500)], "url string, mime int, detected_mime int, status int, loaded_at timestamp_ntz", "cc_urls")
+    assert Q._strata(spark, str(tmp_path))[2] == [1800 * 12 + i for i in range(2500)]
