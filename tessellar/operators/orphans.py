@@ -80,12 +80,11 @@ def not_live(children: DataFrame, targets: DataFrame, max_rows: int = BROADCAST_
     return judged.where("__kind = 1 AND (__covered IS NULL OR __covered <= __t)").select("__key", "__t", "__row.*")
 
 
-def find_orphans(sources: Mapping[str, Source], references: Sequence[Reference], compare: Mapping[str, object] | None = None, max_rounds: int = 32) -> DataFrame:
+def find_orphans(sources: Mapping[str, Source], references: Sequence[Reference], compare: Mapping[str, object] | None = None) -> DataFrame:
     """(src_table, row_key, period, kind): kind 'direct' or 'inherited', one row per row key and period; period is yyyy-MM.
 
     ``compare`` maps a column name to the function under which its values are compared (paths, say). A row that is orphaned both
-    ways is direct. The cascade ends when a round finds no new row, so cycles in the graph end, too; ``max_rounds`` guards against
-    a graph that is deeper than anyone meant. Repeated rows count once; rows with a null row key are one case for each period;
+    ways is direct. The cascade ends when a round finds no new row, so cycles in the graph end, too, however deep it is. Repeated rows count once; rows with a null row key are one case for each period;
     empty tables give nothing.
     """
     compare = dict(compare or {})
@@ -105,7 +104,7 @@ def find_orphans(sources: Mapping[str, Source], references: Sequence[Reference],
     frontier = cut(direct.distinct())
     known = frontier.select("src_table", "row_key", "period").distinct()
     found_all = [known.withColumn("kind", F.lit("direct"))]
-    for _ in range(max_rounds):
+    while True:
         reached = {r["src_table"] for r in frontier.select("src_table").distinct().collect()}
         edges = [r for r in references if r.parent in reached]
         if not edges:

@@ -81,3 +81,11 @@ def test_report_of_all_tables_reaches_documents(spark, tmp_path):
     of = lambda name: {(r.src_table, r.period, r.n_direct, r.n_inherited) for r in all_queries()[name](spark, str(tmp_path)).collect()}
     assert of("p2_report_all") == {("profiles", "2025-01", 1, 0), ("documents", "2025-01", 2, 1), ("documents", "2024-12", 1, 0)}
     assert of("p2_report") == {("profiles", "2025-01", 1, 0)}
+
+
+def test_cascade_deeper_than_32_rounds(spark):
+    a = spark.createDataFrame([(i, 9 if i == 0 else None, i - 1 if i else None, T0) for i in range(36)], "id int, tag int, up int, at timestamp_ntz")
+    tags = spark.createDataFrame([], "id int, since timestamp_ntz, until timestamp_ntz")
+    src = {"a": O.Source(a, F.col("id"), "at"), "tags": O.Source(tags, F.col("id"), None)}
+    found = O.find_orphans(src, [O.Reference("a", "tag", "tags", "id", "since", "until"), O.Reference("a", "up", "a", "id")])
+    assert {int(r.row_key) for r in found.collect()} == set(range(36))
