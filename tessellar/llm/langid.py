@@ -29,8 +29,9 @@ VOCABULARY, TRIGRAMS = 30_000, 6_000
 MIN_WORDS = 12
 #: Cost of a change of language, and most that one word can say for or against a language, in nats.
 SWITCH, CLIP = 7.0, 3.0
-#: A text is language only if at least this part of its words, and this many, are known to some language.
+#: A text is language only if at least this part of its words, and this many, are known to some language, or this part of so many in a row.
 KNOWN_SHARE, KNOWN_WORDS = 0.15, 4
+DENSE_SHARE, DENSE_WORDS = 0.6, 40
 _CACHE = 500_000
 
 # Names and codes (ISO 639-1, 639-2/B, 639-2/T, English and own names) under which labels come.
@@ -226,7 +227,7 @@ class Labeller:
                 out[k] = [self._short(r)] if short and len(r) else []
                 continue
             known = int(self.known[r].sum())
-            if known < max(KNOWN_WORDS, KNOWN_SHARE * len(r)):
+            if known < max(KNOWN_WORDS, KNOWN_SHARE * len(r)) and not self._sentences(r):
                 out[k] = [(NONE, 0, len(r), 1 - known / len(r))]
             else:
                 todo.append(k)
@@ -243,6 +244,11 @@ class Labeller:
             start = end
         return out
 
+    def _sentences(self, row: np.ndarray) -> bool:
+        """Whether some window of DENSE_WORDS words, of however long a dump, is mostly words of a language."""
+        known = np.r_[0, np.cumsum(self.known[row])]
+        return len(row) >= DENSE_WORDS and int((known[DENSE_WORDS:] - known[:-DENSE_WORDS]).max()) >= DENSE_SHARE * DENSE_WORDS
+
     def _viterbi(self, rows: list[np.ndarray]) -> list[np.ndarray]:
         longest, n = max(map(len, rows)), len(rows)
         table = np.concatenate([self.scores[: len(self.at)], np.zeros((1, len(ALL_LANGS)), np.float32)])
@@ -332,7 +338,9 @@ def language_stretches(documents: DataFrame, model: Model | None = None) -> Data
             found = labeller.stretches(b["text"].tolist(), short=True)
             n = [len(x) for x in found]
             flat = [(k + 1, len(x), *s) for x in found for k, s in enumerate(x)]
-            cols = list(zip(*flat)) if flat else [[]] * 6
+            if not flat:  # blank texts alone
+                continue
+            cols = list(zip(*flat))
             yield pd.DataFrame(
                 {
                     "doc_id": np.repeat(b["doc_id"].to_numpy(), n),
@@ -340,7 +348,7 @@ def language_stretches(documents: DataFrame, model: Model | None = None) -> Data
                     "seg_no": cols[0],
                     "lang": cols[2],
                     "first_word": cols[3],
-                    "n_words": np.subtract(cols[4], cols[3]) if flat else [],
+                    "n_words": np.subtract(cols[4], cols[3]),
                     "n_segs": cols[1],
                     "confidence": cols[5],
                 }

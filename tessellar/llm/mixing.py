@@ -1,70 +1,65 @@
 """Mixing sources to target weights: blocks of tokens in a proportionate-fair schedule.
 
-Each source's documents, in hash order and repeated as far as allowed, form a stream that is cut into blocks of equal tokens. The
-k-th block of a source of weight w is released at slot floor(k / w) and due at ceil((k + 1) / w). Earliest deadline first then
-keeps every source within one block of its share at every prefix of the mix. Weights are rounded to multiples of 1 / PERIOD, so
-the schedule repeats after PERIOD slots: the driver computes one period, and the slot of any block follows from it by arithmetic.
+Each source's documents, in hash order and repeated as far as allowed, form a stream that is cut into blocks of equal tokens; a
+document at a cut goes on in the next block. With weights a_s, whole numbers in the ratio of the given ones and A in sum, block k
+of a source is released at slot floor(k * A / a_s) and due at ceil((k + 1) * A / a_s). Earliest deadline first among the released
+blocks then keeps every source within one block of its exact share at every prefix of the mix. The schedule repeats after A slots,
+so that many, or as many as the mix has, are scheduled, in one task for each mix; the slot of any block follows by arithmetic.
 """
 
 from __future__ import annotations
 
 import heapq
+import json
 import math
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from fractions import Fraction
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessellar.common import BROADCAST_ROWS, cut, join_sized
 
-#: Tokens of a block, and slots after which the schedule repeats.
-BLOCK, PERIOD = 2048, 1000
+#: Tokens of a block.
+BLOCK = 2048
 #: Documents that one task orders are about so many.
 BUCKET_DOCS = 20_000
 #: A mixing plan is configuration: more (mix, source) pairs than this are refused.
 MOST_TARGETS = 10_000
+_BATCH = 50_000
 
 
-def quantise(weights: Mapping[str, float], period: int = PERIOD) -> dict[str, int]:
-    """Slots in a period for each source, at least one, by largest remainders."""
-    total = sum(weights.values())
-    exact = {s: w / total * period for s, w in weights.items()}
-    slots = {s: max(1, math.floor(x)) for s, x in exact.items()}
-    order = sorted(exact, key=lambda s: (slots[s] - exact[s], s))
-    while (left := period - sum(slots.values())) != 0:
-        for s in order if left > 0 else reversed(order):
-            if left > 0:
-                slots[s], left = slots[s] + 1, left - 1
-            elif left < 0 and slots[s] > 1:
-                slots[s], left = slots[s] - 1, left + 1
-            if not left:
-                break
-        else:
-            if len(slots) > period:
-                raise ValueError("more sources than slots in a period")
-    return slots
-
-
-def schedule(slots: Mapping[str, int]) -> dict[str, list[int]]:
-    """The slot of each block of one period, by earliest deadline first among released blocks; ties go by name."""
-    period = sum(slots.values())
-    release = lambda s, k: k * period // slots[s]
-    due = lambda s, k: -(-(k + 1) * period // slots[s])
-    waiting = sorted((release(s, 0), s, 0) for s in slots)
+def exact(weights: Mapping[str, float]) -> dict[str, int]:
+    """Whole numbers without common divisor in the ratio of the weights, each taken as the decimal number that it is written as."""
+    fractions = {s: Fraction(repr(float(w))) for s, w in weights.items()}
+    below = math.lcm(*(f.denominator for f in fractions.values()))
+    whole = {s: f.numerator * (below // f.denominator) for s, f in fractions.items()}
+    common = math.gcd(*whole.values())
+    return {s: n // common for s, n in whole.items()}
+
+
+def schedule(parts: Mapping[str, int], wanted: Mapping[str, int]) -> Iterator[tuple[str, int, int]]:
+    """(source, block, slot) of the first ``wanted`` blocks of each source and of those before them, slot by slot.
+
+    Earliest deadline first among released blocks; ties go by name. ``parts`` as from exact().
+    """
+    period = sum(parts.values())
+    left = sum(n > 0 for n in wanted.values())
+    waiting = sorted((0, s, 0) for s in parts)
     ready: list[tuple[int, str, int]] = []
-    out: dict[str, list[int]] = {s: [] for s in slots}
-    heapq.heapify(waiting)
-    for t in range(period):
+    t = 0
+    while left:
         while waiting and waiting[0][0] <= t:
             _, s, k = heapq.heappop(waiting)
-            heapq.heappush(ready, (due(s, k), s, k))
-        d, s, k = heapq.heappop(ready)
-        if d <= t:
+            heapq.heappush(ready, (-(-(k + 1) * period // parts[s]), s, k))
+        due, s, k = heapq.heappop(ready)
+        if due <= t:
             raise AssertionError("a deadline is missed")
-        out[s].append(t)
-        if k + 1 < slots[s]:
-            heapq.heappush(waiting, (release(s, k + 1), s, k + 1))
-    return out
+        yield s, k, t
+        left -= k + 1 == wanted[s]
+        heapq.heappush(waiting, ((k + 1) * period // parts[s], s, k + 1))
+        t += 1
 
 
 def offsets(sized: DataFrame, bucket_docs: int = BUCKET_DOCS) -> DataFrame:
@@ -84,12 +79,13 @@ def offsets(sized: DataFrame, bucket_docs: int = BUCKET_DOCS) -> DataFrame:
     return placed.withColumn("__at", F.col("__first") + F.coalesce(F.sum("n_tokens").over(inside), F.lit(0))).drop("__h", "__b", "__first")
 
 
-def plan(targets: DataFrame, tokens: Mapping[str, int], total: int | None = None, block: int = BLOCK, period: int = PERIOD) -> list[dict]:
-    """One entry per mix and source: share aimed at, tokens to take, passes, and the slots of a period.
+def plan(targets: DataFrame, tokens: Mapping[str, int], total: int | None = None) -> list[dict]:
+    """One entry per mix and source: share aimed at, tokens to take, and the source's weight as a whole number.
 
     Without ``total`` a mix is as large as its sources can make it with all shares exact: the smallest of max_repeats * tokens /
     share. With ``total``, a source that runs out ends early, and the reached share shows it. Sources without tokens, weights that
-    are null or not positive and repeats under 1 take no part; the others share their weight.
+    are null or not positive and repeats under 1 take no part; the others share their weight. All in whole numbers: a source takes
+    the whole part of its exact share.
     """
     rows = targets.select("mix_name", "source", "weight", "max_repeats").limit(MOST_TARGETS + 1).collect()
     if len(rows) > MOST_TARGETS:
@@ -97,60 +93,99 @@ def plan(targets: DataFrame, tokens: Mapping[str, int], total: int | None = None
     mixes: dict[str, dict[str, list]] = {}
     for r in rows:
         one = mixes.setdefault(r["mix_name"], {}).setdefault(r["source"], [0.0, 0])
-        one[0] += r["weight"] if r["weight"] and r["weight"] > 0 else 0.0
+        one[0] += r["weight"] if r["weight"] and 0 < r["weight"] < math.inf else 0.0
         one[1] = max(one[1], r["max_repeats"] or 0)
     out = []
-    for mix, sources in sorted(mixes.items(), key=lambda x: str(x[0])):
+    for no, (mix, sources) in enumerate(sorted(mixes.items(), key=lambda x: str(x[0]))):
         usable = {s: w for s, (w, most) in sources.items() if w > 0 and most > 0 and tokens.get(s, 0) > 0}
-        slots = quantise(usable, period) if usable else {}
-        at = schedule(slots) if slots else {}
+        parts = exact(usable) if usable else {}
+        period = sum(parts.values())
         weighed = sum(w for w, _ in sources.values()) or 1.0
         cap = {s: sources[s][1] * tokens[s] for s in usable}
-        size = total if total is not None else min((cap[s] * period // slots[s] for s in usable), default=0)
+        # the size in units of 1 / a_s, so that the source that bounds the mix is taken whole
+        size = Fraction(total) if total is not None else min((Fraction(cap[s] * period, a) for s, a in parts.items()), default=Fraction(0))
         for s, (w, most) in sources.items():
-            take = min(cap[s], size * slots[s] // period) if s in usable else 0
-            out.append({"mix_name": mix, "source": s, "target_share": w / weighed, "aimed_share": slots.get(s, 0) / period, "max_repeats": most, "available": tokens.get(s, 0), "take": take, "at": at.get(s, [])})
+            take = min(cap[s], int(size * parts[s] / period)) if s in usable else 0
+            out.append({"mix_name": mix, "source": s, "target_share": w / weighed, "aimed_share": parts[s] / period if s in usable else 0.0, "max_repeats": most, "available": tokens.get(s, 0), "take": take, "mix_no": no, "part": parts.get(s, 0)})
     return out
 
 
-_PLAN = "mix_name string, source string, target_share double, aimed_share double, max_repeats int, available bigint, take bigint, at array<int>"
+def slots(spark, planned: list[dict], block: int) -> DataFrame:
+    """(mix_no, source, block, slot): the schedule of each mix over one period or as many blocks as it has, made in one task per mix."""
+    plans: dict[int, dict[str, dict[str, int]]] = {}
+    for p in planned:
+        if p["part"]:
+            one = plans.setdefault(p["mix_no"], {"parts": {}, "wanted": {}})
+            one["parts"][p["source"]], one["wanted"][p["source"]] = p["part"], min(p["part"], -(-p["take"] // block))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for mix, conf in zip(b["mix_no"], b["conf"]):
+                conf, rows = json.loads(conf), []
+                for s, k, t in schedule(conf["parts"], conf["wanted"]):
+                    if k < conf["wanted"][s]:
+                        rows.append((mix, s, k, t))
+                    if len(rows) == _BATCH:
+                        yield pd.DataFrame(rows, columns=["mix_no", "source", "block", "slot"])
+                        rows = []
+                if rows:
+                    yield pd.DataFrame(rows, columns=["mix_no", "source", "block", "slot"])
+
+    listed = spark.createDataFrame([(m, json.dumps(c)) for m, c in plans.items()], "mix_no int, conf string")
+    return listed.repartition(max(1, min(len(plans), 200)), "mix_no").mapInPandas(run, "mix_no int, source string, block bigint, slot bigint")
+
+
+_PLAN = "mix_name string, source string, target_share double, aimed_share double, max_repeats int, available bigint, take bigint, mix_no int, n_blocks bigint, period bigint"
 
 
-def mix(sized: DataFrame, targets: DataFrame, total: int | None = None, block: int = BLOCK, period: int = PERIOD) -> tuple[DataFrame, DataFrame]:
+def mix(sized: DataFrame, targets: DataFrame, total: int | None = None, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     """The mixes and their shares.
 
-    First (mix_name, slot, source, offset, repeat_no, doc_id, n_tokens): the order of a mix is slot, then offset. Second the
-    shares: (mix_name, source, target_share, aimed_share, reached_share, n_tokens, n_rows, most_repeats, max_repeats). ``sized``
-    has doc_id, source and n_tokens; rows without tokens or source are left out, as they add nothing to a share; repeated rows are
-    documents of their own. A source's take ends with the document that reaches it. Ties in hash order go by doc_id and size. Without
-    documents a mix is empty and all its shares 0. Further columns are dropped.
+    First (mix_name, slot, source, offset, repeat_no, doc_id, first_token, n_tokens): the order of a mix is slot, then offset. A
+    document that lies across a cut between blocks has a row for each part, with the first token of it. Second the shares:
+    (mix_name, source, target_share, aimed_share, reached_share, n_tokens, n_rows, most_repeats, max_repeats); n_rows counts
+    documents and repeats, not parts. ``sized`` has doc_id, source and n_tokens; rows without tokens or source are left out, as
+    they add nothing to a share; repeated rows are documents of their own. A source's take ends with the token that reaches it.
+    Ties in hash order go by doc_id and size. Without documents a mix is empty and all its shares 0. Further columns are dropped.
     """
     spark = sized.sparkSession
     sized = sized.select("doc_id", "source", "n_tokens").where("n_tokens > 0 AND source IS NOT NULL AND doc_id IS NOT NULL")
     wanted = targets.select("source").where("source IS NOT NULL").distinct()
     of = sized.groupBy("source").agg(F.sum("n_tokens").alias("n")).join(F.broadcast(wanted.limit(MOST_TARGETS)), "source", "left_semi")
-    planned = plan(targets, {r["source"]: r["n"] for r in of.collect()}, total, block, period)
-    plan_df = spark.createDataFrame([tuple(p.values()) for p in planned], _PLAN)
-    used = plan_df.where("take > 0").select("mix_name", "source", "available", "take", "at")
+    planned = plan(targets, {r["source"]: r["n"] for r in of.collect()}, total)
+    whole: dict[int, int] = {}
+    for p in planned:
+        whole[p["mix_no"]] = whole.get(p["mix_no"], 0) + p["part"]
+    rows = []
+    for p in planned:
+        blocks = min(p["part"], -(-p["take"] // block))  # a period that ends beyond the mix is never gone round
+        rows.append((*list(p.values())[:8], blocks, whole[p["mix_no"]] if blocks == p["part"] else 0))
+    plan_df = spark.createDataFrame(rows, _PLAN)
+    used = plan_df.where("take > 0").select("mix_name", "mix_no", "source", "available", "take", "n_blocks", "period")
     placed = offsets(sized)
     both = placed.join(F.broadcast(used), "source") if len(planned) <= BROADCAST_ROWS else placed.join(used, "source")
     passes = F.expr("CAST(ceil(take / available) AS INT)")
-    rows = both.withColumn("repeat_no", F.explode(F.sequence(F.lit(0), passes - 1))).withColumn("offset", F.col("repeat_no").cast("bigint") * F.col("available") + F.col("__at"))
-    k = F.expr(f"offset DIV {block}")
-    in_period = F.size("at").cast("bigint")
-    slot = F.expr(f"(offset DIV {block}) DIV size(at)") * F.lit(period) + F.element_at("at", (k % in_period).cast("int") + 1)
-    mixed = rows.where("offset < take").select("mix_name", slot.cast("bigint").alias("slot"), "source", "offset", "repeat_no", "doc_id", "n_tokens")
-    got = mixed.groupBy("mix_name", "source").agg(F.sum("n_tokens").alias("n"), F.count(F.lit(1)).alias("rows"), (F.max("repeat_no") + 1).alias("most"))
-    all_of = Window.partitionBy("mix_name")
+    whole_docs = both.withColumn("repeat_no", F.explode(F.sequence(F.lit(0), passes - 1))).withColumn("__from", F.col("repeat_no").cast("bigint") * F.col("available") + F.col("__at")).where("__from < take")
+    whole_docs = whole_docs.withColumn("__to", F.least(F.col("__from") + F.col("n_tokens"), F.col("take")))
+    cuts = whole_docs.withColumn("__block", F.explode(F.sequence(F.expr(f"__from DIV {block}"), F.expr(f"(__to - 1) DIV {block}"))))
+    offset = F.greatest(F.col("__from"), F.col("__block") * block)
+    pieces = cuts.select(
+        "mix_name", "mix_no", "source", "repeat_no", "doc_id", "period", "n_blocks", offset.alias("offset"), (offset - F.col("__from")).alias("first_token"),
+        (F.least(F.col("__to"), (F.col("__block") + 1) * block) - offset).alias("n_tokens"), "__block", F.pmod(F.col("__block"), F.col("n_blocks")).alias("block"),
+    )
+    timed = join_sized(pieces, slots(spark, planned, block), ["mix_no", "source", "block"], "inner", salt_by=["doc_id", "offset"], keep=True)
+    slot = F.expr("(__block DIV n_blocks) * period + slot")
+    mixed = timed.select("mix_name", slot.alias("slot"), "source", "offset", "repeat_no", "doc_id", "first_token", "n_tokens")
+    got = whole_docs.groupBy("mix_no", "source").agg(F.sum(F.col("__to") - F.col("__from")).alias("n"), F.count(F.lit(1)).alias("rows"), (F.max("repeat_no") + 1).alias("most"))
     shares = (
-        plan_df.join(got, ["mix_name", "source"], "left")
+        plan_df.join(got, ["mix_no", "source"], "left")
         .withColumn("n", F.coalesce("n", F.lit(0)))
         .select(
             "mix_name",
             "source",
             "target_share",
             "aimed_share",
-            F.coalesce(F.expr("n / nullif(sum(n) OVER (PARTITION BY mix_name), 0)"), F.lit(0.0)).alias("reached_share"),
+            F.coalesce(F.expr("n / nullif(sum(n) OVER (PARTITION BY mix_no), 0)"), F.lit(0.0)).alias("reached_share"),
             F.col("n").alias("n_tokens"),
             F.coalesce("rows", F.lit(0)).alias("n_rows"),
             F.coalesce("most", F.lit(0)).alias("most_repeats"),

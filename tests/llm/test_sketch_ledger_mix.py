@@ -105,17 +105,35 @@ def test_ledger_small_bins_and_empty(spark, monkeypatch, tmp_path):
     assert E.grow(keys_of(spark, []), {0: 0.25}, str(tmp_path / "b"), []).count() == 0
 
 
+def lags(parts, n):
+    """Largest distance of any source from its exact share at any prefix of ``n`` slots, in blocks."""
+    period, done, most = sum(parts.values()), dict.fromkeys(parts, 0), 0.0
+    wanted = {s: -(-n * a // period) for s, a in parts.items()}
+    for s, k, t in M.schedule(parts, wanted):
+        if t >= n:
+            break
+        assert k == done[s]
+        done[s] += 1
+        if n <= 5000:
+            most = max(most, *(abs(done[x] * period - (t + 1) * a) / period for x, a in parts.items()))
+        else:
+            most = max(most, abs(done[s] * period - (t + 1) * parts[s]) / period, abs((done[s] - 1) * period - t * parts[s]) / period)
+    return most
+
+
 def test_pfair_schedule_lag():
     rng = random.Random(2)
     for _ in range(20):
-        slots = M.quantise({str(i): rng.random() + 0.01 for i in range(rng.randrange(1, 9))}, 200)
-        at = M.schedule(slots)
-        assert sum(slots.values()) == 200 and sorted(x for v in at.values() for x in v) == list(range(200))
-        for s, n in slots.items():
-            for t in range(201):
-                assert abs(sum(x < t for x in at[s]) - t * n / 200) < 1 + 1e-9
-    with pytest.raises(ValueError):
-        M.quantise({str(i): 1.0 for i in range(11)}, 10)
+        parts = M.exact({str(i): rng.random() + 0.01 for i in range(rng.randrange(1, 9))})
+        assert lags(parts, 400) < 1
+    many = M.exact({str(i): 1.0 for i in range(1500)})
+    assert many == {str(i): 1 for i in range(1500)} and lags(many, 1500) < 1
+    assert M.exact({"a": 0.3, "b": 0.25, "c": 0.45}) == {"a": 6, "b": 5, "c": 9}
+
+
+@pytest.mark.parametrize("weights", [{"a": 1 / 3, "b": 2 / 3}, {"a": 0.0001, "b": 0.9999}, {"a": 0.123456789012345, "b": 3.3, "c": 0.00071}])
+def test_no_drift_over_a_million_blocks(weights):
+    assert lags(M.exact(weights), 1_000_000) < 1
 
 
 def test_mix_shares_and_repeats(spark):
@@ -123,7 +141,7 @@ def test_mix_shares_and_repeats(spark):
     rows = [(i, "big", rng.randrange(1, 60)) for i in range(3000)] + [(10_000 + i, "small", rng.randrange(1, 60)) for i in range(60)] + [(1, None, 5), (None, "big", 9), (99_999, "big", 0)]
     sized = spark.createDataFrame([(*r, "x") for r in rows], "doc_id bigint, source string, n_tokens bigint, slot string")
     targets = spark.createDataFrame([("m", "big", 3.0, 2), ("m", "small", 1.0, 5), ("m", "gone", 1.0, 5), ("n", "small", None, 2), ("o", "small", 2.0, 0)], "mix_name string, source string, weight double, max_repeats int")
-    mixed, shares = M.mix(sized, targets, block=256, period=100)
+    mixed, shares = M.mix(sized, targets, block=256)
     got = {(r.mix_name, r.source): r for r in shares.collect()}
     assert abs(got["m", "big"].reached_share - 0.75) < 0.01 and got["m", "small"].most_repeats == 5 and got["m", "gone"].n_tokens == 0 and got["o", "small"].reached_share == 0.0
     seq = [(r.source, r.n_tokens) for r in mixed.where("mix_name = 'm'").orderBy("slot", "offset").collect()]
@@ -131,14 +149,27 @@ def test_mix_shares_and_repeats(spark):
     for s, n in seq:
         total[s] += n
         t = sum(total.values())
-        assert abs(total["small"] - 0.25 * t) < 2 * 256 + 120  # less than a block each way, and a document's end
-    per_doc = mixed.groupBy("doc_id").count().collect()
-    assert max(r["count"] for r in per_doc) <= 5
-    again = M.mix(sized.repartition(5), targets, block=256, period=100)[0]
+        assert abs(total["small"] - 0.25 * t) < 2 * 256  # less than a block each way
+    assert got["m", "big"].n_tokens == 3 * got["m", "small"].n_tokens == 15 * sum(r[2] for r in rows if r[1] == "small")
+    per_doc = mixed.groupBy("doc_id").agg(F.count_distinct("repeat_no").alias("n"), F.sum("n_tokens").alias("t")).collect()
+    assert max(r["n"] for r in per_doc) <= 5 and max(r["t"] for r in per_doc) <= 5 * 59
+    per_block = mixed.groupBy("slot").agg(F.sum("n_tokens").alias("t"), F.count_distinct("source").alias("s")).collect()
+    assert all(r["s"] == 1 and r["t"] <= 256 for r in per_block) and sum(r["t"] < 256 for r in per_block) <= 2
+    again = M.mix(sized.repartition(5), targets, block=256)[0]
     key = lambda d: sorted((r.mix_name, r.slot, r.offset, r.doc_id, r.repeat_no) for r in d.collect())
     assert key(again) == key(mixed)
 
 
+def test_long_document_goes_on_in_further_blocks(spark):
+    sized = spark.createDataFrame([(1, "a", 1000), (2, "b", 1000), (3, "b", 1)], "doc_id bigint, source string, n_tokens bigint")
+    targets = spark.createDataFrame([(None, "a", 0.5, 3), (None, "b", 0.5, 3)], "mix_name string, source string, weight double, max_repeats int")
+    mixed, shares = M.mix(sized, targets, block=100)
+    seq = mixed.orderBy("slot", "offset").collect()
+    assert [r.source for r in seq if r.doc_id != 3][:6] == ["a", "b"] * 3 and {r.n_tokens for r in seq if r.source == "a"} == {100}
+    assert [r.first_token for r in seq if r.source == "a"] == list(range(0, 1000, 100)) * 3
+    assert {(r.source, r.n_tokens, r.n_rows, r.reached_share) for r in shares.collect()} == {("a", 3000, 3, 0.5), ("b", 3000, 6, 0.5)}
+
+
 def test_offsets_without_overlap(spark):
     sized = spark.createDataFrame([(i, "s", 1 + i % 7) for i in range(500)], "doc_id bigint, source string, n_tokens bigint")
     got = sorted((r["__at"], r.n_tokens) for r in M.offsets(sized, 20).collect())
