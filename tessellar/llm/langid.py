@@ -61,6 +61,7 @@ ALL_LANGS = LANGS + tuple(s[0] for s in SCRIPTS)
 
 _MARKS = re.compile("[­̀-ͯ​-‍⁠﻿]+")
 _PIECE = re.compile(r"[^\W_]+")
+_KANA, _JA = re.compile("[\u3040-\u30ff]"), [x[0] for x in SCRIPTS].index("ja")
 _NAME = re.compile(r"\W*[^\W\d_]+(?:[-'’][^\W_]+)*\W*")
 
 
@@ -83,13 +84,13 @@ def pieces(word: str) -> list[str]:
 
 
 def _script(word: str) -> int:
-    """Index into ALL_LANGS if the word's letters are of a script that names a language, else -1."""
+    """Index into ALL_LANGS if the word's letters are of a script that names a language, else -1; Chinese characters beside kana are Japanese."""
     for ch in word:
         o = ord(ch)
         if o >= 0x370:
-            for i, (_, lo, hi) in enumerate(SCRIPTS):
+            for i, (lang, lo, hi) in enumerate(SCRIPTS):
                 if lo <= o <= hi:
-                    return len(LANGS) + i
+                    return len(LANGS) + (_JA if lang == "zh" and _KANA.search(word) else i)
     return -1
 
 

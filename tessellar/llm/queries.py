@@ -4,12 +4,11 @@ from __future__ import annotations
 
 import hashlib
 import json
-import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessellar.common import join_sized, shared_dir, table
+from tessellar.common import cut, join_sized, scratch, shared_dir, table
 from tessellar.functions.strings import normalize_mime
 from tessellar.functions.urls import tidy_url
 from tessellar.llm import langid as G
@@ -23,16 +22,24 @@ from tessellar.operators.record_filter import has_probability, load_filter
 MOST_FILTERS = 1000
 
 
-def _capture_states(spark: SparkSession, d: str) -> DataFrame:
-    """(day, tld, mime, field, bucket, bits) of digests and hosts, and of tlds per day under field 'tld'."""
+_GROUPS = ["day", "tld", "mime"]
+
+
+def _captures(spark: SparkSession, d: str) -> tuple[DataFrame, dict, dict]:
+    """Captures with their host's tld and mime's name, and the groups and identifiers to count; a day, tld or mime that is not known is '(none)'."""
     urls = table(spark, d, "cc_urls").select("captured_at", "host", "mime", "digest")
     hosts = table(spark, d, "cc_hosts").where("id IS NOT NULL").groupBy(F.col("id").alias("host")).agg(F.min("tld").alias("tld"))
     mimes = table(spark, d, "cc_mimes").where("id IS NOT NULL").groupBy(F.col("id").alias("mime")).agg(F.min("name").alias("mime_name"))
     rows = join_sized(urls, hosts, ["host"], "left", salt_by=["digest", "captured_at"])
     rows = join_sized(rows, mimes, ["mime"], "left", salt_by=["digest", "captured_at"])
     tld = S.tidy_label(F.col("tld"))
-    groups = {"day": F.to_date("captured_at"), "tld": tld, "mime": S.tidy_label(F.col("mime_name"))}
-    return S.sketch(rows, groups, {"digest": S.tidy_digest(F.col("digest")), "host": F.col("host"), "tld": F.when(tld != S.NONE, tld)})
+    groups = {"day": S.tidy_label(F.date_format("captured_at", "yyyy-MM-dd")), "tld": tld, "mime": S.tidy_label(F.col("mime_name"))}
+    return rows, groups, {"digest": S.tidy_digest(F.col("digest")), "host": F.col("host"), "tld": F.when(tld != S.NONE, tld)}
+
+
+def _capture_states(spark: SparkSession, d: str) -> DataFrame:
+    """(day, tld, mime, field, bucket, bits) of digests and hosts, and of tlds per day under field 'tld'."""
+    return S.sketch(*_captures(spark, d))
 
 
 def p4_distinct(spark: SparkSession, d: str) -> DataFrame:
@@ -40,9 +47,26 @@ def p4_distinct(spark: SparkSession, d: str) -> DataFrame:
 
     A null in day, tld or mime stands for the union over all its values; '(none)' for captures without one.
     """
-    groups = ["day", "tld", "mime"]
-    sets = [groups, ["day", "tld"], ["day", "mime"], ["tld", "mime"], ["day"], ["tld"], ["mime"], []]
-    return S.estimate(S.unions(_capture_states(spark, d), groups, sets, own={"tld": [["day"]]}), groups)
+    sets = [_GROUPS, ["day", "tld"], ["day", "mime"], ["tld", "mime"], ["day"], ["tld"], ["mime"], []]
+    return S.estimate(S.unions(_capture_states(spark, d), _GROUPS, sets, own={"tld": [["day"]]}), _GROUPS)
+
+
+def p4_bounds(spark: SparkSession, d: str) -> DataFrame:
+    """The estimates beside exact counts: for single groups and unions, how many there are, and whether the bounds hold as often as they should.
+
+    ``within``: at least 90 % of the groups' exact counts lie inside their 95 % bounds, half a count allowed, and none is off by more than
+    five standard errors and one. The exact side holds every identifier; it is the check of the method, not a way to count.
+    """
+    rows, groups, fields = _captures(spark, d)
+    sets = [_GROUPS, ["day"], ["tld"], ["mime"], []]
+    own = {"tld": [["day"]]}
+    estimated = S.estimate(S.unions(S.sketch(rows, groups, fields), _GROUPS, sets, own), _GROUPS)
+    both = S.beside(S.exact(rows, groups, fields, sets, own), estimated, _GROUPS)
+    kind = F.concat_ws(",", *(F.when(F.col(g).isNotNull(), g) for g in _GROUPS))
+    inside = F.coalesce(F.col("n_exact").between(F.col("low") - 0.5, F.col("high") + 0.5), F.lit(False))
+    near = F.coalesce(F.abs(F.col("n_distinct") - F.col("n_exact")) <= 5 * F.col("std_error") + 1, F.lit(False))
+    out = both.groupBy(kind.alias("grouped_by"), "field").agg(F.count(F.lit(1)).alias("n_groups"), F.sum("n_exact").alias("n_identifiers"), F.avg(inside.cast("int")).alias("inside"), F.every(near).alias("near"))
+    return out.select("grouped_by", "field", "n_groups", "n_identifiers", (F.col("near") & (F.col("inside") >= 0.9)).alias("within"))
 
 
 def p4_states(spark: SparkSession, d: str) -> DataFrame:
@@ -50,15 +74,17 @@ def p4_states(spark: SparkSession, d: str) -> DataFrame:
     return _capture_states(spark, d).groupBy("day", "field").agg(F.count(F.lit(1)).alias("n_buckets"), F.sum(F.bit_count("bits")).alias("n_bits"))
 
 
-def _strata(spark: SparkSession, d: str) -> tuple[DataFrame, list[tuple[str, float]], list[int], str]:
+def _strata(spark: SparkSession, d: str, until: Column | None = None) -> tuple[DataFrame, list[tuple[str, float]], list[int], str]:
     """Keys by first epoch, name and rate of each stratum, epochs (months of loaded_at, counted as year * 12 + month), and the ledger's name.
 
     The name stands for the tables' path and the sampling filters, so that every run over them finds the ledger of the runs before.
+    ``until``: only captures for which it holds.
     """
     confs = table(spark, d, "record_filters").where("filter_json IS NOT NULL").orderBy("filter_name", "filter_json").limit(MOST_FILTERS + 1).collect()
     if len(confs) > MOST_FILTERS:
         raise ValueError(f"more than {MOST_FILTERS} filters")
     urls = table(spark, d, "cc_urls").select("url", "mime", "detected_mime", "status", "loaded_at")
+    urls = urls if until is None else urls.where(until)
     names = lambda t, key, out: table(spark, d, t).where("id IS NOT NULL").groupBy(F.col("id").alias(key)).agg(F.min(normalize_mime(F.col("name"))).alias(out))
     rows = join_sized(urls, names("cc_mimes", "mime", "mime_name"), ["mime"], "left", salt_by=["url"])
     rows = join_sized(rows, names("cc_detected_mimes", "detected_mime", "detected_name"), ["detected_mime"], "left", salt_by=["url"])
@@ -70,10 +96,9 @@ def _strata(spark: SparkSession, d: str) -> tuple[DataFrame, list[tuple[str, flo
             rates |= {f"{c['filter_name']}|{k}": v for k, v in f.rates().items()}
             strata.append(F.concat(F.lit(f"{c['filter_name']}|"), f.stratum(F.col("status"), F.col("mime_name"), F.col("detected_name"), tidy=True)))
     url = tidy_url(F.col("url"))
-    path = f"{shared_dir(spark)}/keys-{uuid.uuid4().hex}"
     named = list(rates.items()) or [("", 0.0)]
-    E.first_seen(rows, F.array(*strata) if strata else F.array(F.lit(None).cast("string")), F.when(url != "", url), F.year("loaded_at") * 12 + F.month("loaded_at") - 1, {n: i for i, (n, _) in enumerate(named)}).write.parquet(path)
-    keys = spark.read.parquet(path)
+    seen = E.first_seen(rows, F.array(*strata) if strata else F.array(F.lit(None).cast("string")), F.when(url != "", url), F.year("loaded_at") * 12 + F.month("loaded_at") - 1, {n: i for i, (n, _) in enumerate(named)})
+    keys = E.sorted_keys(seen, scratch(spark, "keys"))
     sampling = [[c["filter_name"], c["filter_json"]] for c in confs if has_probability(c["filter_json"])]
     name = "ledger-" + hashlib.sha256(json.dumps([_full_path(spark, d), sampling]).encode()).hexdigest()[:32]
     return keys, named, [r[0] for r in keys.select("epoch").distinct().orderBy("epoch").collect()], name
@@ -105,6 +130,22 @@ def p5_shares(spark: SparkSession, d: str) -> DataFrame:
     return out.select(F.element_at(F.array(*(F.lit(n) for n, _ in named)), F.col("stratum") + 1).alias("rule"), "n_keys", "n_selected", "rate", "reached")
 
 
+def p5_lost(spark: SparkSession, d: str) -> DataFrame:
+    """Urls that a run up to the middle of the newest but one month had selected and a later run over all captures has not: none.
+
+    Both runs share a ledger of their own, and the later one reads the keys in another layout.
+    """
+    newest = table(spark, d, "cc_urls").agg(F.max("loaded_at").alias("t")).select(F.expr("add_months(trunc(t, 'MM'), -1) + INTERVAL 14 DAYS").alias("t")).first()["t"]
+    path = scratch(spark, "ledger")
+    before, named, epochs, _ = _strata(spark, d, F.col("loaded_at") < F.lit(newest))
+    rates = {i: r for i, (_, r) in enumerate(named)}
+    first = cut(E.grow(before, rates, path, epochs))
+    after, _, epochs, _ = _strata(spark, d)
+    second = E.grow(after.repartition(7), rates, path, epochs)
+    name = F.element_at(F.array(*(F.lit(n) for n, _ in named)), F.col("stratum") + 1)
+    return first.join(second, ["stratum", "key"], "left_anti").select(name.alias("rule"), F.col("key").alias("url"))
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     """Documents that hold a passage of a held-out item."""
     return L.leaked(table(spark, d, "documents"), table(spark, d, "heldout_items"))
@@ -126,6 +167,13 @@ def p7_shares(spark: SparkSession, d: str) -> DataFrame:
     return M.mixed(table(spark, d, "documents"), table(spark, d, "mix_targets"))[1]
 
 
+def p7_length_shares(spark: SparkSession, d: str) -> DataFrame:
+    """The shares with sizes in characters, which SQL can count as well."""
+    sized = table(spark, d, "documents").select("doc_id", "source", F.length("text").cast("bigint").alias("n_tokens"))
+    out = M.mix(sized, table(spark, d, "mix_targets"))[1]
+    return out.select("mix_name", "source", F.round("target_share", 9).alias("target_share"), F.round("aimed_share", 9).alias("aimed_share"), F.round("reached_share", 9).alias("reached_share"), "n_tokens", "most_repeats", "max_repeats")
+
+
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
     """Language stretches of documents whose label is absent or wrong or too simple."""
     return G.label_faults(G.language_stretches(table(spark, d, "documents"))).select("doc_id", "seg_no", "lang")
@@ -142,7 +190,16 @@ def p8_documents(spark: SparkSession, d: str) -> DataFrame:
     return G.document_languages(G.language_stretches(documents), documents)
 
 
-QUERIES = {f.__name__: f for f in (p4_distinct, p4_states, p5_sample, p5_shares, p6_found, p6_items, p7_mix, p7_shares, p8_found, p8_stretches, p8_documents)}
+def p8_covered(spark: SparkSession, d: str) -> DataFrame:
+    """Words of every document that its stretches cover, and that stretches are numbered from 1 without a gap."""
+    per_doc = G.language_stretches(table(spark, d, "documents")).groupBy("doc_id").agg(F.sum("n_words").alias("n_words"), (F.max("seg_no") == F.count(F.lit(1))).alias("numbered"))
+    return per_doc.select("doc_id", "n_words", "numbered")
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (p4_distinct, p4_states, p4_bounds, p5_sample, p5_shares, p5_lost, p6_found, p6_items, p7_mix, p7_shares, p7_length_shares, p8_found, p8_stretches, p8_documents, p8_covered)
+}
 
 # Words as in the operator; runs of eight equal words, of which every case has one, find the alignments to compare.
 _JOIN_HYPHENS = "regexp_replace({}, '([\\p{{L}}\\p{{N}}_])[-‐‑‒]([ \\t]*\\r?\\n[\\s>|]*)?([\\p{{L}}\\p{{N}}_])', '\\1\\3', 'g')"
@@ -178,7 +235,36 @@ st AS (SELECT s.filter_name, s.key, CASE WHEN thin < 1 THEN 'default' ELSE coale
 n AS (SELECT filter_name || '|' || rule AS rule, max(p)::double AS rate, count(DISTINCT key) AS n_keys FROM st WHERE rule IS NOT NULL GROUP BY 1)
 SELECT rule, n_keys, round(rate * n_keys)::bigint AS n_selected, rate, round(rate * n_keys) / n_keys AS reached FROM n"""
 
+_LABEL = "coalesce(nullif(lower(regexp_replace(trim({}), '^\\.+', '')), ''), '(none)')"
+_BOUNDS = f"""WITH h AS (SELECT id, min(tld) AS tld FROM cc_hosts WHERE id IS NOT NULL GROUP BY 1), m AS (SELECT id, min(name) AS name FROM cc_mimes WHERE id IS NOT NULL GROUP BY 1),
+r AS (SELECT coalesce(strftime(captured_at, '%Y-%m-%d'), '(none)') AS day, {_LABEL.format('h.tld')} AS tld, {_LABEL.format('m.name')} AS mime, u.host::varchar AS host,
+  nullif(upper(trim(regexp_replace(digest, '^\\s*[A-Za-z0-9\\-]+:', ''))), '') AS digest FROM cc_urls u LEFT JOIN h ON h.id = u.host LEFT JOIN m ON m.id = u.mime),
+v AS (SELECT DISTINCT day, tld, mime, 'digest' AS field, digest AS x FROM r WHERE digest IS NOT NULL UNION ALL SELECT DISTINCT day, tld, mime, 'host', host FROM r WHERE host IS NOT NULL),
+n AS (SELECT field, concat_ws(',', CASE WHEN grouping(day) = 0 THEN 'day' END, CASE WHEN grouping(tld) = 0 THEN 'tld' END, CASE WHEN grouping(mime) = 0 THEN 'mime' END) AS grouped_by, count(DISTINCT x) AS c
+  FROM v GROUP BY GROUPING SETS ((field, day, tld, mime), (field, day), (field, tld), (field, mime), (field))
+  UNION ALL SELECT 'tld', 'day', count(DISTINCT tld) FROM r WHERE tld <> '(none)' GROUP BY day)
+SELECT grouped_by, field, count(*) AS n_groups, sum(c)::bigint AS n_identifiers, true AS within FROM n GROUP BY 1, 2"""
+
+# Whole weights to a millionth, so that shares are exact here, too.
+_LENGTH_SHARES = """WITH t AS (SELECT mix_name, source, sum(CASE WHEN weight > 0 THEN round(weight * 1000000) ELSE 0 END)::hugeint AS a, max(max_repeats) AS most FROM mix_targets GROUP BY 1, 2),
+s AS (SELECT source, sum(length(text)) AS n FROM documents WHERE length(text) > 0 AND source IS NOT NULL GROUP BY 1),
+u AS (SELECT t.*, coalesce(n, 0)::hugeint AS available, a > 0 AND most > 0 AND coalesce(n, 0) > 0 AS usable FROM t LEFT JOIN s ON s.source = t.source),
+c AS (SELECT *, (most * available)::hugeint AS cap, sum(a) OVER (PARTITION BY mix_name) AS whole, coalesce(sum(a) FILTER (usable) OVER (PARTITION BY mix_name), 0) AS period FROM u),
+b AS (SELECT mix_name, arg_min(cap, cap::double / a::double) AS bc, arg_min(a, cap::double / a::double) AS ba FROM c WHERE usable GROUP BY 1),
+k AS (SELECT c.*, CASE WHEN usable THEN least(cap, bc * a // ba) ELSE 0 END AS take FROM c LEFT JOIN b ON b.mix_name = c.mix_name)
+SELECT mix_name, source, round(a::double / whole::double, 9) AS target_share, CASE WHEN usable THEN round(a::double / period::double, 9) ELSE 0 END AS aimed_share,
+coalesce(round(take::double / nullif(sum(take) OVER (PARTITION BY mix_name), 0)::double, 9), 0) AS reached_share, take::bigint AS n_tokens,
+CASE WHEN take > 0 THEN ((take + available - 1) // available)::int ELSE 0 END AS most_repeats, most AS max_repeats FROM k"""
+
+# Words as the labels' texts are split: at white space, of whatever kind.
+_BLANKS = r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+_COVERED = f"WITH w AS (SELECT doc_id, len(regexp_extract_all(text, '[^{_BLANKS}]+')) AS n FROM documents WHERE text IS NOT NULL AND doc_id IS NOT NULL) SELECT doc_id, sum(n)::bigint AS n_words, true AS numbered FROM w WHERE n > 0 GROUP BY 1"
+
 ORACLES: dict[str, str] = {
+    "p4_bounds": _BOUNDS,
+    "p5_lost": "SELECT '' AS rule, '' AS url WHERE false",
+    "p7_length_shares": _LENGTH_SHARES,
+    "p8_covered": _COVERED,
     "p5_shares": _SHARES,
     "p6_found": f"{_LEAKED} SELECT doc_id, item_id FROM leaked",
     "p6_items": f"{_LEAKED}, items AS (SELECT DISTINCT item_id FROM heldout_items) SELECT items.item_id, count(doc_id) AS n_documents FROM items LEFT JOIN leaked ON leaked.item_id = items.item_id GROUP BY 1",

@@ -8,6 +8,8 @@ estimate is the maximum of the likelihood of the bit counts per rank, its varian
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pandas as pd
@@ -114,6 +116,24 @@ def estimate(states: DataFrame, by: Sequence[str]) -> DataFrame:
     return out.select(*by, "field", n.alias("n_distinct"), e.alias("std_error"), F.greatest(F.lit(0.0), n - 1.96 * e).alias("low"), (n + 1.96 * e).alias("high"))
 
 
+def exact(rows: DataFrame, groups: Mapping[str, Column], fields: Mapping[str, Column], sets: Sequence[Sequence[str]], own: Mapping[str, Sequence[Sequence[str]]] | None = None) -> DataFrame:
+    """(groups..., field, n_exact): exact distinct counts of the unions in ``sets``, by which estimates are judged; every identifier is shuffled."""
+    ids = F.explode(F.array(*(F.struct(F.lit(f).alias("field"), c.cast("string").alias("id")) for f, c in fields.items())))
+    flat = rows.select(*(c.alias(g) for g, c in groups.items()), ids.alias("__v")).where("__v.id IS NOT NULL").select(*groups, "__v.field", "__v.id").distinct()
+    listed = lambda sets: F.array(*(F.struct(*((F.col(g) if g in s else F.lit(None).cast(flat.schema[g].dataType)).alias(g) for g in groups)) for s in sets))
+    each = listed(sets)
+    for field, other in (own or {}).items():
+        each = F.when(F.col("field") == field, listed(other)).otherwise(each)
+    spread = flat.select("field", "id", F.explode(each).alias("__g")).select(*(F.col(f"__g.{g}").alias(g) for g in groups), "field", "id").distinct()
+    return spread.groupBy(*groups, "field").agg(F.count(F.lit(1)).alias("n_exact"))
+
+
+def beside(counted: DataFrame, estimated: DataFrame, by: Sequence[str]) -> DataFrame:
+    """``counted`` with the estimates of the same groups and fields; a group without an estimate keeps nulls."""
+    same = [F.col(f"c.{g}").eqNullSafe(F.col(f"e.{g}")) for g in by] + [F.col("c.field") == F.col("e.field")]
+    return counted.alias("c").join(estimated.alias("e"), reduce(and_, same), "left").select(*(f"c.{g}" for g in by), "c.field", "c.n_exact", "e.n_distinct", "e.std_error", "e.low", "e.high")
+
+
 def tidy_digest(c: Column) -> Column:
     """A digest in capitals without its algorithm's prefix; blank as null."""
     d = F.upper(F.trim(F.regexp_replace(c, r"^\s*[A-Za-z0-9\-]+:", "")))

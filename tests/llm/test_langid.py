@@ -108,3 +108,26 @@ def test_short_texts_and_whole_documents(spark):
     whole = {r.doc_id: r for r in G.document_languages(s, d).collect()}
     assert set(whole) == {r[0] for r in rows} and {k: (whole[k].lang, whole[k].n_segs) for k in range(200, 206)} == {200: ("de", 1), 201: ("zxx", 1), 202: ("nl", 3), 203: ("zxx", 0), 204: ("zxx", 0), 205: ("it", 1)}
     assert 0.4 < whole[202].confidence < 0.7 < whole[205].confidence <= 1
+
+
+def rows_of(spark, texts):
+    df = spark.createDataFrame([(i, t, None) for i, t in enumerate(texts)], "doc_id bigint, text string, lang string")
+    return df.coalesce(1)
+
+
+def test_batches_without_language_or_words(spark, labeller):
+    assert G.language_stretches(rows_of(spark, ["", "  \n", None]), labeller.model).collect() == []
+    got = G.language_stretches(rows_of(spark, ["too short", "", "ok"]), labeller.model).collect()
+    assert sorted((r.doc_id, r.n_words, r.n_segs) for r in got) == [(0, 2, 1), (2, 1, 1)] and G.label_faults(G.language_stretches(rows_of(spark, ["too short"]), labeller.model)).count() == 0
+
+
+def test_texts_without_blanks(spark, labeller):
+    texts = ["河水很冷村里没有人见过这样明亮的早晨" * 40, "川は冷たくこの村の誰もこんなに明るい朝を見たことがなかった" * 40, "แม่น้ำเย็นและไม่มีใครในหมู่บ้านนี้เคยเห็นเช้าที่สดใสเช่นนี้" * 40]
+    got = {r.doc_id: r.lang for r in G.language_stretches(rows_of(spark, texts), labeller.model).collect()}
+    assert got == {0: "zh", 1: "ja", 2: "th"}
+
+
+def test_sentences_inside_a_long_dump(labeller):
+    dump = "237.782 633.046 2.33 re f 0 0 17 39 cm 69 34 06 BB 0F D8 0000 f\n" * 150
+    text = dump + BASE["fr"] + " " + BASE["fr"] + " " + BASE["fr"] + "\n" + dump
+    assert [x[0] for x in langs(labeller, text)] == ["fr"] and [x[0] for x in langs(labeller, dump)] == ["zxx"]
