@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: A join side is broadcast only after a count shows at most this many rows and this many bytes.
-BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 48 << 20
+BROADCAST_ROWS, BROADCAST_BYTES = 100_000, 16 << 20
 #: Beyond, a key with more than 1 / PARTS of the larger side's rows is split into parts of at most that size.
 PARTS = 2000
 

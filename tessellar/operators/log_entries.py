@@ -13,18 +13,16 @@ from __future__ import annotations
 
 import json
 import re
-import uuid
 from collections.abc import Iterator
 from datetime import datetime, timedelta, timezone
 from functools import lru_cache
 
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessellar.common import BROADCAST_ROWS, cut, join_sized, shared_dir
+from tessellar.common import BROADCAST_ROWS, cut, join_sized, stored
 
 #: A task remembers so many runs to skip their copies; the rest is left to the windows.
 _SEEN_RUNS = 200_000
@@ -155,8 +153,20 @@ def tokens(line: str, started: datetime | None) -> tuple[list[str], list[str], l
     return out, values, ends
 
 
-def line_rows(text: str, started: datetime | None) -> Iterator[tuple[int, int, str, list[str], list[int]]]:
-    """(line_no, upto, sequence, values, token ends) of each line that might begin an entry; ``upto`` is the last non-blank line before the next such line.
+def told(lines: list[str]) -> str | None:
+    """The message value of a JSON entry, '' if it has none; null if the lines are no JSON object, as when they are cut off."""
+    try:
+        found = json.loads("\n".join(lines))
+        return next((str(v) for k, v in found.items() if _KEY.get(k.lower()) == "msg"), "")
+    except (ValueError, AttributeError):
+        return None
+
+
+def line_rows(text: str, started: datetime | None, texts: bool = False) -> Iterator[list]:
+    """(line_no, upto, sequence, values) of each line that might begin an entry; ``upto`` is the last non-blank line before the next such line.
+
+    ``texts`` adds where each token ends, the line (a header's block of lines as one), the non-blank lines that follow it, and
+    what a JSON entry has for message.
 
     A line that begins with white space, ``|`` or ``>`` never does. A line that is ``{`` alone takes the indented lines up to its
     ``}`` with it, as one header.
@@ -172,10 +182,12 @@ def line_rows(text: str, started: datetime | None) -> Iterator[tuple[int, int, s
         if x[0].isspace() or x[0] in "|>":
             if held:
                 held[1] = i + 1
+                if texts:
+                    held[6] = f"{held[6]}\n{x}" if held[6] else x
             i += 1
             continue
         if held:
-            yield tuple(held)
+            yield held
         j = i
         if x.rstrip() == "{":
             while j + 1 < n and lines[j + 1][:1].isspace() and lines[j + 1].strip():
@@ -184,19 +196,22 @@ def line_rows(text: str, started: datetime | None) -> Iterator[tuple[int, int, s
                 j += 1
             x = " ".join(y.strip() for y in lines[i : j + 1])
         toks, values, ends = tokens(x, started)
-        held = [i + 1, j + 1, SEP.join(toks), values, ends]
+        held = [i + 1, j + 1, SEP.join(toks), values]
+        if texts:
+            held += [ends, x, "", told(lines[i : j + 1]) if x[0] == "{" else None]
         i = j + 1
     if held:
-        yield tuple(held)
+        yield held
 
 
 _LINES = "run_id bigint, version bigint, line_no int, upto int, seq string, vals array<string>"
+_TEXTS = ", ends array<int>, line string, more string, told string"
 
 
-def candidate_lines(runs: DataFrame, ends: bool = False) -> DataFrame:
+def candidate_lines(runs: DataFrame, texts: bool = False) -> DataFrame:
     """Each run's lines that might begin an entry. ``runs`` has run_id, started_at and stderr, and is never shuffled here.
 
-    ``version`` tells rows of a repeated run_id apart; ``ends`` adds where each token of a line ends.
+    ``version`` tells differing rows of a repeated run_id apart; ``texts`` adds what messages are made of, cut where the text lies.
     """
     one = runs.where("run_id IS NOT NULL AND stderr IS NOT NULL AND stderr <> ''").select("run_id", F.xxhash64("started_at", "stderr").alias("version"), "started_at", "stderr")
 
@@ -213,10 +228,12 @@ def candidate_lines(runs: DataFrame, ends: bool = False) -> DataFrame:
                 at = None if pd.isna(started) else started.to_pydatetime()
                 if at is not None and at.tzinfo is not None:
                     at = at.astimezone(timezone.utc).replace(tzinfo=None)
-                rows += [(run_id, version, *r) if ends else (run_id, version, *r[:4]) for r in line_rows(text, at)]
-            yield pd.DataFrame(rows, columns=["run_id", "version", "line_no", "upto", "seq", "vals", *(["ends"] if ends else [])])
+                rows += [(run_id, version, *r) for r in line_rows(text, at, texts)]
+            yield pd.DataFrame(rows, columns=columns)
 
-    return one.mapInPandas(run, _LINES + ", ends array<int>" * ends)
+    schema = _LINES + _TEXTS * texts
+    columns = [x.split()[0] for x in schema.split(", ")]
+    return one.mapInPandas(run, schema)
 
 
 # ---- iterative partitioning of the distinct sequences
@@ -256,7 +273,7 @@ def split_by_bijection(parts: DataFrame) -> DataFrame:
     left = pairs.groupBy("part", "t2").agg(F.count(F.lit(1)).alias("d2"))
     key = F.when(F.col("d2") == 1, F.concat(F.lit("1"), F.col("t1"))).when(F.col("d1") == 1, F.concat(F.lit("2"), F.col("t2")))
     pairs = pairs.join(right, ["part", "t1"]).join(left, ["part", "t2"]).select("part", "t1", "t2", key.alias("k"))
-    joined = placed.join(pairs, ["part", "t1", "t2"], "left")
+    joined = join_sized(placed, pairs, ["part", "t1", "t2"], "left", salt_by=["id"], keep=True)
     return joined.withColumn("part", F.xxhash64("part", F.coalesce("k", F.lit("")))).select("id", "id2", "toks", "part")
 
 
@@ -510,17 +527,15 @@ def template_fields(parts: DataFrame) -> DataFrame:
 # ---- entries
 
 
-def entries(runs: DataFrame, max_rows: int = BROADCAST_ROWS, offsets: bool = False) -> DataFrame:
-    """(run_id, line_no, n_lines, log_ts, log_level, component): one row per log entry.
+def entries(runs: DataFrame, max_rows: int = BROADCAST_ROWS, messages: bool = False) -> DataFrame:
+    """(run_id, line_no, n_lines, log_ts, log_level, component): one row per log entry; ``messages`` adds message.
 
     Null or empty stderr gives nothing, a run without any header no entry; lines before the first entry belong to none. A repeated
-    run counts once; should its rows differ, the one of the largest hash counts. Extra columns are never read. ``offsets`` adds message_from, where the message begins in the entry's first
-    line (in a header that takes a block of lines, in these joined).
+    run counts once; rows of one run_id that differ in start or text are read each, and entries that they share come out once.
+    Extra columns are never read. A message is what follows the header in the entry's first line (of a JSON entry its message
+    value), and the entry's further lines that are not blank; colour codes and final carriage returns are off.
     """
-    spark = runs.sparkSession
-    path = f"{shared_dir(spark)}/lines-{uuid.uuid4().hex}"
-    candidate_lines(runs, offsets).select("*", *sequence_ids(F.col("seq"))).write.parquet(path)
-    lines = spark.read.parquet(path)
+    lines = stored(candidate_lines(runs, messages).select("*", *sequence_ids(F.col("seq"))), "lines")
     parts = partition(lines.select("seq").distinct())
     fields = join_sized(parts, template_fields(parts).drop("template"), ["part"], "inner", salt_by=["id"], max_rows=max_rows, keep=True)
     literal = F.when((F.col("s.comp_at") < 0) & (F.col("s.comp_pos") >= 0), F.ltrim(F.get("toks", F.col("s.comp_pos"))))
@@ -536,19 +551,20 @@ def entries(runs: DataFrame, max_rows: int = BROADCAST_ROWS, offsets: bool = Fal
         value("time_at").alias("ts"),
         value("level_at").alias("level"),
         F.coalesce(value("comp_at"), "named").alias("comp"),
-        (F.when(F.col("message_at") > 0, F.get("ends", F.col("message_at") - 1)).otherwise(0) if offsets else F.lit(0)).alias("message_from"),
         F.coalesce("opens", F.lit(False)).alias("opens"),
         F.coalesce("level_alone", F.lit(False)).alias("level_alone"),
-    )
-    w = Window.partitionBy("run_id").orderBy("line_no")  # all windows share one shuffle of the fields, a run's lines in order
-    lit = lit.withColumn("__one", F.max("version").over(Window.partitionBy("run_id")) == F.col("version")).where("__one")
+        *([_message().alias("message"), F.col("line"), F.col("more")] if messages else []),
+    ).repartition("run_id")  # the one shuffle: all windows and groups below are within a run
+    w = Window.partitionBy("run_id", "version").orderBy("line_no")
     lit = lit.withColumn("__again", F.lag("line_no").over(w).eqNullSafe(F.col("line_no"))).where("NOT __again")
     lit = lit.withColumn("goes_on", F.lag("opens", 1, False).over(w) & F.col("level_alone") & (F.lag("upto").over(w) + 1 == F.col("line_no")))
+    text = lambda c: F.coalesce(c, F.lit(""))
+    if messages:
+        return _with_messages(lit, w)
     lit = lit.withColumn("next_level", F.when(F.lead("goes_on").over(w), F.lead("level").over(w)))
     # an entry ends where the line before the next one's first line ends, the last one of a run with the run
-    lit = lit.withColumn("before", F.lag("upto").over(w)).withColumn("last", F.max("upto").over(Window.partitionBy("run_id"))).where(F.col("is_header") & ~F.col("goes_on"))
+    lit = lit.withColumn("before", F.lag("upto").over(w)).withColumn("last", F.max("upto").over(Window.partitionBy("run_id", "version"))).where(F.col("is_header") & ~F.col("goes_on"))
     end = F.coalesce(F.lead("before").over(w), "last")
-    text = lambda c: F.coalesce(c, F.lit(""))
     return lit.select(
         "run_id",
         "line_no",
@@ -556,44 +572,34 @@ def entries(runs: DataFrame, max_rows: int = BROADCAST_ROWS, offsets: bool = Fal
         text(F.col("ts")).alias("log_ts"),
         text(F.coalesce("level", "next_level")).alias("log_level"),
         text(F.col("comp")).alias("component"),
-        *(["message_from"] if offsets else []),
-    )
-
-
-def message(own: list[str], start: int) -> str:
-    """The message of an entry's lines, that begins at ``start`` of the first: of a JSON entry its message value, else what follows the header."""
-    first, rest = own[0], own[1:]
-    if first.startswith("{"):
-        end = next((k + 1 for k, x in enumerate(own) if x.rstrip() == "}"), len(own)) if first.rstrip() == "{" else 1
-        try:
-            found = json.loads("\n".join(own[:end]))
-            head = next((str(v) for k, v in found.items() if _KEY.get(k.lower()) == "msg"), "")
-            return "\n".join(x for x in [head, *own[end:]] if x.strip())
-        except (ValueError, AttributeError):
-            if end > 1:  # cut off
-                first, rest = " ".join(x.strip() for x in own[:end]), own[end:]
-    head = first[start:].strip()
-    if start and first[start - 1] == '"' and first[:1] != '"':
-        head = re.sub(r'"\s*\}?$', "", head)
-    return "\n".join(x for x in [head, *rest] if x.strip())
-
-
-def with_messages(found: DataFrame, runs: DataFrame) -> DataFrame:
-    """``found`` (entries with offsets) with the message of each in place of its offset; colour codes and final ``\\r`` are off."""
-    own = runs.where("run_id IS NOT NULL AND stderr IS NOT NULL AND stderr <> ''").select("run_id", "stderr", F.xxhash64("started_at", "stderr").alias("v"))
-    one = own.groupBy("run_id").agg(F.max(F.struct("v", "stderr")).alias("r"))
-    fields = ["line_no", "n_lines", "log_ts", "log_level", "component"]
-    listed = found.groupBy("run_id").agg(F.sort_array(F.collect_list(F.struct(*fields, "message_from"))).alias("es"))
-    joined = one.join(listed, "run_id").select("run_id", F.col("r.stderr").alias("stderr"), "es.line_no", "es.n_lines", "es.message_from", "es")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:  # the fields pass through as they are
-            out = []
-            for text, starts, sizes, offsets in zip(*(b.column(c).to_pylist() for c in ("stderr", "line_no", "n_lines", "message_from"))):
-                lines = [(_COLOUR.sub("", x) if "\x1b" in x else x).removesuffix("\r") for x in text.split("\n")]
-                out.append([message(lines[k - 1 : k - 1 + n], f) for k, n, f in zip(starts, sizes, offsets)])
-            yield pa.record_batch([b.column("run_id"), b.column("es"), pa.array(out, pa.list_(pa.string()))], ["run_id", "es", "messages"])
-
-    kind = joined.schema["es"].dataType.simpleString()
-    zipped = joined.mapInArrow(run, f"run_id bigint, es {kind}, messages array<string>").select("run_id", F.explode(F.arrays_zip("es", "messages")).alias("z"))
-    return zipped.select("run_id", *(f"z.es.{c}" for c in fields), F.col("z.messages").alias("message"))
+    ).distinct()
+
+
+def _message() -> Column:
+    """What a header line says: of a JSON entry its message value, else what follows the header, without the quote that a quoted value ends with."""
+    start = F.when(F.col("message_at") > 0, F.get("ends", F.col("message_at") - 1)).otherwise(0)
+    rest = F.regexp_replace(F.expr("substring(line, 1 + CASE WHEN message_at > 0 THEN get(ends, message_at - 1) ELSE 0 END)"), r"^\s+|\s+$", "")
+    quoted = (start > 0) & (F.substring(F.col("line"), start, 1) == '"') & ~F.col("line").startswith('"')
+    return F.coalesce("told", F.when(quoted, F.regexp_replace(rest, r'"\s*\}?$', "")).otherwise(rest))
+
+
+def _with_messages(lit: DataFrame, w) -> DataFrame:
+    """Entries of lines with their texts: an entry's lines are numbered alike and gathered, no more than one run has."""
+    first = F.col("is_header") & ~F.col("goes_on")
+    lit = lit.withColumn("__no", F.sum(first.cast("int")).over(w)).where("__no > 0")
+    said = F.concat_ws("\n", *(F.when(c != "", c) for c in (F.when(first | F.col("goes_on"), F.col("message")).otherwise(F.col("line")), F.col("more"))))
+    fields = F.when(first, F.struct("ts", "level", "comp"))
+    one = lit.groupBy("run_id", "version", "__no").agg(
+        F.min("line_no").alias("line_no"), F.max("upto").alias("upto"), F.max(fields).alias("f"), F.max(F.when(F.col("goes_on"), F.col("level"))).alias("next_level"),
+        F.sort_array(F.collect_list(F.struct("line_no", said.alias("said")))).alias("said"),
+    )
+    text = lambda c: F.coalesce(c, F.lit(""))
+    return one.select(
+        "run_id",
+        "line_no",
+        (F.col("upto") - F.col("line_no") + 1).cast("int").alias("n_lines"),
+        text(F.col("f.ts")).alias("log_ts"),
+        text(F.coalesce("f.level", "next_level")).alias("log_level"),
+        text(F.col("f.comp")).alias("component"),
+        F.concat_ws("\n", F.filter("said.said", lambda x: x != "")).alias("message"),
+    ).distinct()

@@ -32,8 +32,7 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p1_messages(spark: SparkSession, d: str) -> DataFrame:
     """The same with messages."""
-    runs = table(spark, d, "tool_runs")
-    return G.with_messages(G.entries(runs, offsets=True), runs)
+    return G.entries(table(spark, d, "tool_runs"), messages=True)
 
 
 def p1_templates(spark: SparkSession, d: str) -> DataFrame:
@@ -118,29 +117,31 @@ def _direct_sql() -> str:
     return " UNION ".join(parts)
 
 
-_REPORT_SQL = f"""
-WITH RECURSIVE direct AS ({_direct_sql()}),
-fetch_keys AS (SELECT id, status_id, {_PLAIN.format("path")} AS k, strftime(fetched_at, '%Y-%m') AS period FROM cc_fetch),
-profile_keys AS (SELECT path, {_PLAIN.format("path")} AS k, strftime(profiled_at, '%Y-%m') AS period FROM profiles),
-o1 AS (SELECT DISTINCT 'cc_fetch' AS src_table, f.id::varchar AS row_key, f.period FROM fetch_keys f JOIN direct d ON d.src_table = 'cc_urls' AND d.row_key = f.id::varchar),
+# A record is inherited if every record of the key that it refers to is an orphan; of fetches, every one live at the profile's time.
+_CASCADE_SQL = f"""
+WITH direct AS ({_direct_sql()}),
+url_keys AS (SELECT u.id, bool_and(d.row_key IS NOT NULL) AS bad FROM cc_urls u LEFT JOIN direct d ON d.src_table = 'cc_urls' AND d.row_key = u.id::varchar AND d.period IS NOT DISTINCT FROM strftime(u.loaded_at, '%Y-%m') GROUP BY 1),
+fetches AS (SELECT id, {_PLAIN.format("path")} AS k, fetched_at, removed_at, strftime(fetched_at, '%Y-%m') AS period FROM cc_fetch),
+o1 AS (SELECT DISTINCT 'cc_fetch' AS src_table, f.id::varchar AS row_key, f.period FROM fetches f JOIN url_keys u ON u.id = f.id WHERE u.bad),
 bad_fetch AS (SELECT row_key, period FROM direct WHERE src_table = 'cc_fetch' UNION SELECT row_key, period FROM o1),
-bad_paths AS (SELECT DISTINCT f.k FROM fetch_keys f JOIN bad_fetch b ON b.row_key = f.id::varchar AND b.period = f.period WHERE f.k IS NOT NULL),
-o2 AS (SELECT DISTINCT 'profiles' AS src_table, p.path AS row_key, p.period FROM profile_keys p JOIN bad_paths b ON b.k = p.k),
-bad_profiles AS (SELECT row_key FROM direct WHERE src_table = 'profiles' UNION SELECT row_key FROM o2),
-o3 AS (SELECT DISTINCT 'tool_runs' AS src_table, t.run_id::varchar AS row_key, strftime(t.started_at, '%Y-%m') AS period FROM tool_runs t
-  WHERE {_PLAIN.format("t.path")} IN (SELECT {_PLAIN.format("row_key")} FROM bad_profiles)),
-inherited AS (SELECT * FROM (SELECT * FROM o1 UNION SELECT * FROM o2 UNION SELECT * FROM o3) EXCEPT SELECT * FROM direct)
+judged AS (SELECT f.*, b.row_key IS NOT NULL AS bad FROM fetches f LEFT JOIN bad_fetch b ON b.row_key = f.id::varchar AND b.period IS NOT DISTINCT FROM f.period WHERE f.k IS NOT NULL),
+profile_keys AS (SELECT path, {_PLAIN.format("path")} AS k, profiled_at AS t, strftime(profiled_at, '%Y-%m') AS period FROM profiles),
+o2 AS (SELECT DISTINCT 'profiles' AS src_table, p.path AS row_key, p.period FROM profile_keys p WHERE p.t IS NOT NULL AND p.k IN (SELECT k FROM judged WHERE bad)
+  AND NOT EXISTS (SELECT 1 FROM judged s WHERE NOT s.bad AND s.k = p.k AND s.fetched_at <= p.t AND (s.removed_at IS NULL OR p.t < s.removed_at))),
+bad_profiles AS (SELECT row_key, period FROM direct WHERE src_table = 'profiles' UNION SELECT row_key, period FROM o2),
+bad_paths AS (SELECT p.k FROM profile_keys p LEFT JOIN bad_profiles b ON b.row_key = p.path AND b.period IS NOT DISTINCT FROM p.period WHERE p.k IS NOT NULL GROUP BY 1 HAVING bool_and(b.row_key IS NOT NULL)),
+o3 AS (SELECT DISTINCT 'tool_runs' AS src_table, t.run_id::varchar AS row_key, strftime(t.started_at, '%Y-%m') AS period FROM tool_runs t WHERE {_PLAIN.format("t.path")} IN (SELECT k FROM bad_paths)),
+inherited AS (SELECT * FROM (SELECT * FROM o1 UNION SELECT * FROM o2 UNION SELECT * FROM o3) EXCEPT SELECT * FROM direct)"""
+_REPORT_SQL = f"""{_CASCADE_SQL}
 SELECT src_table, period, count(*) FILTER (kind = 'd') AS n_direct, count(*) FILTER (kind = 'i') AS n_inherited
 FROM (SELECT *, 'd' AS kind FROM direct UNION ALL SELECT *, 'i' FROM inherited) GROUP BY 1, 2
 """
 
 # The same keys and orphans as in p2_report, then the documents.
-_REPORT_ALL_SQL = f"""
-{_REPORT_SQL.partition("inherited AS")[0]}inherited AS (SELECT * FROM (SELECT * FROM o1 UNION SELECT * FROM o2 UNION SELECT * FROM o3) EXCEPT SELECT * FROM direct),
+_REPORT_ALL_SQL = f"""{_CASCADE_SQL},
 direct_docs AS (SELECT DISTINCT 'documents' AS src_table, doc_id::varchar AS row_key, strftime(extracted_at, '%Y-%m') AS period FROM documents c WHERE host IS NOT NULL AND extracted_at IS NOT NULL
   AND NOT EXISTS (SELECT 1 FROM cc_hosts p WHERE p.id = c.host AND p.added_at <= c.extracted_at AND (p.retired_at IS NULL OR c.extracted_at < p.retired_at))),
-o4 AS (SELECT DISTINCT 'documents' AS src_table, doc_id::varchar AS row_key, strftime(extracted_at, '%Y-%m') AS period FROM documents
-  WHERE {_PLAIN.format("path")} IN (SELECT {_PLAIN.format("row_key")} FROM bad_profiles)),
+o4 AS (SELECT DISTINCT 'documents' AS src_table, doc_id::varchar AS row_key, strftime(extracted_at, '%Y-%m') AS period FROM documents WHERE {_PLAIN.format("path")} IN (SELECT k FROM bad_paths)),
 kinds AS (SELECT *, 'd' AS kind FROM direct UNION ALL SELECT *, 'i' FROM inherited UNION ALL SELECT *, 'd' FROM direct_docs UNION ALL SELECT *, 'i' FROM (SELECT * FROM o4 EXCEPT SELECT * FROM direct_docs))
 SELECT src_table, period, count(*) FILTER (kind = 'd') AS n_direct, count(*) FILTER (kind = 'i') AS n_inherited FROM kinds GROUP BY 1, 2
 """

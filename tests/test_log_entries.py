@@ -64,7 +64,10 @@ def test_many_copies_of_a_run(spark):
 
 def test_differing_copies_of_a_run(spark):
     got = found(spark, [(1, AT, "error: a"), (1, AT, "info: b\nwarn: c")])
-    assert got in ({(1, 1): (1, "", "ERROR", "")}, {(1, 1): (1, "", "INFO", ""), (1, 2): (1, "", "WARN", "")})
+    assert got in ({(1, 1): (1, "", "ERROR", ""), (1, 2): (1, "", "WARN", "")}, {(1, 1): (1, "", "INFO", ""), (1, 2): (1, "", "WARN", "")})  # one key of the dict for two rows
+    df = spark.createDataFrame([(1, AT, "error: a", "t", "c"), (1, AT, "info: b\nwarn: c", "t", "c"), (1, AT, "error: a\n  more", "t", "c"), (1, AT, "info: b", "t", "c")], SCHEMA)
+    rows = sorted((r.line_no, r.n_lines, r.log_level) for r in G.entries(df).collect())
+    assert rows == [(1, 1, "ERROR"), (1, 1, "INFO"), (1, 2, "ERROR"), (2, 1, "WARN")]
 
 
 def test_long_text_and_salted_joins(spark):
@@ -83,10 +86,18 @@ def test_partition_splits_by_bijection(spark):
 def test_messages(spark):
     text = 'x.c: ERROR: one two\n  more\r\nwarning: b\n{"level": "info", "msg": "c \\"d\\""}\nlvl=warn msg="e f"\n{\n  "level": "info",\n  "msg": "g"\n}\ntail\n{"level": "info", "msg": "cut o'
     df = spark.createDataFrame([(1, AT, text, "t", "c"), (1, AT, text, "t", "c"), (2, AT, None, "t", "c")], SCHEMA)
-    got = [(r.line_no, r.n_lines, r.message) for r in G.with_messages(G.entries(df, offsets=True), df).orderBy("line_no").collect()]
+    got = [(r.line_no, r.n_lines, r.message) for r in G.entries(df, messages=True).orderBy("line_no").collect()]
     assert got == [(1, 2, "one two\n  more"), (3, 1, "b"), (4, 1, 'c "d"'), (5, 1, "e f"), (6, 5, "g\ntail"), (11, 1, "cut o")]
 
 
+def test_message_goes_on_in_the_next_line_and_beyond_entries(spark):
+    text = "banner\nMar 02, 2025 3:14:46 PM a.b.Main load\nSEVERE: odd thing\n\n\tat x\nplain\n2025-01-01 00:00:00 INFO a.b - c"
+    df = spark.createDataFrame([(1, AT, text, "t", "c")], SCHEMA)
+    for most in (0, 1000):
+        got = [(r.line_no, r.n_lines, r.message) for r in G.entries(df, max_rows=most, messages=True).orderBy("line_no").collect()]
+        assert got == [(2, 5, "odd thing\n\tat x\nplain"), (7, 1, "c")]
+
+
 @pytest.mark.parametrize("kind,raw,want", [("iso", "2025-02-30 00:00:00", ""), ("iso", "2025-01-01T00:30:00+0200", "2024-12-31 22:30:00"), ("long", "Jan 1, 2025 12:05:00 AM", "2025-01-01 00:05:00"), ("clf", "01/Feb/2025:10:00:00 -0130", "2025-02-01 11:30:00")])
 def test_to_utc(kind, raw, want):
     assert G.to_utc(kind, raw, AT) == want

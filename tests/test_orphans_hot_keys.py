@@ -14,7 +14,7 @@ def brute(children, targets):
     return sorted((k, t) for k, t in children if k is not None and t is not None and not any(k == tk and a is not None and a <= t and (b is None or t < b) for tk, a, b in targets))
 
 
-def test_not_live_both_ways(spark):
+def test_not_live_both_ways(spark, monkeypatch):
     rng = random.Random(5)
     at = lambda: T0 + timedelta(hours=rng.randrange(24 * 60))
     targets = [(rng.choice([1, 2, 3, None]), at() if rng.random() > 0.05 else None, None) for _ in range(30)]
@@ -26,6 +26,12 @@ def test_not_live_both_ways(spark):
     for most in (0, 1000):
         got = sorted((r["__key"], r["__t"]) for r in O.not_live(c, p, most).collect())
         assert got == want
+    monkeypatch.setattr(O, "HOT_ROWS", 2)  # a key's children of one day in several parts
+    assert sorted((r["__key"], r["__t"]) for r in O.not_live(c, p, 0).collect()) == want
+    one_day = spark.range(5000).select(F.lit(1).alias("__key"), F.lit(T0).cast("timestamp_ntz").alias("__t"), F.col("id").alias("row"))
+    assert O.not_live(one_day, p.where("__key = 4").withColumn("__key", F.lit(1)), 0).count() == 0
+    assert O.not_live(one_day, p.where("__key = 9"), 0).count() == 5000
+    monkeypatch.undo()
     assert O.not_live(c, p.limit(0)).count() == sum(k is not None and t is not None for k, t in children)
     assert O.not_live(c.limit(0), p, 0).count() == 0
 
@@ -83,9 +89,22 @@ def test_report_of_all_tables_reaches_documents(spark, tmp_path):
     assert of("p2_report") == {("profiles", "2025-01", 1, 0)}
 
 
-def test_cascade_deeper_than_32_rounds(spark):
-    a = spark.createDataFrame([(i, 9 if i == 0 else None, i - 1 if i else None, T0) for i in range(36)], "id int, tag int, up int, at timestamp_ntz")
+def test_cascade_of_a_hundred_rounds(spark):
+    a = spark.createDataFrame([(i, 9 if i == 0 else None, i - 1 if i else None, T0) for i in range(100)], "id int, tag int, up int, at timestamp_ntz")
     tags = spark.createDataFrame([], "id int, since timestamp_ntz, until timestamp_ntz")
     src = {"a": O.Source(a, F.col("id"), "at"), "tags": O.Source(tags, F.col("id"), None)}
     found = O.find_orphans(src, [O.Reference("a", "tag", "tags", "id", "since", "until"), O.Reference("a", "up", "a", "id")])
-    assert {int(r.row_key) for r in found.collect()} == set(range(36))
+    assert {int(r.row_key) for r in found.collect()} == set(range(100))
+
+
+def test_a_sound_record_of_the_key_keeps_its_children(spark):
+    at = lambda h: T0 + timedelta(hours=h)
+    up = spark.createDataFrame([(1, 9, "x", at(0), None), (2, 5, "x", at(0), at(2)), (3, 9, "y", at(0), None), (4, 9, "y", at(40 * 24), None)], "id int, tag int, name string, at timestamp_ntz, gone timestamp_ntz")
+    down = spark.createDataFrame([(1, "x", at(1)), (2, "x", at(3)), (3, "y", at(1)), (4, "z", at(1)), (5, "x", None)], "id int, name string, at timestamp_ntz")
+    plain = spark.createDataFrame([(1, "x", at(9)), (2, "y", at(9)), (3, None, at(9))], "id int, name string, at timestamp_ntz")
+    tags = spark.createDataFrame([(5, T0, None)], "id int, since timestamp_ntz, until timestamp_ntz")
+    src = {"up": O.Source(up, F.col("id"), "at"), "down": O.Source(down, F.col("id"), "at"), "plain": O.Source(plain, F.col("id"), "at"), "tags": O.Source(tags, F.col("id"), None)}
+    refs = [O.Reference("up", "tag", "tags", "id", "since", "until"), O.Reference("down", "name", "up", "name", "at", "gone"), O.Reference("plain", "name", "up", "name")]
+    found = {(r.src_table, r.row_key, r.kind) for r in O.find_orphans(src, refs).collect()}
+    # down 1 has a sound parent at its time, down 2 no more; plain 1 has one at all
+    assert found == {("up", "1", "direct"), ("up", "3", "direct"), ("up", "4", "direct"), ("down", "2", "inherited"), ("down", "3", "inherited"), ("down", "4", "direct"), ("plain", "2", "inherited")}
