@@ -21,7 +21,7 @@ NUMBER_KEYS = frozenset(
 )
 # Keys whose strings are texts, and names that a specification numbers freely.
 STRING_KEYS = frozenset(["/CharSet", "/Title", "/DA"])
-NUMBERED = r"\A/(?:(?:R|CS|Cs|cs|GS|Gs|gs|P|p|SH|Sh|sh|F|FM|Fm|fm|I|IM|Im|XO|Xo|TT|MC)\d+)|TT\d+_\d+\Z"
+NUMBERED = r"\A/(?:(?:R|CS|Cs|cs|GS|Gs|gs|P|p|SH|Sh|sh|F|FM|Fm|fm|I|IM|Im|XO|Xo|TT|MC)\d+|TT\d+_\d+)\Z"
 MOST_DEPTH, MOST_CHARS, MOST_ENTRIES = 30, 100, 1000
 
 _REF, _DATE = re.compile(r"\d+ \d+ R"), re.compile(r"D:\d{14,}")

@@ -221,7 +221,7 @@ def _dump(text: str | None) -> tuple:
         return False, None, {}, [], [], []
     suffix = f" key={m[1]}"
     sections: list[tuple[str, list[str]]] = []
-    for line in text[m.end() :].splitlines():
+    for line in re.split(r"\r\n|\r|\n", text[m.end() :]):
         if line.startswith("#") and line.rstrip().endswith(suffix):
             sections.append((line.rstrip()[: -len(suffix)].rstrip(), []))
             if sections[-1][0].startswith("# End of Document"):

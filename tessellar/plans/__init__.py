@@ -4,9 +4,9 @@ from __future__ import annotations
 
 
 def _modules():
-    from tessellar.plans import crawl_queries, io_queries, problem_queries, text_queries, tool_queries
+    from tessellar.plans import crawl_queries, io_queries, problem_queries, report_queries, text_queries, tool_queries
 
-    return [problem_queries, crawl_queries, tool_queries, text_queries, io_queries]
+    return [problem_queries, crawl_queries, tool_queries, report_queries, text_queries, io_queries]
 
 
 def all_queries() -> dict:

@@ -81,58 +81,3 @@ def pattern_counts(spark: SparkSession, d: str) -> DataFrame:
     t = F.col("text")
     rows = table(spark, d, "documents").where("text IS NOT NULL")
     return rows.groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.sum(F.regexp_count(t, F.lit("(?i)warning"))).alias("n_marks"), F.count(F.when(t.rlike(r"(?m)^> "), 1)).alias("n_quoted"))
-
-
-_CHECKER = json.dumps({"analysis-summary": {"can-be-optimized": True, "information": ["born-digital", "tagged"], "errors": ["bad xref"]}, "fonts-results": {"errors": {"missing-width": ["a"], "bad-cmap": []}}})
-
-
-@query("SELECT 'can-be-optimized born-digital tagged' AS pc_summary_info, ['bad xref'] AS pc_summary_errors, ['bad-cmap', 'missing-width'] AS pc_font_errors")
-def checker_report(spark: SparkSession, d: str) -> DataFrame:
-    """Features of a checker's JSON."""
-    return spark.createDataFrame([(_CHECKER,)], "text string").select(RP.checker_report(F.col("text")).alias("c")).select("c.*")
-
-
-_META = json.dumps([{"Content-Type": "application/pdf; version=1.7", "dc:title": "A title", "pdf:charsPerPage": ["10", "30"], "pdf:unmappedUnicodeCharsPerPage": ["1", "3"]}, {"embeddedResourceType": "INLINE"}, {"embeddedResourceType": "MACRO"}, {"embeddedResourceType": "ATTACHMENT"}])
-
-
-@query("SELECT 1 AS tk_num_attachments, 1 AS tk_num_macros, 0.1::double AS tk_percent_unmapped_unicode, 'application/pdf' AS tk_mime, 'application/pdf; version=1.7' AS tk_mime_detailed, 'A title' AS tk_title")
-def metadata_report(spark: SparkSession, d: str) -> DataFrame:
-    """Features of a metadata list."""
-    m = spark.createDataFrame([(_META,)], "text string").select(RP.metadata_report(F.col("text")).alias("m"))
-    return m.select(*(f"m.{c}" for c in ("tk_num_attachments", "tk_num_macros", "tk_percent_unmapped_unicode", "tk_mime", "tk_mime_detailed", "tk_title")))
-
-
-_DUMP = "# Random Key: 42\n# Document Loaded key=42\n# Number of Pages: 2 key=42\n## Info key=42\n{\n \"Creator\": \"Maker\"\n}\n# Page 1 key=42\nWarning: odd glyph\nWarning: odd glyph\nInfo: getTextContent: time=3\n## Text Content key=42\nfirst page\n# Page 9 in a text\n# Page 2 key=42\nInfo: fallback font\n## Text Content key=42\nsecond page\n# End of Document key=42\n"
-
-
-@query("SELECT true AS parseable, 2 AS n_pages, 'Maker' AS creator, ['first page' || chr(10) || '# Page 9 in a text' || chr(10), 'second page' || chr(10)] AS pages, ['odd glyph'] AS warnings, ['fallback font'] AS infos")
-def dump_report(spark: SparkSession, d: str) -> DataFrame:
-    """Sections of a keyed dump."""
-    r = spark.createDataFrame([(_DUMP,)], "text string").select(RP.dump_report(F.col("text")).alias("r"))
-    return r.select("r.parseable", "r.n_pages", F.try_element_at("r.info", F.lit("Creator")).alias("creator"), "r.pages", "r.warnings", "r.infos")
-
-
-_ICC = "Profile:          'x.icc'\n\nHeader\n------\nSize:             560\nFlags             Embedded\nVersion:          2.1\n\nProfile Tags\n------------\nTag  x\n\nValidation Report\n-----------------\nProfile violates ICC specification\n\nWarning! - odd name\nNonCompliant! - bad size \nWarning! - odd date\n"
-
-
-@query("SELECT true AS parseable, 'noncompliant' AS validity, '560' AS size, 'Embedded' AS flags, NULL::varchar AS errors, 'bad size' AS noncompliances, 'odd date||odd name' AS warnings")
-def profile_report(spark: SparkSession, d: str) -> DataFrame:
-    """Verdict and findings of a colour profile report."""
-    r = spark.createDataFrame([(_ICC,)], "text string").select(RP.profile_report(F.col("text")).alias("r"))
-    key = lambda k: F.try_element_at("r.header", F.lit(k))
-    return r.select("r.parseable", "r.validity", key("Size").alias("size"), key("Flags").alias("flags"), "r.errors", "r.noncompliances", "r.warnings")
-
-
-@query("SELECT * FROM (VALUES (0, 'application/pdf'), (1, 'application/zip'), (2, NULL), (3, 'application/vnd.iccprofile')) AS t(id, mime)")
-def magic_mimes(spark: SparkSession, d: str) -> DataFrame:
-    """Mimes by magic numbers."""
-    rows = spark.createDataFrame([(0, bytearray(b"%PDF-1.7 x")), (1, bytearray(b"PK\x03\x04zz")), (2, bytearray(b"plain")), (3, bytearray(b"\0" * 36 + b"acsp"))], "id int, content binary")
-    return rows.select("id", B.magic_mime(F.col("content")).alias("mime"))
-
-
-@query("SELECT * FROM (VALUES (0, 6, 'a%%EOF'), (1, 12, 'a%%EOFb%%EOF')) AS t(version, n, head)")
-def file_versions(spark: SparkSession, d: str) -> DataFrame:
-    """Earlier versions of an incrementally saved file."""
-    f = spark.createDataFrame([(bytearray(b"a%%EOFb%%EOFcc%%EOF"),)], "content binary").withColumn("f", B.byte_facts(F.col("content")))
-    v = B.versions(f, "content", F.col("f.eofs"))
-    return v.select(F.col("version").cast("int").alias("version"), F.length("version_content").alias("n"), F.col("version_content").cast("string").alias("head"))

@@ -83,13 +83,6 @@ def fill_absent_feature(spark: SparkSession, d: str) -> DataFrame:
     return ST.rename(ST.fill_absent(f.withColumn("exit", F.col("new")), {"exit": "old"}), {"path": "path", "exit": "tk_exit"}, rest=False)
 
 
-@query("SELECT * FROM (VALUES " + ", ".join(f"('{k}', {v})" for k, v in ST.PIPE_CODES.items()) + ", ('SOMETHING_ELSE', 14)) AS t(status, code)")
-def pipe_codes(spark: SparkSession, d: str) -> DataFrame:
-    """Pseudo exit codes of pipeline outcomes."""
-    rows = spark.createDataFrame([(k,) for k in [*ST.PIPE_CODES, "SOMETHING_ELSE"]], "status string")
-    return rows.select("status", ST.pipe_code(F.col("status")).alias("code"))
-
-
 @query(
     r"SELECT run_id, list_sort(list_distinct(list_filter(list_transform(string_split_regex(stderr, '\r\n|\r|\n'), lambda x: regexp_extract(x, '(\d+) 0 obj|object (\d+)', 2)), lambda x: x <> ''))) AS objects, "
     r"regexp_matches(stderr, '(?m)^Traceback') AS has_trace, len(regexp_extract_all(stderr, 'page \d+'))::int AS n_pages FROM (SELECT DISTINCT run_id, stderr FROM tool_runs WHERE stderr IS NOT NULL)"
@@ -102,58 +95,6 @@ def regex_capture(spark: SparkSession, d: str) -> DataFrame:
     return runs.select("run_id", p.alias("p"), F.regexp_count(text, F.lit(r"page \d+")).alias("n_pages")).select("run_id", F.array_sort("p.objects").alias("objects"), "p.has_trace", "n_pages")
 
 
-_INFO = ["Title:          a report\nCreator:        Typesetter 9\nProducer:       Maker 1.2\nCreationDate:   Mon Apr  1 22:12:30 2013 UTC\nModDate:        bad date\nTagged:         no\nEncrypted:      yes (print:yes copy:no)\nPages:          24 (including covers)\nPDF version:    1.4", "Pages: x\nOptimized:   yes\nJavaScript:  no\nCreator:   \n", ""]
-
-
-@query(
-    "SELECT * FROM (VALUES (0, 'Maker 1.2', 'Typesetter 9', 24, '1.4', false, true, NULL::boolean, NULL::boolean, '2013-04-01T22:12:30Z', ''), (1, NULL, NULL, NULL, NULL, NULL, NULL, true, false, '', ''), (2, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, '', '')) "
-    "AS t(id, producer, creator, pages, version, tagged, encrypted, optimized, javascript, created, modified)"
-)
-def key_value_report(spark: SparkSession, d: str) -> DataFrame:
-    """Typed fields of key/value reports."""
-    rows = spark.createDataFrame(list(enumerate(_INFO)), "id int, text string")
-    r = rows.select("id", RP.info_report(F.col("text")).alias("r")).select("id", "r.*")
-    return r.select("id", *(F.col(f"pinfo_{c}").alias(c) for c in ("producer", "creator", "pages", "version", "tagged", "encrypted", "optimized", "javascript")), iso_instant(F.col("pinfo_created")).alias("created"), iso_instant(F.col("pinfo_modified")).alias("modified"))
-
-
-@query("SELECT * FROM (VALUES ('Mon Apr  1 22:12:30 2013 UTC', TIMESTAMP '2013-04-01 22:12:30'), ('Tue Jul 9 01:02:03 2019 CEST', TIMESTAMP '2019-07-09 01:02:03'), ('soon', NULL)) AS t(printed, printed_at)")
-def report_dates(spark: SparkSession, d: str) -> DataFrame:
-    """Printed dates as timestamps; the printed zone is ignored."""
-    rows = spark.createDataFrame([("Mon Apr  1 22:12:30 2013 UTC",), ("Tue Jul 9 01:02:03 2019 CEST",), ("soon",)], "printed string")
-    return rows.select("printed", report_date(F.col("printed")).alias("printed_at"))
-
-
-_FONTS = "name                                 type              encoding         emb sub uni object ID\n------------------------------------ ----------------- ---------------- --- --- --- ---------\nABCDEF+Garamond                      Type 1C           WinAnsi          yes yes no      12  0\nHelvetica                            Type 1            Standard         no  no  no       7  0\nshort\n"
-
-
-@query("SELECT ['ABCDEF+Garamond', 'Helvetica'] AS names, ['Type 1', 'Type 1C'] AS types, ['Standard', 'WinAnsi'] AS encodings, 'no-yes' AS embedded, 'no' AS unicode")
-def font_table(spark: SparkSession, d: str) -> DataFrame:
-    """Columns of a font table by its ruler."""
-    return spark.createDataFrame([(_FONTS,)], "text string").select(RP.font_table(F.col("text")).alias("f")).select("f.*")
-
-
-_GRAMMAR = ["BEGIN x.pdf\nHeader is version PDF 1.7\nError: Can't select any link for x\nError: wrong value (at 12)\nWarning: odd\nTraditional trailer dictionary detected\nEND", "BEGIN y.pdf\nFailed to open document: y\nEND", "BEGIN z.pdf\nXRefStream detected.\nEND"]
-
-
-@query(
-    "SELECT * FROM (VALUES (0, 'warn', ['Can''t select any link', 'wrong value'], '1.7', 1, 2, 'trad'), (1, 'fail', NULL, NULL, 0, 0, 'undef'), (2, NULL, NULL, NULL, 0, 0, 'stream')) AS t(id, a_status, a_warn, header_version, warnings, errors, xref)"
-)
-def grammar_report(spark: SparkSession, d: str) -> DataFrame:
-    """Status, warnings and facts of grammar reports."""
-    rows = spark.createDataFrame(list(enumerate(_GRAMMAR)), "id int, text string")
-    s = RP.grammar_status(F.col("text"), F.lit(False), F.lit(0))
-    f = RP.grammar_facts(F.col("text"))
-    return rows.select("id", s["a_status"].alias("a_status"), s["a_warn"].alias("a_warn"), f["header_version"].alias("header_version"), f["warnings"].alias("warnings"), f["errors"].alias("errors"), f["xref"].alias("xref"))
-
-
-@query("WITH t AS (SELECT doc_id, text FROM documents WHERE text IS NOT NULL) SELECT doc_id, len(regexp_extract_all(text, 'obj'))::int AS n_marks, instr(text, '<<') - 1 AS header_at FROM t WHERE regexp_full_match(text, '[\\x00-\\x7f]*')")
-def byte_facts(spark: SparkSession, d: str) -> DataFrame:
-    """Marks and header offset in the bytes of texts that are plain ASCII."""
-    docs = table(spark, d, "documents").where("text IS NOT NULL").where(F.col("text").rlike(r"\A[\x00-\x7f]*\z"))
-    facts = docs.select("doc_id", B.byte_facts(F.col("text").cast("binary"), b"obj", b"<<").alias("f"))
-    return facts.select("doc_id", F.size("f.eofs").alias("n_marks"), F.col("f.header_offset").alias("header_at"))
-
-
 @query("WITH t AS (SELECT path, tool, stdout FROM tool_runs) SELECT count(*) AS n, count(*) FILTER (stdout IS NULL) AS n_null FROM t")
 def packed_round_trip(spark: SparkSession, d: str) -> DataFrame:
     """Every stdout gzipped, in base64 and back; rows that came back the same, and null ones."""
@@ -182,16 +123,6 @@ def json_keys(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "record_filters").select("filter_name", OG.json_keys(F.col("filter_json")).alias("keys"))
 
 
-_GRAPH = '{"version": 2, "qpdf": [{"jsonversion": 2}, {"obj:1 0 R": {"value": {"/Type": "/Catalog", "/Pages": "2 0 R", "/Lang": "u:en"}}, "obj:2 0 R": {"value": {"/Type": "/Pages", "/Count": 3, "/Kids": [{"/Rotate": 90}]}}, "obj:3 0 R": {"stream": {"dict": {"/Filter": ["/FlateDecode", "4 0 R"], "/Length": 12, "/CreationDate": "u:D:20110405222318"}}}, "obj:4 0 R": {"value": "/DCTDecode"}, "trailer": {"value": {"/Size": 5}}}]}'
-
-
-@query("SELECT 'ok' AS status, ['/Catalog->/Lang', '/Catalog->/Pages', '/Pages->/Count', '/Pages->/Kids'] AS type_keys, ['/FlateDecode->/DCTDecode'] AS filters, 2 AS max_filter_count, ['/Count->3', '/CreationDate->DATE', '/Lang->en', '/Length->12', '/Pages->REF', '/Rotate->90', '/Type->/Catalog', '/Type->/Pages'] AS keys_and_values, ['/Filter->ARRAY', '/Kids->/Rotate', '/Kids->ARRAY'] AS parent_and_keys")
-def json_graph(spark: SparkSession, d: str) -> DataFrame:
-    """Features of an object graph."""
-    g = spark.createDataFrame([(_GRAPH,)], "text string").select(OG.object_graph(F.col("text")).alias("g"))
-    return g.select("g.status", "g.type_keys", "g.filters", "g.max_filter_count", "g.keys_and_values", "g.parent_and_keys")
-
-
 @query("SELECT filter_name AS path, 0 AS exit_value, false AS timeout, length(filter_json)::bigint AS stdout_length FROM record_filters")
 def process_runner(spark: SparkSession, d: str) -> DataFrame:
     """An external program over small files."""
@@ -227,15 +158,3 @@ def feature_documents(spark: SparkSession, d: str) -> DataFrame:
     rows = ST.wide(anchor, table(spark, d, "tool_runs"), WIDE, ("stderr",)).withColumns({"fname": F.col("path"), "cpu_warn": F.col("cpu_stderr")})
     made = FE.tidy(FE.apply(rows, ["profile", "cpu", "status"]))
     return made.select("fname", "collection", "shasum_256", F.col("cpu_warn").isNotNull().alias("has_cpu_warn"), F.coalesce("tools_status_warn", F.lit("")).alias("tools_status_warn"))
-
-
-_EXIF = ["Title                           : A b\r\nAuthor                          : C\nProducer                        : D 1.0\n", "none"]
-
-
-@query("SELECT * FROM (VALUES (0, 'A b', 'C', 'D 1.0', NULL), (1, NULL, NULL, NULL, NULL)) AS t(id, title, author, producer, tagged)")
-def exif_report(spark: SparkSession, d: str) -> DataFrame:
-    """Fields of an EXIF report."""
-    from tessellar.operators import features as FE
-
-    e = spark.createDataFrame(list(enumerate(_EXIF)), "id int, text string").select("id", FE.exif_pack(F.col("text")).alias("e"))
-    return e.select("id", F.col("e.exif_title").alias("title"), F.col("e.`dc:creator`").alias("author"), "e.producer", "e.tagged")
