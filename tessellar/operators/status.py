@@ -6,7 +6,7 @@ import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -73,27 +73,45 @@ def pipe_code(status: Column) -> Column:
     return F.coalesce(F.try_element_at(F.create_map(*(F.lit(x) for k, v in PIPE_CODES.items() for x in (k, v))), status), F.lit(14))
 
 
-def latest_runs(runs: DataFrame) -> DataFrame:
-    """One row per tool and path: the run that started last, then of the highest run_id. Null paths are left out."""
-    w = Window.partitionBy("tool", "path").orderBy(F.desc_nulls_last("started_at"), F.desc_nulls_last("run_id"), "exit_value", "stderr", "stdout")
-    return runs.where("path IS NOT NULL").withColumn("__r", F.row_number().over(w)).where("__r = 1").drop("__r")
+#: Statuses by the number that is folded; 'missing' has none.
+STATUSES = ("timeout", "crash", "warn", "success", "encrypted")
+
+
+def latest_runs(runs: DataFrame, tools: Sequence[Tool] = (), keep: Sequence[str] = ()) -> DataFrame:
+    """(tool, path, status, keep...): of each tool and path the run that started last, then the one of the highest run_id.
+
+    What decides a status is read off stderr and stdout where they lie: only whether they show an encrypted file or a warning, and a
+    hash that breaks ties, is shuffled, and texts only if ``keep`` names them. Null paths are left out.
+    """
+    number = {s: k for k, s in enumerate(STATUSES)}
+    code = F.when(F.col("timeout"), number["timeout"]).when(F.col("exit_value") != 0, number["crash"]).when(F.length("stderr") > 5, number["warn"]).otherwise(number["success"])
+    for t in tools:
+        sign = F.col(t.stream).rlike(t.regex) if t.regex else F.col(t.stream).like(t.like) if t.like else None
+        if sign is not None:
+            code = F.when((F.col("tool") == t.table) & sign, number["encrypted"]).otherwise(code)
+    order = [F.col("started_at"), F.col("run_id"), F.xxhash64("exit_value", "timeout", "stderr", "stdout").alias("tie"), code.alias("status")]
+    last = runs.where("path IS NOT NULL").groupBy("tool", "path").agg(F.max(F.struct(*order, *(F.col(c).alias(f"k_{c}") for c in keep))).alias("r"))
+    return last.select("tool", "path", "r.status", *(F.col(f"r.k_{c}").alias(c) for c in keep))
+
+
+def named_status(code: Column) -> Column:
+    """A status by its number, 'missing' for null."""
+    return F.coalesce(F.get(F.array(*(F.lit(s) for s in STATUSES)), code), F.lit("missing"))
 
 
 def wide(anchor: DataFrame, runs: DataFrame, tools: Sequence[Tool], keep: Sequence[str] = ("exit_value", "timeout", "stderr")) -> DataFrame:
     """Every file of ``anchor`` (column path) with each tool's columns and status, as ``<prefix>_<column>`` and ``<prefix>_status``.
 
     Instead of one left join per tool, the long table is folded into one row per path by conditional aggregation and joined once.
+    ``other_tools`` names, in order, those that ran on the file and aren't in ``tools``, '' for none.
     """
-    one = latest_runs(runs.where(F.col("tool").isin(*(t.table for t in tools))))
+    one = latest_runs(runs, tools, keep)
     of = lambda t, c: F.max(F.when(F.col("tool") == t.table, F.col(c)))
-    need = list(dict.fromkeys([*keep, "timeout", "exit_value", "stderr", *(["stdout"] if any(t.stream == "stdout" for t in tools) else [])]))
-    folded = one.groupBy("path").agg(*(of(t, c).alias(f"{t.prefix}_{c}") for t in tools for c in need), *(of(t, "path").alias(f"{t.prefix}_path") for t in tools))
+    other = F.collect_set(F.when(~F.col("tool").isin(*(t.table for t in tools)), F.col("tool")))
+    folded = one.groupBy("path").agg(*(of(t, c).alias(f"{t.prefix}_{c}") for t in tools for c in (*keep, "status")), F.concat_ws(" ", F.array_sort(other)).alias("other_tools"))
     joined = anchor.join(folded, "path", "left")
-    status = [
-        run_status(t, *(F.col(f"{t.prefix}_{c}") for c in ("path", "timeout", "exit_value", "stderr")), F.col(f"{t.prefix}_stdout") if t.stream == "stdout" else F.lit(None)).alias(f"{t.prefix}_status")
-        for t in tools
-    ]
-    return joined.select(*anchor.columns, *(f"{t.prefix}_{c}" for t in tools for c in keep), *status)
+    status = [named_status(F.col(f"{t.prefix}_status")).alias(f"{t.prefix}_status") for t in tools]
+    return joined.select(*anchor.columns, *(f"{t.prefix}_{c}" for t in tools for c in keep), *status, F.coalesce("other_tools", F.lit("")).alias("other_tools"))
 
 
 _STATUS = re.compile(r"^([a-zA-Z]+)_status$")

@@ -29,8 +29,8 @@ def query(sql: str | None = None):
     return add
 
 
-#: Tools of the wide view, those that the run table has.
-WIDE = [t for t in ST.TOOLS if t.table in ("tika", "qpdf", "pdfinfo", "pdfminertext", "mutoolclean", "mutooltext", "pdfminerdump", "pdfcpu", "pdffonts", "arlington", "gstotext", "clamav", "pdfchecker", "polyfile")]
+#: Tools of the wide view; other_tools names those of the run table that are not known.
+WIDE = ST.TOOLS
 
 
 def _status_sql(t: ST.Tool) -> str:
@@ -49,7 +49,10 @@ def _wide(spark: SparkSession, d: str, keep=()) -> DataFrame:
     return ST.wide(anchor, table(spark, d, "tool_runs"), WIDE, keep)
 
 
-@query(_WIDE_SQL + " SELECT * FROM w")
+_OTHERS = f"o AS (SELECT path, string_agg(tool, ' ' ORDER BY tool) AS tools FROM (SELECT DISTINCT path, tool FROM tool_runs WHERE tool NOT IN ({', '.join(repr(t.table) for t in WIDE)})) GROUP BY 1)"
+
+
+@query(_WIDE_SQL + f", {_OTHERS} SELECT w.*, coalesce(o.tools, '') AS other_tools FROM w LEFT JOIN o ON o.path = w.path")
 def tool_status(spark: SparkSession, d: str) -> DataFrame:
     """Every profiled file with the status of each tool, in one fold instead of fourteen joins."""
     return _wide(spark, d)
@@ -71,9 +74,8 @@ def status_rollup(spark: SparkSession, d: str) -> DataFrame:
 @query(f"WITH {_LATEST} SELECT tool, CASE WHEN timeout THEN 'timeout' WHEN exit_value <> 0 THEN 'crash' WHEN length(stderr) > 5 THEN 'warn' ELSE 'success' END AS status, count(*) AS n, max(process_time_ms) AS slowest_ms FROM latest GROUP BY 1, 2")
 def status_counts(spark: SparkSession, d: str) -> DataFrame:
     """Runs per tool and status, the latest run of each file."""
-    one = ST.latest_runs(table(spark, d, "tool_runs"))
-    plain = ST.run_status(ST.Tool("any", "any"), *(F.col(c) for c in ("path", "timeout", "exit_value", "stderr", "stdout")))
-    return one.groupBy("tool", plain.alias("status")).agg(F.count(F.lit(1)).alias("n"), F.max("process_time_ms").alias("slowest_ms"))
+    one = ST.latest_runs(table(spark, d, "tool_runs"), keep=["process_time_ms"])
+    return one.groupBy("tool", ST.named_status(F.col("status")).alias("status")).agg(F.count(F.lit(1)).alias("n"), F.max("process_time_ms").alias("slowest_ms"))
 
 
 @query("WITH f AS (SELECT path, min(exit_value) AS old, max(exit_value) AS new FROM tool_runs WHERE tool = 'tika' AND path IS NOT NULL GROUP BY 1) SELECT path, CASE WHEN new IS NOT NULL THEN new ELSE old END AS tk_exit FROM f")

@@ -79,6 +79,9 @@ def test_status_cascade_and_roll_up(spark):
     tools = [t for t in ST.TOOLS if t.table in ("pdfinfo", "pdfid")]
     w = ST.wide(anchor, spark.createDataFrame(rows, RUNS), tools, keep=("exit_value",))
     got = {r.path: (r.pinfo_status, r.pid_status) for r in w.collect()}
+    assert {r.path: r.other_tools for r in ST.wide(anchor, spark.createDataFrame(rows, RUNS), [tools[0]]).collect()} == {p: "pdfid" if p == "a" else "" for p in "abcdef"} or tools[0].table == "pdfid"
+    plan = w._jdf.queryExecution().executedPlan().toString()
+    assert "stderr" not in "".join(x for x in plan.splitlines() if "Exchange" in x)
     assert got == {"a": ("encrypted", "encrypted"), "b": ("timeout", "missing"), "c": ("crash", "missing"), "d": ("warn", "missing"), "e": ("success", "missing"), "f": ("missing", "missing")}
     up = {r.path: (r.tools_status_fail, r.tools_status_warn, r.tools_status_timeout, r.tools_status) for r in ST.roll_up(w).collect()}
     assert up["b"] == ("pinfo", "", "pinfo", "pid_missing pinfo_timeout") and up["d"] == ("", "pinfo", "", "pid_missing pinfo_warn")
