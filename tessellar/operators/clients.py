@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import json
 import time
+import urllib.error
+import urllib.parse
+import urllib.request
 from collections.abc import Callable, Iterator, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -68,16 +73,33 @@ def same_answer(expected: Sequence[Mapping[str, Sequence[str]]], got: Sequence[M
     return None
 
 
-def load_test(files: DataFrame, send: Transport, repeats: int, ignore: Sequence[str] = ()) -> DataFrame:
-    """(path, repeats, differing, first_difference): each file asked for again and again, every answer compared with the first."""
+def put_json(address: str, seconds: float = 120, headers: Mapping[str, str] | None = None, opener: Callable | None = None) -> Transport:
+    """A transport that PUTs bytes to a service and reads JSON; the name goes along as a file name."""
+
+    def send(name: str, content: bytes) -> tuple[int, object]:
+        heads = {"Accept": "application/json", "Content-Disposition": f"attachment; filename*=UTF-8''{urllib.parse.quote(name)}", **(headers or {})}
+        request = urllib.request.Request(address, data=content, headers=heads, method="PUT")
+        try:
+            with (opener or urllib.request.urlopen)(request, timeout=seconds) as r:
+                return r.status, json.loads(r.read())
+        except urllib.error.HTTPError as e:
+            return e.code, None
+
+    return send
+
+
+def load_test(files: DataFrame, send: Transport, repeats: int, ignore: Sequence[str] = (), threads: int = 50) -> DataFrame:
+    """(path, repeats, differing, first_difference): each file asked for again and again, ``threads`` requests of a task at once, every answer compared with the first."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            rows = []
-            for path, content in zip(b["path"], b["content"]):
-                answers = [request(send, path, b"" if content is None else bytes(content))[1] for _ in range(repeats)]
-                found = [d for a in answers[1:] if (d := same_answer(answers[0] or [], a or [], ignore))]
-                rows.append((path, repeats, len(found), found[0] if found else None))
-            yield pd.DataFrame(rows, columns=["path", "repeats", "differing", "first_difference"])
+        with ThreadPoolExecutor(max(1, threads)) as pool:
+            for b in batches:
+                rows = []
+                for path, content in zip(b["path"], b["content"]):
+                    asked = [pool.submit(request, send, path, b"" if content is None else bytes(content)) for _ in range(repeats)]
+                    answers = [a.result()[1] for a in asked]
+                    found = [d for a in answers[1:] if (d := same_answer(answers[0] or [], a or [], ignore))]
+                    rows.append((path, repeats, len(found), found[0] if found else None))
+                yield pd.DataFrame(rows, columns=["path", "repeats", "differing", "first_difference"])
 
     return files.select("path", "content").mapInPandas(run, "path string, repeats int, differing int, first_difference string")

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import random
+import time
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,6 +19,8 @@ FETCH_STATES = (
 )
 #: A host is given up after more than so many failures.
 MOST_FAILURES = 10
+#: Seconds between two requests to one host.
+PAUSE = (0.1, 2.1)
 
 
 def state_table(spark: SparkSession) -> DataFrame:
@@ -36,32 +41,64 @@ def first_fetch(truncated: Column, length: Column, same_digest: Column, emit_err
     return F.when(F.trim(truncated) != "", "TRUNCATED").when(length == 0, "EMPTY_PAYLOAD").when(emit_error, "FETCHED_EXCEPTION_EMITTING").when(length.isNotNull(), kept)
 
 
+#: Kinds of failure that a fetcher reports, and the states that they lead to.
+BY_ERROR = {
+    "timeout": "REFETCHED_TIMEOUT", "io": "REFETCHED_IO_EXCEPTION", "read": "REFETCHED_IO_EXCEPTION_READING_ENTITY", "length": "REFETCHED_IO_EXCEPTION_FILE_LENGTH",
+    "digest": "REFETCHED_IO_EXCEPTION_DIGESTING", "closed": "REFETCHED_CONNECTION_SHUTDOWN", "emit": "REFETCHED_EXCEPTION_EMITTING",
+}
+
+
 def refetch(error: Column, http_status: Column, length: Column, expected: Column, emit_error: Column) -> Column:
-    """State of a fetch from the live web. ``error``: timeout, io, read, length, digest, closed, or null."""
-    by_error = {"timeout": "REFETCHED_TIMEOUT", "io": "REFETCHED_IO_EXCEPTION", "read": "REFETCHED_IO_EXCEPTION_READING_ENTITY", "length": "REFETCHED_IO_EXCEPTION_FILE_LENGTH", "digest": "REFETCHED_IO_EXCEPTION_DIGESTING", "closed": "REFETCHED_CONNECTION_SHUTDOWN"}
+    """State of a fetch from the live web. ``error``: a key of BY_ERROR, or null."""
     out = F.when(http_status.isNull(), "REFETCHED_BAD_STATUS").when(http_status != 200, "REFETCHED_NOT_200").when(expected.isNotNull() & (expected >= 0) & (length < expected), "REFETCHED_TRUNCATED").when(emit_error, "REFETCHED_EXCEPTION_EMITTING").otherwise("REFETCHED_SUCCESS")
-    for e, state in by_error.items():
+    for e, state in BY_ERROR.items():
         out = F.when(error == e, state).otherwise(out)
     return out
 
 
-def refetch_hosts(targets: DataFrame, fetch: Callable[[str], tuple[str | None, int | None]], most_failures: int = MOST_FAILURES) -> DataFrame:
-    """(host, id, status, http_status) of targets (host, id, url), one task at a time per host, so that no host is asked twice at once.
+@dataclass(frozen=True)
+class Fetched:
+    """What a fetcher reports of one URL: a kind of failure or the answer's status, bytes received, and bytes announced (-1 or null: unknown)."""
+
+    error: str | None = None
+    http_status: int | None = None
+    length: int | None = None
+    expected: int | None = None
+
+
+def refetch_hosts(targets: DataFrame, fetch: Callable[[str], Fetched], most_failures: int = MOST_FAILURES, pause: tuple[float, float] = PAUSE, sleep: Callable[[float], None] = time.sleep) -> DataFrame:
+    """(host, id, status, http_status) of targets (host, id, url): the requests of a host follow one another in one task, in order of id.
 
-    After more than ``most_failures`` failures the rest of a host is REFETCH_UNHAPPY_HOST. Hosts are few rows each: what a crawl
-    still has to fetch of one host is bounded by its politeness, not by the corpus; feed it in rounds.
+    Between two requests to a host the task waits at random within ``pause`` seconds. After more than ``most_failures`` failures the
+    rest of a host is REFETCH_UNHAPPY_HOST without a request. Rows stream through the task, so that a host of any size needs no more
+    memory than a batch. A fetcher that raises counts as 'io', and as 'timeout' for TimeoutError.
     """
 
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        rows, failures = [], 0
-        for r in group.sort_values("id").itertuples():
-            if failures > most_failures:
-                rows.append((r.host, r.id, "REFETCH_UNHAPPY_HOST", None))
-                continue
-            error, status = fetch(r.url)
-            state = "REFETCHED_TIMEOUT" if error == "timeout" else "REFETCHED_IO_EXCEPTION" if error else "REFETCHED_SUCCESS" if status == 200 else "REFETCHED_NOT_200"
-            failures += state != "REFETCHED_SUCCESS"
-            rows.append((r.host, r.id, state, status))
-        return pd.DataFrame(rows, columns=["host", "id", "status", "http_status"])
-
-    return targets.select("host", "id", "url").groupBy("host").applyInPandas(run, "host string, id bigint, status string, http_status int")
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        host, failures, asked, first = None, 0, False, True
+        for b in batches:
+            rows = []
+            for r in b.itertuples():
+                if first or r.host != host:
+                    host, failures, asked, first = r.host, 0, False, False
+                if failures > most_failures:
+                    rows.append((r.host, r.id, None, None, None, None, True))
+                    continue
+                if asked and pause[1] > 0:
+                    sleep(random.uniform(*pause))
+                asked = True
+                try:
+                    got = fetch(r.url)
+                except TimeoutError:
+                    got = Fetched("timeout")
+                except OSError:
+                    got = Fetched("io")
+                failures += got.error is not None or got.http_status != 200
+                rows.append((r.host, r.id, got.error, got.http_status, got.length, got.expected, False))
+            out = pd.DataFrame(rows, columns=["host", "id", "error", "http_status", "length", "expected", "unhappy"])
+            yield out.astype({"http_status": "Int32", "length": "Int64", "expected": "Int64"})
+
+    laid = targets.select("host", "id", "url").repartition("host").sortWithinPartitions("host", "id")
+    got = laid.mapInPandas(run, "host string, id bigint, error string, http_status int, length bigint, expected bigint, unhappy boolean")
+    state = F.when(F.col("unhappy"), "REFETCH_UNHAPPY_HOST").otherwise(refetch(F.col("error"), F.col("http_status"), F.col("length"), F.col("expected"), F.lit(False)))
+    return got.select("host", "id", state.alias("status"), "http_status")

@@ -125,6 +125,11 @@ def shuffled_pick(rows: DataFrame, n: int, key: str, seed: int = 0) -> DataFrame
     return rows.orderBy(F.xxhash64(F.lit(seed), F.col(key)), F.col(key)).limit(n)
 
 
+def page_of_each(rows: DataFrame, key: str, pages: str, seed: int = 0) -> DataFrame:
+    """``rows`` with one page of each, from 1 to ``pages``, at random but the same for the same seed and key; null without pages."""
+    return rows.withColumn("page", F.when(F.col(pages) > 0, (F.pmod(F.xxhash64(F.lit(seed + 1), F.col(key)), F.col(pages)) + 1).cast("int")))
+
+
 def interleaved(hosts_df: DataFrame, id_col: str, name: str, strides: int = 7) -> DataFrame:
     """Hosts in an order that spreads neighbours: by id modulo ``strides``, then name."""
     return hosts_df.orderBy(F.pmod(F.col(id_col), F.lit(strides)), F.col(name).asc_nulls_last(), F.col(id_col))
@@ -141,12 +146,17 @@ def grouped(rows: DataFrame, key: str, items: Sequence[str], block: int = 10_000
     return sized.groupBy(key, at.alias("block")).agg(F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_list(F.struct(*items))).alias("items"))
 
 
-def pair_counts(rows: DataFrame, a: str, b: str) -> DataFrame:
-    """(kind, key, n): counts of a, of b and of the pair ``b->a``, in one pass; null is 'NULL' alone and 'null' in a pair."""
+def pair_counts(rows: DataFrame, a: str, b: str, n: str | None = None) -> DataFrame:
+    """(kind, key, n): counts of a, of b and of the pair ``b->a``, in one pass; null is 'NULL' alone and 'null' in a pair.
+
+    ``n``: a column with how many rows each row stands for, as after an aggregation by ids.
+    """
     alone = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("NULL"))
     inside = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("null"))
-    each = F.explode(F.array(F.struct(F.lit(a).alias("kind"), alone(a).alias("key")), F.struct(F.lit(b).alias("kind"), alone(b).alias("key")), F.struct(F.lit("pair").alias("kind"), F.concat(inside(b), F.lit("->"), inside(a)).alias("key"))))
-    return rows.select(each.alias("e")).groupBy("e.kind", "e.key").agg(F.count(F.lit(1)).alias("n"))
+    kinds = {a: alone(a), b: alone(b), "pair": F.concat(inside(b), F.lit("->"), inside(a))}
+    each = F.explode(F.array(*(F.struct(F.lit(k).alias("kind"), v.alias("key")) for k, v in kinds.items())))
+    weight = F.col(n) if n else F.lit(1)
+    return rows.select(each.alias("e"), weight.cast("bigint").alias("n")).groupBy("e.kind", "e.key").agg(F.sum("n").alias("n"))
 
 
 def ip_number(ip: Column) -> Column:

@@ -5,13 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessellar.common import table
+from tessellar.common import scratch, table
 from tessellar.functions import strings as S
 from tessellar.functions import urls as U
+from tessellar.functions.dates import content_length
+from tessellar.functions.strings import normalize_mime
 from tessellar.operators import fetch_state as FS
 from tessellar.operators import relational as R
+from tessellar.operators.features import of_mime
 from tessellar.operators.record_filter import RecordFilter, Rule, load_filter
-from tessellar.sinks import export_cells
+from tessellar.sinks import export_cells, reload_states
 from tessellar.sources.files import byte_range, fill_template, shard_names
 
 QUERIES: dict = {}
@@ -61,14 +64,7 @@ def mime_counts(spark: SparkSession, d: str) -> DataFrame:
     """Captures per mime, per detected mime and per pair: counted by id first, names joined to the counts."""
     ids = table(spark, d, "cc_urls").groupBy("mime", "detected_mime").agg(F.count(F.lit(1)).alias("n"))
     named = R.star(ids, {"mime": (table(spark, d, "cc_mimes"), "id", "name"), "detected_mime": (table(spark, d, "cc_detected_mimes"), "id", "name")})
-    plain = named.select(F.col("mime_name").alias("mime"), F.col("detected_mime_name").alias("detected_mime"), "n")
-    counted = plain.select("n", F.explode(F.array(*(F.struct(F.lit(k).alias("kind"), v.alias("key")) for k, v in _pair_keys().items()))).alias("e"))
-    return counted.groupBy("e.kind", "e.key").agg(F.sum("n").alias("n"))
-
-
-def _pair_keys() -> dict:
-    null = lambda c, s: F.coalesce(F.col(c), F.lit(s))
-    return {"mime": null("mime", "NULL"), "detected_mime": null("detected_mime", "NULL"), "pair": F.concat(null("detected_mime", "null"), F.lit("->"), null("mime", "null"))}
+    return R.pair_counts(named.select(F.col("mime_name").alias("mime"), F.col("detected_mime_name").alias("detected_mime"), "n"), "mime", "detected_mime", "n")
 
 
 @query(
@@ -299,16 +295,46 @@ def first_fetch_states(spark: SparkSession, d: str) -> DataFrame:
     return rows.groupBy(FS.first_fetch(F.col("truncated"), F.col("warc_length"), F.col("same"), F.lit(False)).alias("state")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("SELECT id, status FROM (VALUES " + ", ".join(f"({i}, '{s}')" for i, s in enumerate(FS.FETCH_STATES)) + ") AS t(id, status)")
+_STATES = "states(state_id, name) AS (VALUES " + ", ".join(f"({i}, '{s}')" for i, s in enumerate(FS.FETCH_STATES)) + ")"
+
+
+@query(f"WITH {_STATES} SELECT f.id, f.status, s.state_id FROM cc_fetch_status f LEFT JOIN states s ON s.name = f.status")
 def fetch_states(spark: SparkSession, d: str) -> DataFrame:
-    """The table of fetch states."""
-    return FS.state_table(spark)
+    """The statuses in use with the numbers that the table of states has for them."""
+    return table(spark, d, "cc_fetch_status").select("id", "status", FS.state_id(F.col("status")).alias("state_id"))
+
+
+@query(f"WITH {_STATES} SELECT s.name AS state, count(f.id) AS n FROM states s LEFT JOIN cc_fetch f ON f.status_id = s.state_id GROUP BY 1")
+def fetches_by_state(spark: SparkSession, d: str) -> DataFrame:
+    """Fetches by a table of states that is dropped and loaded again."""
+    path = scratch(spark, "states")
+    for _ in range(2):
+        reload_states(spark, path)
+    n = table(spark, d, "cc_fetch").groupBy(F.col("status_id").alias("id")).agg(F.count("id").alias("n"))
+    return spark.read.parquet(path).join(n, "id", "left").select(F.col("status").alias("state"), F.coalesce("n", F.lit(0)).alias("n"))
+
 
+@query(
+    f"WITH {_STATES}, u AS (SELECT id, min(status) AS status FROM cc_urls GROUP BY 1), r AS (SELECT f.*, u.status AS http_status FROM cc_fetch f LEFT JOIN u ON u.id = f.id), "
+    "t AS (SELECT *, CASE WHEN removed_at < fetched_at THEN 'REFETCHED_TIMEOUT' WHEN http_status IS NULL THEN 'REFETCHED_BAD_STATUS' WHEN http_status <> 200 THEN 'REFETCHED_NOT_200' WHEN http_length >= 0 AND fetched_length < http_length THEN 'REFETCHED_TRUNCATED' "
+    "WHEN path IS NULL THEN 'REFETCHED_EXCEPTION_EMITTING' ELSE 'REFETCHED_SUCCESS' END AS state FROM r) SELECT t.state, s.state_id, count(*) AS n, count(DISTINCT t.id) AS n_urls FROM t JOIN states s ON s.name = t.state GROUP BY 1, 2"
+)
+def refetch_states(spark: SparkSession, d: str) -> DataFrame:
+    """Every fetch with what became of it: answers by status, lengths that fall short, files that were not kept."""
+    answers = table(spark, d, "cc_urls").where("id IS NOT NULL").groupBy("id").agg(F.min("status").alias("http_status"))
+    f = table(spark, d, "cc_fetch").join(answers, "id", "left")
+    state = FS.refetch(error=F.when(F.col("removed_at") < F.col("fetched_at"), "timeout"), http_status=F.col("http_status"), length=F.col("fetched_length"), expected=F.col("http_length"), emit_error=F.col("path").isNull())
+    return f.groupBy(state.alias("state")).agg(F.count(F.lit(1)).alias("n"), F.count_distinct("id").alias("n_urls")).withColumn("state_id", FS.state_id(F.col("state")))
 
-@query("SELECT i::int AS shard, 'cc-index/collections/QR-MAIN-2025-08/indexes/cdx-' || lpad(i::varchar, 5, '0') || '.gz' AS path FROM range(300) t(i)")
+
+@query(
+    "WITH c AS (SELECT DISTINCT regexp_extract(warc_file_name, '^crawl-data/([^/]+)/', 1) AS crawl FROM cc_urls WHERE warc_file_name LIKE 'crawl-data/%/%') "
+    "SELECT crawl, i::int AS shard, 'cc-index/collections/' || crawl || '/indexes/cdx-' || lpad(i::varchar, 5, '0') || '.gz' AS path FROM c, range(300) t(i)"
+)
 def index_shards(spark: SparkSession, d: str) -> DataFrame:
-    """Names of a crawl's index files."""
-    return shard_names(spark, "QR-MAIN-2025-08")
+    """Names of the index files of every crawl that captures come from."""
+    crawls = table(spark, d, "cc_urls").where("warc_file_name LIKE 'crawl-data/%/%'").select(F.regexp_extract("warc_file_name", "^crawl-data/([^/]+)/", 1).alias("crawl")).distinct()
+    return shard_names(crawls)
 
 
 @query("SELECT collection, count(*) AS n, sum(size)::bigint AS bytes FROM profiles WHERE collection = split_part(path, '/', 1) GROUP BY 1")
@@ -333,18 +359,70 @@ def largest_hosts(spark: SparkSession, d: str) -> DataFrame:
     return R.page(table(spark, d, "cc_urls").where("host IS NOT NULL").groupBy("host").agg(F.count(F.lit(1)).alias("n")).withColumn("neg", -F.col("n")), ["neg", "host"], 20).drop("neg")
 
 
-_BLOCKS = [("192.0.2.0", "192.0.2.99", "AA"), ("192.0.2.100", "192.0.2.255", "BB"), ("198.51.0.0", "198.52.255.255", "CC")]
-_NUMBER = "(split_part({0}, '.', 1)::bigint * 16777216 + split_part({0}, '.', 2)::bigint * 65536 + split_part({0}, '.', 3)::bigint * 256 + split_part({0}, '.', 4)::bigint)"
+_IP = r"'^(\d{1,3}\.\d{1,3}\.\d{1,3})\.(\d{1,3})$'"
+_OCTETS_FIT = " AND ".join(f"split_part(trim(ip_address), '.', {k})::int <= 255" for k in range(1, 5))
+_PLACE = f"CASE WHEN regexp_matches(trim(ip_address), {_IP}) AND {_OCTETS_FIT} THEN regexp_extract(trim(ip_address), {_IP}, 1) || CASE WHEN regexp_extract(trim(ip_address), {_IP}, 2)::int < 100 THEN ' low' ELSE ' high' END END"
 
 
-@query(
-    "WITH b(first_ip, last_ip, place) AS (VALUES " + ", ".join(map(str, _BLOCKS)) + f"), h AS (SELECT id, CASE WHEN regexp_full_match(trim(ip_address), '\\d{{1,3}}(\\.\\d{{1,3}}){{3}}') THEN {_NUMBER.format('trim(ip_address)')} END AS n FROM cc_hosts) "
-    f"SELECT id, place FROM h LEFT JOIN b ON n BETWEEN {_NUMBER.format('first_ip')} AND {_NUMBER.format('last_ip')}"
-)
+def _address_blocks(spark: SparkSession, d: str) -> DataFrame:
+    """Two blocks for each net that a host is in."""
+    net = F.regexp_extract(F.trim("ip_address"), r"^(\d{1,3}\.\d{1,3}\.\d{1,3})\.\d{1,3}$", 1)
+    nets = table(spark, d, "cc_hosts").select(net.alias("net")).where("net <> ''").distinct()
+    ends = F.explode(F.array(*(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.lit(n).alias("n")) for a, b, n in ((".0", ".99", " low"), (".100", ".255", " high")))))
+    return nets.select("net", ends.alias("e")).select(F.concat("net", "e.a").alias("first_ip"), F.concat("net", "e.b").alias("last_ip"), F.concat("net", "e.n").alias("place"))
+
+
+@query(f"SELECT id, {_PLACE} AS place FROM cc_hosts")
 def hosts_by_address_block(spark: SparkSession, d: str) -> DataFrame:
     """The address block of every host: a range join by buckets."""
-    blocks = spark.createDataFrame(_BLOCKS, "first_ip string, last_ip string, place string")
-    return R.locate(table(spark, d, "cc_hosts").select("id", "ip_address"), "ip_address", blocks, ["place"]).select("id", "place")
+    return R.locate(table(spark, d, "cc_hosts").select("id", "ip_address"), "ip_address", _address_blocks(spark, d), ["place"]).select("id", "place")
+
+
+@query(f"SELECT id, host, coalesce({_PLACE}, country) AS country FROM cc_hosts")
+def hosts_relocated(spark: SparkSession, d: str) -> DataFrame:
+    """Hosts with the country column updated from where their addresses lie."""
+    hosts = table(spark, d, "cc_hosts")
+    patch = hosts_by_address_block(spark, d).select("id", F.col("place").alias("country"))
+    return R.update_from(hosts, patch, "id", ["country"]).select("id", "host", "country")
+
+
+@query(f"WITH t AS (SELECT {_HOST} AS h FROM cc_urls WHERE url IS NOT NULL) SELECT CASE WHEN regexp_full_match(regexp_extract(h, '\\.([^.]+)$', 1), '\\d+') THEN '' ELSE regexp_extract(h, '\\.([^.]+)$', 1) END AS tld, count(*) AS n FROM t GROUP BY 1")
+def tlds_as_written(spark: SparkSession, d: str) -> DataFrame:
+    """Captures per top-level domain in the letter case in which it stands."""
+    host = F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#: ]*)", 1)
+    return table(spark, d, "cc_urls").where("url IS NOT NULL").groupBy(U.host_tld(host, lower=False).alias("tld")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT id, CASE WHEN http_length >= 0 THEN http_length END AS announced, CASE WHEN fetched_length >= 0 THEN fetched_length END AS fetched FROM cc_fetch")
+def content_lengths(spark: SparkSession, d: str) -> DataFrame:
+    """Lengths as headers have them; -1 and what is no number are null."""
+    text = lambda c: F.concat(F.coalesce(F.col(c).cast("string"), F.lit("none")), F.lit(""))
+    return table(spark, d, "cc_fetch").select("id", content_length(text("http_length")).alias("announced"), content_length(text("fetched_length")).alias("fetched"))
+
+
+@query(f"SELECT u.id, m.name AS mime FROM cc_urls u JOIN cc_mimes m ON m.id = u.mime WHERE contains({_NORMAL.format('m.name')}, 'pdf')")
+def captures_of_mime(spark: SparkSession, d: str) -> DataFrame:
+    """Captures whose mime contains a word."""
+    named = R.star(table(spark, d, "cc_urls").select("id", "mime"), {"mime": (table(spark, d, "cc_mimes"), "id", "name")})
+    return of_mime(named, normalize_mime(F.col("mime_name")), "pdf").select("id", F.col("mime_name").alias("mime"))
+
+
+@query("SELECT 20 AS n, true AS inside, true AS again")
+def picked_pages(spark: SparkSession, d: str) -> DataFrame:
+    """Twenty files at random and of each a page at random: how many, whether each page is one of its file, and whether the pick is the same from another layout."""
+    files = table(spark, d, "documents").where("pages > 0").select("doc_id", "pages")
+    once, again = (R.page_of_each(R.shuffled_pick(x, 20, "doc_id", 7), "doc_id", "pages", 7) for x in (files, files.repartition(5)))
+    both = once.join(again.select("doc_id", F.col("page").alias("other")), "doc_id", "left")
+    return both.agg(F.count(F.lit(1)).cast("int").alias("n"), F.every(F.col("page").between(1, F.col("pages"))).alias("inside"), F.every(F.col("page").eqNullSafe(F.col("other"))).alias("again"))
+
+
+@query("SELECT count(*) AS rows, count(DISTINCT id) AS ids FROM cc_fetch")
+def rows_seen(spark: SparkSession, d: str) -> DataFrame:
+    """Rows counted while they are written, beside the ids that were written."""
+    rows, seen = R.observed(table(spark, d, "cc_fetch"), "rows_seen")
+    path = scratch(spark, "fetches")
+    rows.write.parquet(path)
+    return spark.read.parquet(path).agg(F.lit(seen.get["rows"]).cast("bigint").alias("rows"), F.count_distinct("id").alias("ids"))
 
 
 @query("SELECT upper(regexp_replace(trim(digest), '^[A-Za-z0-9-]+:', '')) AS digest, count(*) AS n FROM cc_urls WHERE digest IS NOT NULL GROUP BY 1")

@@ -125,11 +125,13 @@ def json_keys(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "record_filters").select("filter_name", OG.json_keys(F.col("filter_json")).alias("keys"))
 
 
-@query("SELECT filter_name AS path, 0 AS exit_value, false AS timeout, length(filter_json)::bigint AS stdout_length FROM record_filters")
+@query("SELECT doc_id::varchar AS path, 0 AS exit_value, false AS timeout, (length(text) - length(replace(text, chr(10), '')))::int AS n_newlines, length(text) > 1000 AS cut FROM documents WHERE text IS NOT NULL AND instr(text, chr(13)) = 0")
 def process_runner(spark: SparkSession, d: str) -> DataFrame:
-    """An external program over small files."""
-    files = table(spark, d, "record_filters").select(F.col("filter_name").alias("path"), F.col("filter_json").cast("binary").alias("content"))
-    return P.run_command(files, P.Command("cat", "cat {input}")).select("path", "exit_value", "timeout", "stdout_length")
+    """An external program over every text, what it prints bounded to a thousand characters."""
+    docs = table(spark, d, "documents").where("text IS NOT NULL AND instr(text, '\\r') = 0")
+    runs = P.run_command(docs.select(F.col("doc_id").cast("string").alias("path"), F.col("text").cast("binary").alias("content")), P.Command("cat", "cat {input}", stdout_most=1000))
+    sizes = docs.select(F.col("doc_id").cast("string").alias("path"), F.length("text").alias("n"))
+    return runs.join(sizes, "path").select("path", "exit_value", "timeout", (F.col("n") - F.col("stdout_length")).cast("int").alias("n_newlines"), F.col("stdout_truncated").alias("cut"))
 
 
 @query("SELECT DISTINCT path FROM profiles WHERE path IS NOT NULL AND path NOT IN (SELECT path FROM tool_runs WHERE tool = 'qpdf' AND path IS NOT NULL)")

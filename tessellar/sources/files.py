@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessellar.files import opened
+
 # Fields of a crawl index record; keys have dashes where these have underscores.
 INDEX_FIELDS = ("url", "mime", "mime_detected", "status", "digest", "length", "offset", "filename", "charset", "languages", "truncated", "redirect")
 _INDEX_SCHEMA = T.StructType([T.StructField(f.replace("_", "-"), T.StringType()) for f in INDEX_FIELDS])
@@ -22,6 +24,40 @@ def index_lines(spark: SparkSession, paths: str | list[str], most: int | None =
     return df if most is None else df.limit(most)
 
 
+def http_index_lines(urls: DataFrame, get: Callable[[str], bytes] | None = None) -> DataFrame:
+    """(value, file): non-blank lines of gzipped index files behind HTTP (column url), one task per file or several files per task."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for url in b["url"]:
+                text = gzip.decompress((get or http_get)(url)).decode("utf-8", "replace")
+                lines = [x for x in text.split("\n") if x.strip()]
+                for k in range(0, len(lines), 10_000):
+                    part = lines[k : k + 10_000]
+                    yield pd.DataFrame({"value": part, "file": [url] * len(part)})
+
+    return urls.select("url").where("url IS NOT NULL").repartition("url").mapInPandas(run, "value string, file string")
+
+
+def scrolled(slices: DataFrame, fetch: Callable[[int, str | None], tuple[list[str], str | None]]) -> DataFrame:
+    """(slice, document): the JSON documents of a search index, exported slice by slice (column slice), each scrolled page by page in its task.
+
+    ``fetch`` gives the documents of a page and the cursor of the next, null after the last; no page is gathered with another.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for k in b["slice"]:
+                cursor, more = None, True
+                while more:
+                    found, cursor = fetch(int(k), cursor)
+                    more = cursor is not None
+                    if found:
+                        yield pd.DataFrame({"slice": [k] * len(found), "document": found})
+
+    return slices.select("slice").repartition("slice").mapInPandas(run, "slice int, document string")
+
+
 def parse_index(lines: DataFrame) -> DataFrame:
     """Records of index lines: surt and timestamp (null for bare JSON lines), all fields as text, and numbers as *_n; ``ok`` tells which lines parsed.
 
@@ -51,10 +87,11 @@ def manifest(spark: SparkSession, paths: str | list[str], prefix: str = "") -> l
     return [prefix + r["v"] for r in got.collect()]
 
 
-def shard_names(spark: SparkSession, crawl: str, n: int = 300) -> DataFrame:
-    """(shard, path) of a crawl's numbered index files."""
-    name = F.concat(F.lit("cdx-"), F.lpad(F.col("id").cast("string"), 5, "0"), F.lit(".gz"))
-    return spark.range(n).select(F.col("id").cast("int").alias("shard"), F.concat(F.lit(f"cc-index/collections/{crawl}/indexes/"), name).alias("path"))
+def shard_names(crawls: DataFrame, n: int = 300) -> DataFrame:
+    """(crawl, shard, path) of the numbered index files of each crawl (column crawl)."""
+    name = F.concat(F.lit("cdx-"), F.lpad(F.col("shard").cast("string"), 5, "0"), F.lit(".gz"))
+    each = crawls.select("crawl", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("shard"))
+    return each.select("crawl", "shard", F.concat(F.lit("cc-index/collections/"), "crawl", F.lit("/indexes/"), name).alias("path"))
 
 
 def check_shards(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -88,14 +125,38 @@ def grep(spark: SparkSession, paths: str | list[str], pattern: str) -> DataFrame
     return index_lines(spark, paths).where(F.col("value").rlike(pattern)).select("file", "value")
 
 
+class HttpRanges:
+    """A file behind HTTP, to seek and read in: each read is a request for a range, tried again after a 503."""
+
+    def __init__(self, url: str, get: Callable | None = None, sleep: Callable[[float], None] | None = None) -> None:
+        self.url, self.at, self.get, self.sleep = url, 0, get, sleep
+
+    def seek(self, at: int) -> None:
+        self.at = at
+
+    def read(self, n: int) -> bytes:
+        out = http_get(self.url, self.at, self.at + n - 1, sleep=self.sleep, get=self.get)
+        self.at += len(out)
+        return out
+
+    def close(self) -> None:
+        pass
+
+
+def archive(name: str) -> object:
+    """A file of archived records by its name."""
+    return HttpRanges(name) if name.startswith(("http:", "https:")) else opened(name)
+
+
 _RANGES = "id bigint, ok boolean, http_status int, headers string, payload binary, error string"
 
 
 def warc_payloads(rows: DataFrame, opener: Callable[[str], object] | None = None) -> DataFrame:
     """First record of each byte range [offset, offset + length - 1] of archive files; rows have id, file, offset and length.
 
-    Sorted by file and offset before, so that a task reads forward. ``opener`` opens a file by name (default: local files); a bad
-    range gives a row with ``error``.
+    Sorted by file and offset before, so that a task reads forward. Names are paths or addresses of a file system, or begin with
+    http: and https:, of which the ranges are asked for one by one. ``opener`` opens a file by name instead; a bad range gives a
+    row with ``error``.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -108,7 +169,7 @@ def warc_payloads(rows: DataFrame, opener: Callable[[str], object] | None = None
                         if f is not None:
                             f.close()
                         name, f = None, None
-                        f = (opener or (lambda p: open(p, "rb")))(r.file)
+                        f = (opener or archive)(r.file)
                         name = r.file
                     f.seek(int(r.offset))
                     raw = gzip.decompress(f.read(int(r.length)))
@@ -177,7 +238,11 @@ def base_names(files: DataFrame) -> DataFrame:
 
 
 def jdbc(spark: SparkSession, url: str, query: str, key: str, low: int, high: int, partitions: int, options: Mapping[str, str] | None = None) -> DataFrame:
-    """A database query in parallel ranges of ``key``, in place of paging by offset."""
+    """A database query in parallel ranges of ``key``, in place of paging by offset.
+
+    Rows come in no order and none is skipped or read twice; a range whose connection is lost is read again as a whole by Spark's
+    retry of its task, with a new connection.
+    """
     reader = spark.read.format("jdbc").options(url=url, dbtable=f"({query}) q", partitionColumn=key, lowerBound=low, upperBound=high, numPartitions=partitions, fetchsize=10_000)
     return reader.options(**(options or {})).load()
 
