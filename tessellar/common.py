@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: A join side is broadcast only after a count shows at most this many rows and this many bytes.
-BROADCAST_ROWS, BROADCAST_BYTES = 100_000, 16 << 20
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 32 << 20
 #: Beyond, a key with more than 1 / PARTS of the larger side's rows is split into parts of at most that size.
 PARTS = 2000
 
@@ -71,7 +71,7 @@ def cut(df: DataFrame) -> DataFrame:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as a table below the shared folder and read again: a cut whose columns can be pruned and filtered at the scan."""
     path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -120,7 +120,7 @@ def join_sized(
     ``big`` should be written by the caller, as its keys are counted.
     """
     on = list(on)
-    small = cut(small) if keep else small
+    small = stored(small, "side") if keep else small
     if is_small(small, max_rows):
         return big.join(F.broadcast(small), on, how)
     keys = big.select(*on).where(" AND ".join(f"`{c}` IS NOT NULL" for c in on))

@@ -13,19 +13,22 @@ from __future__ import annotations
 
 import json
 import re
+import struct
 from collections.abc import Iterator
 from datetime import datetime, timedelta, timezone
 from functools import lru_cache
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessellar.common import BROADCAST_ROWS, cut, join_sized, stored
+from tessellar.common import BROADCAST_ROWS, cut, is_small, join_sized, stored
 
 #: A task remembers so many runs to skip their copies; the rest is left to the windows.
 _SEEN_RUNS = 200_000
+_BATCH_LINES = 20_000
 #: Between the tokens of a sequence; a token that follows white space starts with a blank.
 SEP = "\x1f"
 
@@ -165,7 +168,7 @@ def told(lines: list[str]) -> str | None:
 def line_rows(text: str, started: datetime | None, texts: bool = False) -> Iterator[list]:
     """(line_no, upto, sequence, values) of each line that might begin an entry; ``upto`` is the last non-blank line before the next such line.
 
-    ``texts`` adds where each token ends, the line (a header's block of lines as one), the non-blank lines that follow it, and
+    ``texts`` adds where each token ends (numbers of four bytes), the line (a header's block of lines as one), the non-blank lines that follow it, and
     what a JSON entry has for message.
 
     A line that begins with white space, ``|`` or ``>`` never does. A line that is ``{`` alone takes the indented lines up to its
@@ -198,14 +201,15 @@ def line_rows(text: str, started: datetime | None, texts: bool = False) -> Itera
         toks, values, ends = tokens(x, started)
         held = [i + 1, j + 1, SEP.join(toks), values]
         if texts:
-            held += [ends, x, "", told(lines[i : j + 1]) if x[0] == "{" else None]
+            held += [struct.pack(f">{len(ends)}I", *ends), x, "", told(lines[i : j + 1]) if x[0] == "{" else None]
         i = j + 1
     if held:
         yield held
 
 
-_LINES = "run_id bigint, version bigint, line_no int, upto int, seq string, vals array<string>"
-_TEXTS = ", ends array<int>, line string, more string, told string"
+_LINES = {"run_id": pa.int64(), "version": pa.int64(), "line_no": pa.int32(), "upto": pa.int32(), "seq": pa.string(), "vals": pa.list_(pa.string())}
+_TEXTS = {"ends": pa.binary(), "line": pa.string(), "more": pa.string(), "told": pa.string()}
+_DDL = {pa.int64(): "bigint", pa.int32(): "int", pa.string(): "string", pa.binary(): "binary", pa.list_(pa.string()): "array<string>"}
 
 
 def candidate_lines(runs: DataFrame, texts: bool = False) -> DataFrame:
@@ -214,26 +218,33 @@ def candidate_lines(runs: DataFrame, texts: bool = False) -> DataFrame:
     ``version`` tells differing rows of a repeated run_id apart; ``texts`` adds what messages are made of, cut where the text lies.
     """
     one = runs.where("run_id IS NOT NULL AND stderr IS NOT NULL AND stderr <> ''").select("run_id", F.xxhash64("started_at", "stderr").alias("version"), "started_at", "stderr")
+    columns = _LINES | (_TEXTS if texts else {})
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set = set()  # copies of a run within a task, however many, are read once
         for b in batches:
             rows = []
-            for run_id, version, started, text in zip(b["run_id"], b["version"], b["started_at"], b["stderr"]):
+            for run_id, version, at, text in zip(*(b.column(c).to_pylist() for c in ("run_id", "version", "started_at", "stderr"))):
                 if (run_id, version) in seen:
                     continue
                 if len(seen) >= _SEEN_RUNS:
                     seen.clear()
                 seen.add((run_id, version))
-                at = None if pd.isna(started) else started.to_pydatetime()
                 if at is not None and at.tzinfo is not None:
                     at = at.astimezone(timezone.utc).replace(tzinfo=None)
-                rows += [(run_id, version, *r) for r in line_rows(text, at, texts)]
-            yield pd.DataFrame(rows, columns=columns)
+                for r in line_rows(text, at, texts):
+                    rows.append((run_id, version, *r))
+                if len(rows) >= _BATCH_LINES:
+                    yield _batch(rows, columns)
+                    rows = []
+            if rows:
+                yield _batch(rows, columns)
 
-    schema = _LINES + _TEXTS * texts
-    columns = [x.split()[0] for x in schema.split(", ")]
-    return one.mapInPandas(run, schema)
+    return one.mapInArrow(run, ", ".join(f"{n} {_DDL[t]}" for n, t in columns.items()))
+
+
+def _batch(rows: list[tuple], columns: dict[str, pa.DataType]) -> pa.RecordBatch:
+    return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), columns.values())], list(columns))
 
 
 # ---- iterative partitioning of the distinct sequences
@@ -305,8 +316,8 @@ def sequence_ids(seq: Column) -> list[Column]:
 def partition(sequences: DataFrame) -> DataFrame:
     """(id, id2, toks, part) of distinct ``sequences`` (column seq): the leaf of each, written to the shared folder between steps."""
     parts = sequences.select(*sequence_ids(F.col("seq")), F.split("seq", SEP).alias("toks")).withColumn("part", F.xxhash64(F.size("toks")))
-    parts = cut(split_by_least_variable(cut(parts)))
-    return cut(split_by_marks(split_by_bijection(parts)))
+    parts = stored(split_by_least_variable(stored(parts, "parts")), "parts")
+    return stored(split_by_marks(split_by_bijection(parts)), "parts")
 
 
 # ---- what the slots of a template mean
@@ -540,9 +551,8 @@ def entries(runs: DataFrame, max_rows: int = BROADCAST_ROWS, messages: bool = Fa
     fields = join_sized(parts, template_fields(parts).drop("template"), ["part"], "inner", salt_by=["id"], max_rows=max_rows, keep=True)
     literal = F.when((F.col("s.comp_at") < 0) & (F.col("s.comp_pos") >= 0), F.ltrim(F.get("toks", F.col("s.comp_pos"))))
     meant = cut(fields.where("s.is_header").select("id", "id2", "s.time_at", "s.level_at", "s.comp_at", literal.alias("named"), "s.message_at", "s.opens", "s.level_alone"))
-    known = join_sized(lines.drop("seq"), meant, ["id", "id2"], "left", salt_by=["run_id", "line_no"], max_rows=max_rows)
     value = lambda c: F.when(F.col(c) >= 0, F.get("vals", F.col(c)))
-    lit = known.select(
+    named = [
         "run_id",
         "version",
         "line_no",
@@ -553,32 +563,46 @@ def entries(runs: DataFrame, max_rows: int = BROADCAST_ROWS, messages: bool = Fa
         F.coalesce(value("comp_at"), "named").alias("comp"),
         F.coalesce("opens", F.lit(False)).alias("opens"),
         F.coalesce("level_alone", F.lit(False)).alias("level_alone"),
-        *([_message().alias("message"), F.col("line"), F.col("more")] if messages else []),
-    ).repartition("run_id")  # the one shuffle: all windows and groups below are within a run
+    ]
+    texts = [_message().alias("message"), "line", "more"]
+    key = ["run_id", "version", "line_no"]
+    if messages and is_small(meant, max_rows):
+        lit = lines.drop("seq").join(F.broadcast(meant), ["id", "id2"], "left").select(*named, *texts).repartition("run_id")
+    else:
+        narrow = lines.select(*_LINES, "id", "id2").drop("seq")
+        lit = join_sized(narrow, meant, ["id", "id2"], "left", salt_by=["run_id", "line_no"], max_rows=max_rows).select(*named, *(["message_at"] if messages else []))
+        lit = lit.repartition("run_id")  # the one shuffle of the fields: all windows and groups below are within a run
+        if messages:  # and one of the texts, which don't go through the join by sequence
+            own = lines.select(*key, "line", "more", "told", "ends").repartition("run_id").dropDuplicates(key)
+            lit = lit.dropDuplicates(key).join(own, key).select("*", texts[0]).drop("message_at", "told", "ends")
     w = Window.partitionBy("run_id", "version").orderBy("line_no")
     lit = lit.withColumn("__again", F.lag("line_no").over(w).eqNullSafe(F.col("line_no"))).where("NOT __again")
     lit = lit.withColumn("goes_on", F.lag("opens", 1, False).over(w) & F.col("level_alone") & (F.lag("upto").over(w) + 1 == F.col("line_no")))
     text = lambda c: F.coalesce(c, F.lit(""))
+    alike = lines.groupBy("run_id").agg(F.min("version").alias("a"), F.max("version").alias("b")).where("a <> b").isEmpty()
+    once = lambda found: found if alike else found.distinct()
     if messages:
-        return _with_messages(lit, w)
+        return once(_with_messages(lit, w))
     lit = lit.withColumn("next_level", F.when(F.lead("goes_on").over(w), F.lead("level").over(w)))
     # an entry ends where the line before the next one's first line ends, the last one of a run with the run
     lit = lit.withColumn("before", F.lag("upto").over(w)).withColumn("last", F.max("upto").over(Window.partitionBy("run_id", "version"))).where(F.col("is_header") & ~F.col("goes_on"))
     end = F.coalesce(F.lead("before").over(w), "last")
-    return lit.select(
-        "run_id",
-        "line_no",
-        (end - F.col("line_no") + 1).cast("int").alias("n_lines"),
-        text(F.col("ts")).alias("log_ts"),
-        text(F.coalesce("level", "next_level")).alias("log_level"),
-        text(F.col("comp")).alias("component"),
-    ).distinct()
+    return once(
+        lit.select(
+            "run_id",
+            "line_no",
+            (end - F.col("line_no") + 1).cast("int").alias("n_lines"),
+            text(F.col("ts")).alias("log_ts"),
+            text(F.coalesce("level", "next_level")).alias("log_level"),
+            text(F.col("comp")).alias("component"),
+        )
+    )
 
 
 def _message() -> Column:
     """What a header line says: of a JSON entry its message value, else what follows the header, without the quote that a quoted value ends with."""
-    start = F.when(F.col("message_at") > 0, F.get("ends", F.col("message_at") - 1)).otherwise(0)
-    rest = F.regexp_replace(F.expr("substring(line, 1 + CASE WHEN message_at > 0 THEN get(ends, message_at - 1) ELSE 0 END)"), r"^\s+|\s+$", "")
+    start = F.when(F.col("message_at") > 0, F.conv(F.hex(F.expr("substring(ends, 4 * message_at - 3, 4)")), 16, 10).cast("int")).otherwise(0)
+    rest = F.btrim(F.substring(F.col("line"), start + 1, F.length("line")), F.lit(" \t\r\f\x0b\xa0"))
     quoted = (start > 0) & (F.substring(F.col("line"), start, 1) == '"') & ~F.col("line").startswith('"')
     return F.coalesce("told", F.when(quoted, F.regexp_replace(rest, r'"\s*\}?$', "")).otherwise(rest))
 
@@ -602,4 +626,4 @@ def _with_messages(lit: DataFrame, w) -> DataFrame:
         text(F.coalesce("f.level", "next_level")).alias("log_level"),
         text(F.col("f.comp")).alias("component"),
         F.concat_ws("\n", F.filter("said.said", lambda x: x != "")).alias("message"),
-    ).distinct()
+    )
