@@ -6,9 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessellar.common import table
-from tessellar.functions import bytes as B
 from tessellar.functions import digests as D
-from tessellar.functions.dates import iso_instant, report_date
+from tessellar.functions.strings import store_text
 from tessellar.operators import object_graph as OG
 from tessellar.operators import processes as P
 from tessellar.operators import relational as R
@@ -162,3 +161,87 @@ def feature_documents(spark: SparkSession, d: str) -> DataFrame:
     rows = ST.wide(anchor, table(spark, d, "tool_runs"), WIDE, ("stderr",)).withColumns({"fname": F.col("path"), "cpu_warn": F.col("cpu_stderr")})
     made = FE.tidy(FE.apply(rows, ["profile", "cpu", "status"]))
     return made.select("fname", "collection", "shasum_256", F.col("cpu_warn").isNotNull().alias("has_cpu_warn"), F.coalesce("tools_status_warn", F.lit("")).alias("tools_status_warn"))
+
+
+_STREAMS = {"clamav": ("c", "stdout"), "cd": ("pol", "stdout"), "cd_warn": ("pol", "stderr"), "mc_warn": ("mc", "stderr"), "mt_warn": ("mt", "stderr"), "pmd_warn": ("pmd", "stderr"), "pmt_warn": ("pmt", "stderr"), "cpu_warn": ("cpu", "stderr")}
+_OF_PREFIX = {t.prefix: t.table for t in WIDE}
+
+
+@query(
+    f"WITH {_LATEST}, a AS (SELECT path, max(collection) AS collection FROM profiles WHERE path IS NOT NULL GROUP BY 1) SELECT a.path AS fname, a.path AS original_fname, nullif(trim(a.collection), '') AS collection, "
+    + ", ".join(f"nullif(trim({p}_{n}.{c}), '') AS {n}" for n, (p, c) in _STREAMS.items()) + " FROM a "
+    + " ".join(f"LEFT JOIN latest {p}_{n} ON {p}_{n}.path = a.path AND {p}_{n}.tool = '{_OF_PREFIX[p]}'" for n, (p, c) in _STREAMS.items())
+)
+def passed_on_features(spark: SparkSession, d: str) -> DataFrame:
+    """Features that are a tool's output or complaints as they stand, blank ones null."""
+    from tessellar.operators import features as FE
+
+    anchor = table(spark, d, "profiles").where("path IS NOT NULL").groupBy("path").agg(F.max("collection").alias("collection"))
+    prefixes = {p for p, _ in _STREAMS.values()}
+    rows = ST.wide(anchor, table(spark, d, "tool_runs"), [t for t in WIDE if t.prefix in prefixes], ("stdout", "stderr"))
+    rows = rows.select(F.col("path").alias("fname"), "collection", *(F.col(f"{p}_{c}").alias(n) for n, (p, c) in _STREAMS.items()))
+    made = FE.apply(rows, ["profile", "cpu", "caradoc", "clamav", "mutool", "pdfminer"])
+    return made.select("fname", "original_fname", "collection", *_STREAMS)
+
+
+_STATUS_OF = lambda p: _status_sql(next(t for t in WIDE if t.prefix == p))
+
+
+@query(
+    f"WITH {_LATEST}, a AS (SELECT DISTINCT path FROM profiles WHERE path IS NOT NULL), u AS (SELECT path, max(source) AS universe FROM documents WHERE path IS NOT NULL GROUP BY 1) "
+    f"SELECT a.path, u.universe, {_STATUS_OF('q')} AS q_status, {_STATUS_OF('tk')} AS tk_status FROM a LEFT JOIN u ON u.path = a.path LEFT JOIN latest qr ON qr.tool = 'qpdf' AND qr.path = a.path LEFT JOIN latest tkr ON tkr.tool = 'tika' AND tkr.path = a.path"
+)
+def wide_with_universes(spark: SparkSession, d: str) -> DataFrame:
+    """The short wide view: files with the universe that lists them and the status of two tools."""
+    from tessellar.operators import features as FE
+
+    universes = table(spark, d, "documents").where("path IS NOT NULL").select("path", F.col("source").alias("text"))
+    tools = [t for t in WIDE if t.table in ("qpdf", "tika")]
+    anchor = table(spark, d, "profiles").where("path IS NOT NULL").select("path").distinct()
+    rows = ST.wide(FE.with_extracts(anchor, {"universe": universes}), table(spark, d, "tool_runs"), tools, ())
+    return FE.apply(rows, ["universe"]).select("path", "universe", "q_status", "tk_status")
+
+
+@query(
+    f"WITH {_LATEST}, a AS (SELECT path, max(size) AS size FROM profiles WHERE path IS NOT NULL GROUP BY 1), f AS (SELECT path, min(id) AS id FROM cc_fetch WHERE path IS NOT NULL GROUP BY 1), "
+    "u AS (SELECT id, min(url) AS url, min(host) AS host, min(mime) AS mime FROM cc_urls WHERE id IS NOT NULL GROUP BY 1), h AS (SELECT id, min(country) AS country, min(tld) AS tld FROM cc_hosts GROUP BY 1), m AS (SELECT id, min(name) AS mime FROM cc_mimes GROUP BY 1) "
+    f"SELECT a.path, a.size, u.url, h.country, h.tld, m.mime, {_STATUS_OF('pinfo')} AS pinfo_status FROM a JOIN f ON f.path = a.path JOIN u ON u.id = f.id LEFT JOIN h ON h.id = u.host LEFT JOIN m ON m.id = u.mime "
+    "LEFT JOIN latest pinfor ON pinfor.tool = 'pdfinfo' AND pinfor.path = a.path"
+)
+def wide_with_crawl(spark: SparkSession, d: str) -> DataFrame:
+    """The wide view of files that come from the crawl, with the url, place and mime of their first capture."""
+    first = lambda c: F.min(c).alias(c)
+    of_file = table(spark, d, "cc_fetch").where("path IS NOT NULL").groupBy("path").agg(first("id"))
+    urls = table(spark, d, "cc_urls").where("id IS NOT NULL").groupBy("id").agg(first("url"), first("host"), first("mime"))
+    hosts = table(spark, d, "cc_hosts")
+    anchor = table(spark, d, "profiles").where("path IS NOT NULL").groupBy("path").agg(F.max("size").alias("size"))
+    crawled = anchor.join(of_file, "path").join(urls, "id")
+    placed = R.star(crawled, {"mime": (table(spark, d, "cc_mimes"), "id", "name")}).withColumn("country", F.col("host")).withColumn("tld", F.col("host"))
+    placed = R.star(R.star(placed, {"country": (hosts, "id", "country")}), {"tld": (hosts, "id", "tld")})
+    named = placed.select("path", "size", "url", F.col("country_name").alias("country"), F.col("tld_name").alias("tld"), F.col("mime_name").alias("mime"))
+    return ST.wide(named, table(spark, d, "tool_runs"), [t for t in WIDE if t.table == "pdfinfo"], ()).drop("other_tools")
+
+
+@query("SELECT doc_id, substr(replace(coalesce(text, ''), chr(0), ' '), 1, 1000) AS kept FROM documents")
+def kept_texts(spark: SparkSession, d: str) -> DataFrame:
+    """Texts as a bounded column of a database holds them."""
+    return table(spark, d, "documents").select("doc_id", store_text(F.col("text"), 1000).alias("kept"))
+
+
+@query(
+    "WITH t AS (SELECT doc_id, text, regexp_replace(text, '[^\\x00-\\x7f]', '', 'g') AS plain FROM documents WHERE text IS NOT NULL) "
+    "SELECT doc_id, octet_length(encode(text))::int AS n, (octet_length(encode(text)) - length(plain) + length(plain) - length(replace(plain, '?', '')))::int AS n_marks, left(plain, 0) || regexp_replace(plain, '\\?', '', 'g') AS plain FROM t"
+)
+def base64_texts(spark: SparkSession, d: str) -> DataFrame:
+    """Texts in base64 read as ASCII: a mark for every other byte."""
+    a = table(spark, d, "documents").where("text IS NOT NULL").select("doc_id", D.base64_ascii(F.base64(F.col("text").cast("binary"))).alias("a"))
+    return a.select("doc_id", F.length("a").alias("n"), F.regexp_count("a", F.lit(r"\?")).alias("n_marks"), F.replace("a", F.lit("?"), F.lit("")).alias("plain"))
+
+
+@query("SELECT doc_id, doc_id % 3 = 1 AS misnamed, sha256(text) = sha256(text || '') AS same FROM documents WHERE text IS NOT NULL")
+def misnamed_texts(spark: SparkSession, d: str) -> DataFrame:
+    """Which of the texts are stored under another name than their digest."""
+    sha = F.sha2("text", 256)
+    path = F.concat(F.lit("a/b/"), F.when(F.col("doc_id") % 3 == 1, F.reverse(sha)).otherwise(sha))
+    docs = table(spark, d, "documents").where("text IS NOT NULL")
+    return docs.select("doc_id", D.misnamed(path, F.col("text").cast("binary")).alias("misnamed"), (sha == F.sha2(F.col("text").cast("binary"), 256)).alias("same"))
