@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 
 def report_date(c: Column) -> Column:
-    """``Mon Apr  1 22:12:30 2013 UTC`` as a timestamp without zone, null where it doesn't parse.
+    """``Fri Aug  7 03:04:05 2026 CET`` as a timestamp without zone, null where it doesn't parse.
 
     Weekday and zone are taken off first: the wall time is read as UTC whatever zone is printed, as the tools' consumers do.
     """

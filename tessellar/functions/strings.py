@@ -34,7 +34,7 @@ def escape_controls(c: Column) -> Column:
 
 
 def leading_int(c: Column) -> Column:
-    """``24 (including covers)`` -> 24; null where none."""
+    """``7 or so`` -> 7; null where none."""
     return F.regexp_extract(c, r"^\s*(\d+)", 1).try_cast("int")
 
 

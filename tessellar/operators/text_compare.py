@@ -9,9 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessellar.common import join_sized
+
 #: Extracts longer than this many bytes are not compared.
 TOO_LONG = 100_000_000
 
@@ -41,6 +43,34 @@ def token_bag(texts: DataFrame, key: Sequence[str], text: str) -> DataFrame:
     return texts.select(*key, F.explode(token_array(F.col(text))).alias("token")).groupBy(*key, "token").agg(F.count(F.lit(1)).alias("n"))
 
 
+def common_words(texts: DataFrame, lang: str, text: str, top: int = 1000) -> DataFrame:
+    """(lang, token): of each language's texts the ``top`` tokens of letters that most texts hold, equal ones by token.
+
+    Null languages are left out. Counts are made before they are shuffled, and only the top of each task's share is ranked.
+    """
+    tokens = F.explode(F.array_distinct(F.filter(token_array(F.col(text)), lambda t: t.rlike(r"^\p{L}{2,}$"))))
+    n = texts.where(F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), tokens.alias("token")).groupBy("lang", "token").agg(F.count(F.lit(1)).alias("n"))
+    return n.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "token"))).where(F.col("r") <= top).select("lang", "token")
+
+
+def language_stats(texts: DataFrame, key: Sequence[str], text: str, common: DataFrame) -> DataFrame:
+    """(key..., lang_detected, n_alphabetic, n_common, oov): the language of whose common words a text holds most, the first by name of equals.
+
+    ``common`` (lang, token) as from common_words(). n_common counts occurrences of that language's words, oov is 1 - n_common /
+    alphabetic tokens. A text without common words has a null language and oov 1, or -1 without alphabetic tokens. Every row of a
+    distinct ``key`` comes out once. Texts are counted where they lie; only counts per language are shuffled.
+    """
+    alpha = F.filter(token_array(F.col(text)), lambda x: x.rlike(r"^\p{L}+$"))
+    words = texts.select(*key, F.explode_outer(alpha).alias("token"))
+    listed = join_sized(words, common.groupBy("token").agg(F.collect_set("lang").alias("langs")), ["token"], "left", salt_by=list(key), keep=True)
+    spread = listed.select(*key, F.explode(F.concat(F.array(F.lit("")), F.coalesce("langs", F.array().cast("array<string>")))).alias("lang"), F.col("token").isNotNull().cast("int").alias("n"))
+    per_lang = spread.groupBy(*key, "lang").agg(F.sum("n").alias("n"))
+    best = F.max(F.when((F.col("lang") != "") & (F.col("n") > 0), F.struct("n", F.transform(F.split("lang", ""), lambda c: -F.ascii(c)).alias("o"), "lang")))
+    per_text = per_lang.groupBy(*key).agg(F.max(F.when(F.col("lang") == "", F.col("n"))).alias("n_alphabetic"), best.alias("b"))
+    n_common = F.coalesce("b.n", F.lit(0))
+    return per_text.select(*key, F.col("b.lang").alias("lang_detected"), "n_alphabetic", n_common.alias("n_common"), F.when(F.col("n_alphabetic") == 0, F.lit(-1.0)).otherwise(1 - n_common / F.col("n_alphabetic")).alias("oov"))
+
+
 def pairwise(extracts: DataFrame, key: str, tool: str, text: str) -> DataFrame:
     """(key, tool_a, tool_b, dice, overlap) for every two tools of a file, tool_a < tool_b.
 

@@ -2,14 +2,10 @@
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessellar.common import table
-from tessellar.functions import bytes as B
-from tessellar.operators import reports as RP
 from tessellar.operators import text_compare as TC
 
 QUERIES: dict = {}
@@ -27,18 +23,37 @@ def query(sql: str | None = None):
 
 
 _TOKENS = r"list_filter(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '')"
-_COMMON = ["the", "a", "of", "in", "and", "is", "de", "la", "der", "die", "het", "o"]
 _ALPHA = r"list_filter(t, lambda x: regexp_full_match(x, '\p{L}+'))"
 
 
 @query(
-    f"WITH d AS (SELECT doc_id, {_TOKENS} AS t FROM documents WHERE text IS NOT NULL), e AS (SELECT doc_id, len(t)::int AS n_tokens, len(list_distinct(t))::int AS n_types, len({_ALPHA})::int AS n_alphabetic, "
-    f"len(list_distinct({_ALPHA}))::int AS n_alphabetic_types, len(list_filter(t, lambda x: x IN ({', '.join(repr(w) for w in _COMMON)})))::int AS n_common FROM d) "
-    "SELECT *, CASE WHEN n_alphabetic = 0 THEN -1.0 ELSE 1 - n_common / n_alphabetic END::double AS oov FROM e"
+    f"WITH d AS (SELECT doc_id, {_TOKENS} AS t FROM documents WHERE text IS NOT NULL) SELECT doc_id, len(t)::int AS n_tokens, len(list_distinct(t))::int AS n_types, len({_ALPHA})::int AS n_alphabetic, "
+    f"len(list_distinct({_ALPHA}))::int AS n_alphabetic_types FROM d"
 )
 def token_stats(spark: SparkSession, d: str) -> DataFrame:
     """Token statistics of every text."""
-    return TC.token_stats(table(spark, d, "documents").where("text IS NOT NULL"), ["doc_id"], "text", _COMMON)
+    return TC.token_stats(table(spark, d, "documents").where("text IS NOT NULL"), ["doc_id"], "text").drop("n_common", "oov")
+
+
+_LABEL = "lower(regexp_extract(lang, '^[A-Za-z]{2}'))"
+
+
+@query(
+    rf"""WITH d AS (SELECT doc_id, nullif({_LABEL}, '') AS lang, {_TOKENS} AS t FROM documents WHERE text IS NOT NULL),
+c AS (SELECT lang, token, row_number() OVER (PARTITION BY lang ORDER BY count(*) DESC, token) AS r FROM (SELECT DISTINCT doc_id, lang, unnest(t) AS token FROM d WHERE lang IS NOT NULL) WHERE regexp_full_match(token, '\p{{L}}{{2,}}') GROUP BY lang, token),
+w AS (SELECT doc_id, unnest({_ALPHA}) AS token FROM d),
+n AS (SELECT doc_id, count(*) AS n FROM w GROUP BY 1),
+h AS (SELECT w.doc_id, c.lang, count(*) AS n FROM w JOIN c ON c.token = w.token WHERE c.r <= 1000 GROUP BY ALL),
+b AS (SELECT doc_id, lang, n, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, lang) AS r FROM h)
+SELECT d.doc_id, b.lang AS lang_detected, coalesce(n.n, 0)::bigint AS n_alphabetic, coalesce(b.n, 0)::bigint AS n_common, CASE WHEN n.n IS NULL THEN -1.0 ELSE 1 - coalesce(b.n, 0) / n.n END::double AS oov
+FROM (SELECT DISTINCT doc_id FROM d) d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN b ON b.doc_id = d.doc_id AND b.r = 1"""
+)
+def text_languages(spark: SparkSession, d: str) -> DataFrame:
+    """Detected language and share of uncommon words of every text, by the thousand commonest words of each labelled language."""
+    docs = table(spark, d, "documents").where("text IS NOT NULL")
+    label = F.lower(F.regexp_extract("lang", "^[A-Za-z]{2}", 0))
+    common = TC.common_words(docs.select(F.when(label != "", label).alias("lang"), "text"), "lang", "text")
+    return TC.language_stats(docs, ["doc_id"], "text", common)
 
 
 @query(f"WITH d AS (SELECT DISTINCT doc_id, unnest({_TOKENS}) AS token FROM documents WHERE text IS NOT NULL) SELECT token, count(*) AS n_docs FROM d GROUP BY 1")

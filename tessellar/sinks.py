@@ -38,7 +38,11 @@ def _there(spark: SparkSession, path: str) -> bool:
 
 def _move(spark: SparkSession, a: str, b: str) -> None:
     (fs, p), (_, q) = _fs(spark, a), _fs(spark, b)
-    if not fs.rename(p, q):
+    try:
+        moved = fs.rename(p, q)
+    except Py4JJavaError as e:
+        raise OSError(str(e.java_exception)) from e
+    if not moved:
         raise OSError(f"{a} can't be moved to {b}")
 
 
@@ -100,15 +104,16 @@ def write_by_name(runs: DataFrame, target: str, jdbc_options: Mapping[str, str]
     raise ValueError(f"no writer for {target}")
 
 
-def upsert_jdbc(changes: DataFrame, url: str, table: str, key: Sequence[str], latest: Sequence[Column], driver: str, tries: int = 10, wait: float = 30, sleep: Callable[[float], None] = time.sleep) -> None:
+def upsert_jdbc(changes: DataFrame, url: str, table: str, key: Sequence[str], latest: Sequence[Column], driver: str, types: str | None = None, tries: int = 10, wait: float = 30, sleep: Callable[[float], None] = time.sleep) -> None:
     """Merge rows into a database table by ``key``, the latest row of each; the table is made if it is missing.
 
     Executors write the changes to a table beside it, in batches and over as many connections as there are partitions. One
     statement then merges them in one transaction, tried again up to ``tries`` times with a new connection; a merge that is
-    repeated, or comes after a lost answer, changes nothing more. Names are quoted, so they are case sensitive.
+    repeated, or comes after a lost answer, changes nothing more. Names are quoted, so they are case sensitive. ``types`` says
+    what the columns are in the database (``path VARCHAR(512)``), as for keys that its default type can't compare.
     """
     spark = changes.sparkSession
-    beside, options = f"{table}_NEW", {"url": url, "driver": driver, "batchsize": "1000"}
+    beside, options = f"{table}_NEW", {"url": url, "driver": driver, "batchsize": "1000", **({"createTableColumnTypes": types} if types else {})}
     upsert(None, changes, key, latest).write.format("jdbc").options(dbtable=f'"{beside}"', **options).mode("overwrite").save()
     columns = changes.columns
     quoted = lambda c: f'"{c}"'

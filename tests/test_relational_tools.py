@@ -1,5 +1,12 @@
+import base64
+import gzip
+import hashlib
+import os
+import random
+import time
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from tessellar.operators import fetch_state as FS
@@ -119,5 +126,103 @@ def test_fetch_states(spark):
     t = spark.createDataFrame([("timeout", None, None, None), (None, 404, 1, 1), (None, 200, 5, 9), (None, 200, 9, 9)], "e string, s int, n int, x int")
     assert [r[0] for r in t.select(FS.refetch(F.col("e"), F.col("s"), F.col("n"), F.col("x"), F.lit(False))).collect()] == ["REFETCHED_TIMEOUT", "REFETCHED_NOT_200", "REFETCHED_TRUNCATED", "REFETCHED_SUCCESS"]
     targets = spark.createDataFrame([("bad", i, "u") for i in range(14)] + [("good", 1, "u")], "host string, id bigint, url string")
-    out = FS.refetch_hosts(targets.withColumn("url", F.col("host")), lambda u: ("timeout", None) if u == "bad" else (None, 200)).groupBy("status").count().collect()
+    out = FS.refetch_hosts(targets.withColumn("url", F.col("host")), lambda u: FS.Fetched("timeout") if u == "bad" else FS.Fetched(None, 200), pause=(0, 0)).groupBy("status").count().collect()
     assert {r.status: r["count"] for r in out} == {"REFETCHED_TIMEOUT": 11, "REFETCH_UNHAPPY_HOST": 3, "REFETCHED_SUCCESS": 1}
+
+
+def test_every_refetch_state_and_pauses(spark):
+    answers = {
+        "timeout": FS.Fetched("timeout"), "io": FS.Fetched("io"), "read": FS.Fetched("read", 200), "length": FS.Fetched("length", 200), "digest": FS.Fetched("digest", 200), "closed": FS.Fetched("closed"),
+        "emit": FS.Fetched("emit", 200), "404": FS.Fetched(None, 404, 1, 1), "short": FS.Fetched(None, 200, 5, 9), "ok": FS.Fetched(None, 200, 9, -1), "odd": FS.Fetched(None, None),
+    }
+
+    def fetch(url):
+        if url == "late":
+            raise TimeoutError
+        if url == "broken":
+            raise OSError
+        return answers[url]
+
+    targets = spark.createDataFrame([(f"h{i}", i, u) for i, u in enumerate([*answers, "late", "broken"])] + [(None, 99, "ok")], "host string, id bigint, url string")
+    got = {r.host: r.status for r in FS.refetch_hosts(targets, fetch, pause=(0, 0)).collect()}
+    assert [got[f"h{i}"] for i in range(13)] == [*FS.BY_ERROR.values(), "REFETCHED_NOT_200", "REFETCHED_TRUNCATED", "REFETCHED_SUCCESS", "REFETCHED_BAD_STATUS", "REFETCHED_TIMEOUT", "REFETCHED_IO_EXCEPTION"] and got[None] == "REFETCHED_SUCCESS"
+
+    def wait(seconds):
+        assert 0.1 <= seconds <= 2.1
+        raise RuntimeError("waited")
+
+    one_host = spark.createDataFrame([("h", 1, "ok"), ("h", 2, "ok")], "host string, id bigint, url string")
+    with pytest.raises(Exception, match="waited"):
+        FS.refetch_hosts(one_host, fetch, sleep=wait).collect()
+    assert FS.refetch_hosts(one_host.where("id = 1"), fetch, sleep=wait).count() == 1
+
+
+STUB = """#!/bin/sh
+echo "run $(basename $0)"
+for last; do case "$last" in */out) echo "made by $(basename $0)" > "$last";; esac; done
+"""
+
+
+@pytest.fixture()
+def stubs(tmp_path, monkeypatch):
+    folder = tmp_path / "bin"
+    folder.mkdir()
+    for name in {c.template.split()[0] for c in P.COMMANDS}:
+        (folder / name).write_text(STUB)
+        (folder / name).chmod(0o755)
+    return f"{folder}:{os.environ['PATH']}"
+
+
+@pytest.mark.parametrize("command", P.COMMANDS, ids=lambda c: c.table)
+def test_every_command_runs(command, stubs, tmp_path, monkeypatch):
+    monkeypatch.setenv("PATH", stubs)
+    got, made = P._Place(str(tmp_path)).run(command, b"%PDF-1.7")
+    assert got[0] == 0 and not got[1] and "{" not in " ".join(command.arguments("a", "b", 3))
+    program = command.template.split()[0]
+    if command.prints:
+        assert made == f"run {program}\n".encode() and got[3] == ""
+    else:
+        assert got[3] == f"run {program}\n"[: command.stdout_most] and (made is not None) == ("{output}" in command.template)
+
+
+def test_pages_are_split(spark, tmp_path):
+    for name, text in (("count", 'grep -c page "$1" || true'), ("split", 'grep page "$1" | sed -n "$2p" > "$3"')):
+        (tmp_path / name).write_text(f"#!/bin/sh\n{text}\n")
+        (tmp_path / name).chmod(0o755)
+    count, split = P.Command("page_splitter_count", f"{tmp_path}/count {{input}}"), P.Command("page_splitter", f"{tmp_path}/split {{input}} {{page}} {{output}}", "pdf")
+    files = spark.createDataFrame([("f", bytearray(b"page a\npage b\n")), ("g", bytearray(b"nothing"))], "path string, content binary")
+    got = sorted(map(tuple, P.split_pages(files, str(tmp_path / "o"), count, split).collect()), key=str)
+    assert got == [("f", 2, 1, 0, False), ("f", 2, 2, 0, False), ("g", None, None, 0, False)]
+    assert [(tmp_path / f"o/page_splitter/f-{k}.pdf").read_text() for k in (1, 2)] == ["page a\n", "page b\n"]
+    one = P.split_pages(files.where("path = 'f'"), str(tmp_path / "p"), count, split, pick=3).collect()
+    assert len(one) == 1 and one[0].page in (1, 2) and one == P.split_pages(files.where("path = 'f'"), str(tmp_path / "p"), count, split, pick=3).collect()
+
+
+def test_output_is_bounded_and_children_end(tmp_path):
+    got = P.run_one(["sh", "-c", "head -c 3000000 /dev/zero | tr '\\0' x; echo; echo e >&2"], 20, 10, 10)
+    assert got[3:6] == ("x" * 10, 3_000_000, True) and got[6:] == ("e\n", 1, False)
+    began = time.monotonic()
+    got = P.run_one(["sh", "-c", "sleep 60 & sleep 60"], 0.3, 10, 10)
+    assert got[:2] == (-1, True) and time.monotonic() - began < 4 and not got[5]
+    got = P.run_one(["sh", "-c", "printf 'a\\r\\nb\\n'"], 5, 10, 10)
+    assert got[3:6] == ("a\nb\n", 2, False)
+
+
+def test_extraction_and_fuzzing(spark, tmp_path):
+    files = spark.createDataFrame([("f", bytearray(b"abcdefgh" * 20)), ("g", None)], "path string, content binary")
+    got = {r.path: r for r in P.extract(files, P.Command("icc", "cat {input}", "icc", prints=True)).collect()}
+    assert got["f"].digest == hashlib.sha256(b"abcdefgh" * 20).hexdigest() and gzip.decompress(base64.b64decode(got["f"].packed)) == b"abcdefgh" * 20 and got["g"].digest is None
+    c = P.Command("strict", f"sh -c 'test $(wc -c < {{input}}) -eq 160 || {{{{ echo bad >&2; exit 3; }}}}'")
+    crashes = P.fuzz(files.where("path = 'f'"), c, 20, 1).collect()
+    assert [(r.tool, r.exit_value, r.timeout) for r in crashes] == [("strict", 3, False)] and 0 < crashes[0].n <= 20
+    again = P.mutate(b"abcdefgh" * 20, random.Random(f"1:f:{crashes[0]['round']}"))
+    assert len(again) != 160 and P.fuzz(files.where("path = 'f'"), c, 20, 1).collect() == crashes
+
+
+def test_languages_by_common_words(spark):
+    docs = [(1, "en", "the cat and the dog"), (2, "en", "the cat and a bird"), (3, "de", "der hund und die katze"), (4, "de", "die katze und der vogel"), (5, None, "the hund and the bird"), (6, "en", ""), (7, "de", "42 7"), (8, None, "zzz")]
+    df = spark.createDataFrame(docs, "id int, lang string, text string")
+    common = TC.common_words(df, "lang", "text", 4)
+    assert {(r.lang, r.token) for r in common.collect()} == {("en", "and"), ("en", "cat"), ("en", "the"), ("en", "bird"), ("de", "der"), ("de", "die"), ("de", "katze"), ("de", "und")}
+    got = {r.id: (r.lang_detected, r.n_alphabetic, r.n_common, round(r.oov, 2)) for r in TC.language_stats(df, ["id"], "text", common).collect()}
+    assert got == {1: ("en", 5, 4, 0.2), 2: ("en", 5, 4, 0.2), 3: ("de", 5, 4, 0.2), 4: ("de", 5, 4, 0.2), 5: ("en", 5, 4, 0.2), 6: (None, 0, 0, -1.0), 7: (None, 0, 0, -1.0), 8: (None, 1, 0, 1.0)}

@@ -2,6 +2,7 @@ import gzip
 import json
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from tessellar import sinks as K
@@ -16,8 +17,8 @@ def one(spark, text, make):
 
 
 def test_info_report(spark):
-    r = one(spark, "Creator: GPL 9\r\nPages:  2\nEncrypted: yes (x)\nCreationDate: Mon Apr  1 22:12:30 2013 UTC\n", RP.info_report)
-    assert (r.pinfo_creator, r.pinfo_pages, r.pinfo_encrypted, str(r.pinfo_created), r.pinfo_producer) == ("GPL 9", 2, True, "2013-04-01 22:12:30", None)
+    r = one(spark, "Creator: GPL 9\r\nPages:  2\nEncrypted: yes (x)\nCreationDate: Fri Aug  7 03:04:05 2026 CET\n", RP.info_report)
+    assert (r.pinfo_creator, r.pinfo_pages, r.pinfo_encrypted, str(r.pinfo_created), r.pinfo_producer) == ("GPL 9", 2, True, "2026-08-07 03:04:05", None)
     assert one(spark, None, RP.info_report).pinfo_pages is None
 
 
@@ -61,6 +62,9 @@ def test_graph(spark):
     df = spark.createDataFrame([(json.dumps({"objects": {"1 0 R": {"/F1": 1, "/Odd": 1, "/" + "x" * 200: 1, "/Known": 2}}}),)], "t string").withColumn("g", OG.object_graph(F.col("t")))
     r = OG.graph_features(df, "g", ["/Known"]).first()
     assert r.q_keys_oos == ["/Odd", "/" + "x" * 99 + "..."]
+    names = dict.fromkeys(["/F1", "/TT1_2", "/XO7", "/F1NotASpecKey", "/CustomTT1_2", "/TT1_2x", "/AF1"], 1)
+    df = spark.createDataFrame([(json.dumps({"objects": {"1 0 R": names}}),)], "t string").withColumn("g", OG.object_graph(F.col("t")))
+    assert OG.graph_features(df, "g").first().q_keys_oos == ["/AF1", "/CustomTT1_2", "/F1NotASpecKey", "/TT1_2x"]
 
 
 LINE = 'org,x)/ 20240101000000 {"url": "http://x.org/{a}", "mime": "text/html", "mime-detected": "text/html", "status": "200", "digest": "AB", "length": "10", "offset": "7", "filename": "f", "redirect": "{b}"}'
@@ -99,7 +103,7 @@ def test_tables_and_lists(spark, tmp_path):
     (tmp_path / "d/e").mkdir(parents=True)
     (tmp_path / "d/e/f.json").write_text("{}")
     assert S.base_names(S.contents(spark, str(tmp_path / "d"))).first().path == "e/f" and S.walk(spark, str(tmp_path / "d")).count() == 1 and S.documents_json(spark, str(tmp_path / "d/e")).first().text == "{}"
-    assert S.shard_names(spark, "c", 2).count() == 2
+    assert [r.path for r in S.shard_names(spark.createDataFrame([("c",)], "crawl string"), 2).collect()] == ["cc-index/collections/c/indexes/cdx-00000.gz", "cc-index/collections/c/indexes/cdx-00001.gz"]
 
 
 def test_http_back_off():
@@ -146,7 +150,8 @@ def test_sinks(spark, tmp_path):
     K.write_mismatches(files.where("path = 'x'"), str(tmp_path / "mm"))
     assert "".join(x.read_text() for x in (tmp_path / "mm").glob("*.csv")).startswith("x\t")
     K.write_by_name(df, str(tmp_path / "o.json"))
-    K.append_status(df, str(tmp_path / "st"))
+    K.append_status(df, str(tmp_path / "st"), "a")
+    K.append_status(df, str(tmp_path / "st"), "a")
     K.write_features(df, str(tmp_path / "fe"))
     assert spark.read.json(str(tmp_path / "o.json")).count() == spark.read.parquet(str(tmp_path / "st")).count() == spark.read.parquet(str(tmp_path / "fe")).count() == 1
 
@@ -192,3 +197,89 @@ def test_config_rows(spark):
     conf = {"query": S.fill_template("SELECT * FROM ${t}", {"t": "work_rows"}), "id_column": "id", "fetch_key_column": "file", "range_start_column": "a", "range_end_column": "b"}
     assert S.config_rows(spark, conf).first().asDict() == {"id": 1, "fetch_key": "f", "range_start": 3, "range_end": 9}
     assert spark.range(1).select(S.byte_range(F.lit(5), F.lit(10)).alias("r")).first().r == "bytes=5-14"
+
+
+def test_swap_that_fails_keeps_the_old_table(spark, tmp_path):
+    p = str(tmp_path / "t")
+    spark.range(3).write.parquet(p)
+    with pytest.raises(OSError):
+        K.swap_in(spark, str(tmp_path / "nothing"), p)
+    assert spark.read.parquet(p).count() == 3 and not (tmp_path / "t.old").exists()
+    (tmp_path / "t").rename(tmp_path / "t.old")
+    assert K.table_exists(spark, p) and spark.read.parquet(p).count() == 3
+
+
+def test_jdbc_merge_by_key(spark):
+    driver, url = "org.apache.derby.iapi.jdbc.AutoloadedDriver", "jdbc:derby:memory:merged;create=true"
+    rows = lambda *r: spark.createDataFrame(list(r), "path string, n int, at timestamp_ntz")
+    put = lambda df, **k: K.upsert_jdbc(df, url, "results", ["path"], [F.col("at")], driver, "path VARCHAR(64)", **k)
+    put(rows(("a", 1, datetime(2025, 1, 1)), ("a", 2, datetime(2025, 1, 2)), ("b", None, None)))
+    for _ in range(2):  # a batch that comes again changes nothing more
+        put(rows(("b", 3, datetime(2025, 1, 3)), ("c", 4, datetime(2025, 1, 3))))
+    read = lambda: {r.path: r.n for r in spark.read.format("jdbc").options(url=url, dbtable='"results"', driver=driver).load().collect()}
+    assert read() == {"a": 2, "b": 3, "c": 4}
+    waits = []
+    with pytest.raises(Exception, match="no-such"):
+        K.upsert_jdbc(rows(), "jdbc:derby:memory:no-such", "t", ["path"], [F.col("at")], driver, tries=2, sleep=waits.append)
+
+
+def test_bulk_sink_flushes_and_tries_again(spark, tmp_path):
+    folder = str(tmp_path)
+
+    def send(bulk):
+        from tessellar.files import exists, put
+
+        if not exists(f"{folder}/tried-{bulk[0]['id']}"):
+            put(f"{folder}/tried-{bulk[0]['id']}", b"")
+            raise OSError("busy")
+        put(f"{folder}/sent-{bulk[0]['id']}", str(sum(x["id"] for x in bulk)).encode())
+
+    got = K.send_bulk(spark.range(250).coalesce(1), send, most=100, sleep=lambda s: None).collect()
+    assert [tuple(r) for r in got] == [(100, 2), (100, 2), (50, 2)] and sum(int(x.read_text()) for x in tmp_path.glob("sent-*")) == sum(range(250))
+
+    def never(bulk):
+        raise OSError("down")
+
+    with pytest.raises(Exception, match="down"):
+        K.send_bulk(spark.range(3), never, sleep=lambda s: None).collect()
+
+
+def test_extras_are_deleted_only_when_sure(spark, tmp_path):
+    (tmp_path / "x").write_text("1")
+    paths = spark.createDataFrame([("x",), ("x",), ("y",), (None,)], "path string")
+    assert {r.path: r.outcome for r in K.delete_extras(paths, str(tmp_path)).collect()} == {"x": "would delete", "y": "would delete"} and (tmp_path / "x").exists()
+    assert {r.path: r.outcome for r in K.delete_extras(paths, str(tmp_path), sure=True).collect()} == {"x": "deleted", "y": "absent"} and not (tmp_path / "x").exists()
+
+
+def test_ranges_over_http(spark, tmp_path):
+    import io
+
+    data = b"0123456789"
+    asked = []
+
+    def get(request):
+        a, b = request.headers["Range"].removeprefix("bytes=").split("-")
+        asked.append((int(a), int(b)))
+        return io.BytesIO(data[int(a) : int(b) + 1])
+
+    f = S.HttpRanges("http://x.invalid/w", get)
+    f.seek(3)
+    assert f.read(4) == b"3456" and f.read(2) == b"78" and asked == [(3, 6), (7, 8)]
+    assert isinstance(S.archive("https://x.invalid/w"), S.HttpRanges)
+    (tmp_path / "a.gz").write_bytes(gzip.compress(b"one\n\n two\n"))
+    from tessellar.files import get as read
+
+    lines = S.http_index_lines(spark.createDataFrame([(str(tmp_path / "a.gz"),), (None,)], "url string"), read)
+    assert sorted(r.value for r in lines.collect()) == [" two", "one"]
+
+
+def test_scroll(spark):
+    pages = {None: (["a", "b"], "1"), "1": ([], "2"), "2": (["c"], None)}
+    got = S.scrolled(spark.createDataFrame([(0,), (1,)], "slice int"), lambda k, cursor: pages[cursor]).collect()
+    assert sorted((r.slice, r.document) for r in got) == [(k, x) for k in (0, 1) for x in "abc"]
+
+
+def test_dump_sections_end_at_line_ends_only(spark):
+    text = "# Random Key: 7\n# Number of Pages: 1 key=7\n# Page 1 key=7\n## Text Content key=7\na\fb\x85c\r\nd\n# Page 2 key=8\n# End of Document key=7\nx"
+    d = one(spark, text, RP.dump_report)
+    assert d.pages == ["a\fb\x85c\nd\n# Page 2 key=8\n"] and d.n_pages == 1
