@@ -85,15 +85,15 @@ def fill_absent_feature(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    r"SELECT run_id, list_sort(list_distinct(list_filter(list_transform(string_split_regex(stderr, '\r\n|\r|\n'), lambda x: regexp_extract(x, '(\d+) 0 obj|object (\d+)', 2)), lambda x: x <> ''))) AS objects, "
-    r"regexp_matches(stderr, '(?m)^Traceback') AS has_trace, len(regexp_extract_all(stderr, 'page \d+'))::int AS n_pages FROM (SELECT DISTINCT run_id, stderr FROM tool_runs WHERE stderr IS NOT NULL)"
+    r"SELECT DISTINCT run_id, list_sort(list_distinct(list_filter(list_transform(string_split_regex(stderr, '\r\n|\r|\n'), lambda x: regexp_extract(x, '(\d+) 0 obj|object (\d+)', 2)), lambda x: x <> ''))) AS objects, "
+    r"regexp_matches(stderr, '(?m)^Traceback') AS has_trace, len(regexp_extract_all(stderr, 'page \d+'))::int AS n_pages FROM tool_runs WHERE stderr IS NOT NULL"
 )
 def regex_capture(spark: SparkSession, d: str) -> DataFrame:
-    """Patterns over stderr: captures per line, any line that matches, number of matches."""
-    runs = table(spark, d, "tool_runs").where("stderr IS NOT NULL").select("run_id", "stderr").distinct()
+    """Patterns over stderr: captures per line, any line that matches, number of matches; found where the text lies, then made distinct."""
     text = F.col("stderr")
     p = RP.capture_pack(text, {"objects": r"object (\d+)"}, {"has_trace": r"^Traceback"})
-    return runs.select("run_id", p.alias("p"), F.regexp_count(text, F.lit(r"page \d+")).alias("n_pages")).select("run_id", F.array_sort("p.objects").alias("objects"), "p.has_trace", "n_pages")
+    found = table(spark, d, "tool_runs").where("stderr IS NOT NULL").select("run_id", p.alias("p"), F.regexp_count(text, F.lit(r"page \d+")).alias("n_pages"))
+    return found.select("run_id", F.array_sort("p.objects").alias("objects"), "p.has_trace", "n_pages").distinct()
 
 
 @query("WITH t AS (SELECT path, tool, stdout FROM tool_runs) SELECT count(*) AS n, count(*) FILTER (stdout IS NULL) AS n_null FROM t")

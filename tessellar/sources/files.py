@@ -15,6 +15,8 @@ from tessellar.files import opened
 
 # Fields of a crawl index record; keys have dashes where these have underscores.
 INDEX_FIELDS = ("url", "mime", "mime_detected", "status", "digest", "length", "offset", "filename", "charset", "languages", "truncated", "redirect")
+#: A manifest names at most so many files.
+MOST_FILES = 1_000_000
 _INDEX_SCHEMA = T.StructType([T.StructField(f.replace("_", "-"), T.StringType()) for f in INDEX_FIELDS])
 
 
@@ -82,9 +84,11 @@ def parse_index(lines: DataFrame) -> DataFrame:
 
 
 def manifest(spark: SparkSession, paths: str | list[str], prefix: str = "") -> list[str]:
-    """Index files that manifests name: lines that end in .gz, prefixed. A manifest is a short list by nature; it is read on the driver."""
-    got = spark.read.text(paths).select(F.trim("value").alias("v")).where(F.col("v").endswith(".gz")).distinct().orderBy("v")
-    return [prefix + r["v"] for r in got.collect()]
+    """Index files that manifests name: lines that end in .gz, prefixed. It is read on the driver; more than MOST_FILES names are refused."""
+    got = spark.read.text(paths).select(F.trim("value").alias("v")).where(F.col("v").endswith(".gz")).distinct().orderBy("v").limit(MOST_FILES + 1).collect()
+    if len(got) > MOST_FILES:
+        raise ValueError(f"more than {MOST_FILES} files")
+    return [prefix + r["v"] for r in got]
 
 
 def shard_names(crawls: DataFrame, n: int = 300) -> DataFrame:
