@@ -75,11 +75,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Bytes of an element in a list of numbers.
+_WIDTHS = {"boolean": 1, "byte": 1, "short": 2, "integer": 4, "float": 4, "date": 4, "long": 8, "double": 8, "timestamp": 8, "timestamp_ntz": 8}
+
+
 def _bytes_of(c: Column, kind: T.DataType) -> Column:
     """About the bytes that a value takes."""
     if isinstance(kind, (T.StringType, T.BinaryType)):
         return F.coalesce(F.octet_length(c), F.lit(0)) + 16
     if isinstance(kind, T.ArrayType):
+        if (width := _WIDTHS.get(kind.elementType.typeName())) is not None:
+            return F.greatest(F.coalesce(F.size(c), F.lit(0)), F.lit(0)) * width + 24
         return F.coalesce(F.aggregate(F.transform(c, lambda x: _bytes_of(x, kind.elementType).cast("bigint")), F.lit(16).cast("bigint"), lambda a, b: a + b), F.lit(16).cast("bigint"))
     if isinstance(kind, T.MapType):
         return _bytes_of(F.map_keys(c), T.ArrayType(kind.keyType)) + _bytes_of(F.map_values(c), T.ArrayType(kind.valueType))
