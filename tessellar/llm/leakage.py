@@ -5,7 +5,7 @@ cut into ``mismatches + 2`` blocks, has at least two blocks without a difference
 some distance with everything else ignored, must match exactly, and no case is missed. Hashes of all masks at all places of both
 sides are joined, and the words around each hit are compared, tolerating the substitutions.
 
-The documents' side is thinned by a bitmap of the items' hashes, of a fixed size whatever the number of items, before the join.
+The documents' side is thinned by bitmaps of the items' hashes, of a bounded size whatever the number of items, before the join.
 """
 
 from __future__ import annotations
@@ -22,10 +22,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessellar.common import BROADCAST_ROWS, cut, join_sized
+from tessellar.common import BROADCAST_ROWS, cut, is_small, join_sized, stored
 
-#: log2 of the bits in each of the two bitmaps: 1 MB each, however many items there are.
-BITMAP_BITS = 23
+#: log2 of the fewest and the most bits in each of the two bitmaps, which are sized by the number of seeds: 8 MB each at most.
+LEAST_BITS, MOST_BITS = 16, 26
+#: Bits for each seed, as far as the bound allows.
+BITS_A_SEED = 16
 #: Texts are hashed together up to about so many characters.
 CHUNK_CHARS = 4_000_000
 _CACHE_WORDS = 1_000_000
@@ -136,33 +138,47 @@ def item_seeds(items: DataFrame, window: int, mismatches: int) -> DataFrame:
     return items.where("text IS NOT NULL AND item_id IS NOT NULL").select("item_id", "text").mapInArrow(run, "item_id bigint, hash bigint, around array<int>")
 
 
-def bitmaps(hashes: DataFrame) -> np.ndarray:
-    """Two bitmaps of the hashes, packed; the driver gets at most 2 * 2**BITMAP_BITS / 64 words."""
-    first = F.shiftrightunsigned("hash", 64 - BITMAP_BITS)
-    second = F.shiftrightunsigned("hash", 8).bitwiseAND(F.lit((1 << BITMAP_BITS) - 1))
-    bits = hashes.select(F.explode(F.array(first, second + F.lit(1 << BITMAP_BITS))).alias("b"))
+class Bitmaps:
+    """Two bitmaps of hashes, packed, under the first and under other bits of each hash."""
+
+    def __init__(self, bits: int, packed: np.ndarray) -> None:
+        self.bits, self.packed = bits, packed
+
+    def unpacked(self) -> tuple[np.ndarray, np.ndarray]:
+        bits = np.unpackbits(self.packed, bitorder="little").view(bool)
+        return bits[: 1 << self.bits], bits[1 << self.bits :]
+
+
+def bitmaps(hashes: DataFrame, most_bits: int = MOST_BITS) -> Bitmaps:
+    """Bitmaps of the hashes; the driver gets at most 2 * 2**MOST_BITS / 64 words, whatever the number of hashes."""
+    n = hashes.count()
+    size = min(most_bits, max(LEAST_BITS, (BITS_A_SEED * max(1, n) - 1).bit_length()))
+    first = F.shiftrightunsigned("hash", 64 - size)
+    second = F.shiftrightunsigned("hash", 8).bitwiseAND(F.lit((1 << size) - 1))
+    bits = hashes.select(F.explode(F.array(first, second + F.lit(1 << size))).alias("b"))
     got = bits.groupBy(F.shiftright("b", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(CAST(1 AS BIGINT), CAST(b & 63 AS INT))")).alias("x")).toPandas()
-    out = np.zeros(2 << (BITMAP_BITS - 6), dtype=np.int64)
+    out = np.zeros(2 << (size - 6), dtype=np.int64)
     out[got["w"].to_numpy(dtype=np.int64)] = got["x"].to_numpy(dtype=np.int64)
-    return out.view(np.uint8)
+    return Bitmaps(size, out.view(np.uint8))
 
 
-def document_hits(documents: DataFrame, packed: np.ndarray, window: int, mismatches: int) -> DataFrame:
+def document_hits(documents: DataFrame, maps: Bitmaps, window: int, mismatches: int) -> DataFrame:
     """(doc_id, hash, near): every place of every document whose seed the bitmaps may hold, with the words around it."""
+    shared = documents.sparkSession.sparkContext.broadcast(maps)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s = Seeds(window, mismatches)
-        bits = np.unpackbits(packed, bitorder="little").view(bool)
-        one, two = bits[: 1 << BITMAP_BITS], bits[1 << BITMAP_BITS :]
+        size = shared.value.bits
+        one, two = shared.value.unpacked()
         for b in batches:
             keys, all_texts = b.column(0), b.column(1).to_pylist()
             for lo, hi in _chunks(all_texts, CHUNK_CHARS):
                 ids, starts, ends = s.read(all_texts[lo:hi])
                 owner = np.repeat(np.arange(hi - lo), ends - starts)
                 for at, h in s.hashes(ids, ends, ends - starts):
-                    kept = one[(h >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)]
+                    kept = one[(h >> np.uint64(64 - size)).astype(np.int64)]
                     at, h = at[kept], h[kept]
-                    kept = two[((h >> np.uint64(8)) & np.uint64((1 << BITMAP_BITS) - 1)).astype(np.int64)]
+                    kept = two[((h >> np.uint64(8)) & np.uint64((1 << size) - 1)).astype(np.int64)]
                     at, h = at[kept], h[kept]
                     if len(at):
                         near = s.context(ids, at, starts[owner[at]], ends[owner[at]], -1)
@@ -188,11 +204,12 @@ def leaked(documents: DataFrame, items: DataFrame, window: int = 24, mismatches:
 
     Null ids, null and empty texts, and items or documents of fewer words than the window, give nothing; repeated rows give one pair; extra
     columns are never read. The items' seeds are broadcast if a count finds at most ``max_rows``; beyond, both sides shuffle by
-    hash, the documents' side salted, so that a stock phrase in a third of all texts is spread over tasks.
+    hash, and a stock phrase in a third of all texts is split over tasks.
     """
     seeds = cut(item_seeds(items, window, mismatches))
-    packed = bitmaps(seeds)
-    hits = document_hits(documents, packed, window, mismatches)
+    hits = document_hits(documents, bitmaps(seeds), window, mismatches)
+    if not is_small(seeds, max_rows):
+        hits = stored(hits, "hits")
     both = join_sized(hits, seeds, ["hash"], "inner", salt_by=["doc_id"], max_rows=max_rows)
     return both.where(_verifier(window, mismatches)("near", "around")).select("doc_id", "item_id").distinct()
 
