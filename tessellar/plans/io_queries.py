@@ -66,6 +66,14 @@ def result_tables(spark: SparkSession, d: str) -> DataFrame:
     return r.select("path", F.coalesce("exit_value", F.lit(-99)).alias("exit_value"), F.coalesce("timeout", F.lit(False)).alias("timeout"), F.length(plain).alias("n_chars"), "stderr_length").distinct()
 
 
+@query("SELECT count(*) AS n FROM tool_runs WHERE path IS NOT NULL")
+def csv_rows_counted(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of a CSV file whose fields hold line ends."""
+    path = _place(spark, "counted") + ".csv"
+    K.write_by_name(table(spark, d, "tool_runs").where("path IS NOT NULL"), path)
+    return spark.createDataFrame([(S.csv_rows(spark, path),)], "n bigint")
+
+
 @query("SELECT count(DISTINCT regexp_extract(trim(url), '^\\S+')) AS n FROM cc_urls WHERE truncated <> '' AND trim(url) <> ''")
 def url_lists(spark: SparkSession, d: str) -> DataFrame:
     """URLs of truncated captures as a list of lines; first tokens read back."""

@@ -57,6 +57,41 @@ def test_client_retries():
     assert C.request(down, "x", b"", sleep=waits.append, clock=lambda: next(clock))[0] == "NO_RESPONSE_IO_EXCEPTION"
 
 
+def test_put():
+    import io
+    import urllib.error
+
+    asked = []
+
+    class Answer(io.BytesIO):
+        status = 200
+
+    def opener(request, timeout):
+        asked.append((request.method, request.data, request.headers["Content-disposition"], timeout))
+        if request.data == b"bad":
+            raise urllib.error.HTTPError("u", 422, "no", {}, None)
+        return Answer(b'[{"k": ["v"]}]')
+
+    send = C.put_json("http://x.invalid/parse", 9, opener=opener)
+    assert C.once(send, "a b.pdf", b"1") == ("RESPONSE_SUCCESS", [{"k": ["v"]}]) and asked[0] == ("PUT", b"1", "attachment; filename*=UTF-8''a%20b.pdf", 9)
+    assert send("x", b"bad") == (422, None)
+    assert C.once(C.put_json("http://x.invalid/", opener=lambda r, timeout: Answer(b"{")), "x", b"") == ("RESPONSE_BAD_ENTITY", None)
+
+
+def test_requests_of_a_load_test_run_at_once(spark):
+    import threading
+    import time
+
+    def send(name, content):
+        n = sum(t.name.startswith("ThreadPool") for t in threading.enumerate())
+        time.sleep(0.2)
+        return 200, [{"at_once": [str(n >= 4)]}]
+
+    files = spark.createDataFrame([("a", bytearray(b"1"))], "path string, content binary")
+    began = time.monotonic()
+    assert C.load_test(files, send, 8, ["at_once"], 8).first().differing == 0 and time.monotonic() - began < 8
+
+
 def test_remote_and_load(spark):
     files = spark.createDataFrame([("a", bytearray(b"1")), ("b", bytearray(b"2"))], "path string, content binary")
     send = lambda n, c: (200, [{"n": [n], "time": [str(id(c))]}]) if n == "a" else (415, None)
