@@ -119,7 +119,7 @@ def estimate(states: DataFrame, by: Sequence[str]) -> DataFrame:
 def exact(rows: DataFrame, groups: Mapping[str, Column], fields: Mapping[str, Column], sets: Sequence[Sequence[str]], own: Mapping[str, Sequence[Sequence[str]]] | None = None) -> DataFrame:
     """(groups..., field, n_exact): exact distinct counts of the unions in ``sets``, by which estimates are judged; every identifier is shuffled."""
     ids = F.explode(F.array(*(F.struct(F.lit(f).alias("field"), c.cast("string").alias("id")) for f, c in fields.items())))
-    flat = rows.select(*(c.alias(g) for g, c in groups.items()), ids.alias("__v")).where("__v.id IS NOT NULL").select(*groups, "__v.field", "__v.id").distinct()
+    flat = rows.select(*(c.alias(g) for g, c in groups.items()), ids.alias("__v")).where("__v.id IS NOT NULL").select(*groups, "__v.field", "__v.id")
     listed = lambda sets: F.array(*(F.struct(*((F.col(g) if g in s else F.lit(None).cast(flat.schema[g].dataType)).alias(g) for g in groups)) for s in sets))
     each = listed(sets)
     for field, other in (own or {}).items():

@@ -239,3 +239,15 @@ def test_every_month_is_an_epoch(spark, tmp_path):
     save([("f", '{"defaultInclude": true, "defaultProbability": 0.1}')], "filter_name string, filter_json string", "record_filters")
     save([(f"http://a/{i}", 1, 1, 200, datetime(1800 + i // 12, 1 + i % 12, 1)) for i in range(2500)], "url string, mime int, detected_mime int, status int, loaded_at timestamp_ntz", "cc_urls")
     assert Q._strata(spark, str(tmp_path))[2] == [1800 * 12 + i for i in range(2500)]
+
+
+def test_undated_captures_are_apart_from_the_union_over_days(spark, tmp_path):
+    save = lambda rows, schema, name: spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    save([(1, ".COM"), (2, None)], "id int, tld string", "cc_hosts")
+    save([(1, "a/b")], "id int, name string", "cc_mimes")
+    save([(datetime(2025, 1, 1), 1, 1, "sha1:AA"), (None, 1, 1, "bb"), (None, 2, None, "BB"), (None, None, 1, None)], "captured_at timestamp_ntz, host int, mime int, digest string", "cc_urls")
+    got = {(r.day, r.tld, r.mime, r.field): round(r.n_distinct) for r in Q.p4_distinct(spark, str(tmp_path)).collect()}
+    assert got[None, None, None, "digest"] == 2 and got["(none)", None, None, "digest"] == 1 and got["2025-01-01", None, None, "digest"] == 1
+    assert got[None, "com", None, "host"] == 1 and got[None, "(none)", None, "host"] == 1 and got["(none)", None, None, "tld"] == 1
+    bounds = {(r.grouped_by, r.field): (r.n_groups, r.n_identifiers, r.within) for r in Q.p4_bounds(spark, str(tmp_path)).collect()}
+    assert bounds["", "digest"] == (1, 2, True) and bounds["day", "digest"] == (2, 2, True) and all(x[2] for x in bounds.values())
