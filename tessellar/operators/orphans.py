@@ -14,10 +14,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessellar.common import BROADCAST_ROWS, cut, is_small, join_sized
+from tessellar.common import BROADCAST_BYTES, BROADCAST_ROWS, cut, is_small, join_sized
 
 #: A key's children of one day are judged in parts of about so many rows.
 HOT_ROWS = 200_000
+#: What is known is written anew after so many rounds, so that plans stay short.
+ROUNDS_A_CUT = 8
 
 
 @dataclass(frozen=True)
@@ -114,36 +116,38 @@ def find_orphans(sources: Mapping[str, Source], references: Sequence[Reference],
     frontier = cut(direct.distinct())
     known = frontier.select("src_table", "row_key", "period").distinct()
     found_all = [known.withColumn("kind", F.lit("direct"))]
+    keys = _all_keys(references)
+    size = F.sum(F.aggregate("__keys", F.lit(0), lambda a, k: a + F.coalesce(F.octet_length(k), F.lit(0))) + 32)
     while True:
-        reached = {r["src_table"] for r in frontier.select("src_table").distinct().collect()}
+        reached = {r["src_table"]: r["rows"] <= BROADCAST_ROWS and r["bytes"] <= BROADCAST_BYTES for r in frontier.groupBy("src_table").agg(F.count(F.lit(1)).alias("rows"), size.alias("bytes")).collect()}
         edges = [r for r in references if r.parent in reached]
         if not edges:
             break
         nxt = None
         for r in edges:
             s, p = sources[r.child], sources[r.parent]
-            parents = frontier.where(F.col("src_table") == r.parent).select(F.col("__keys").getItem(_all_keys(references).index((r.parent, r.key))).alias("__key")).where("__key IS NOT NULL").distinct()
-            parents = cut(parents)
+            parents = frontier.where(F.col("src_table") == r.parent).select(F.col("__keys").getItem(keys.index((r.parent, r.key))).alias("__key")).where("__key IS NOT NULL").distinct()
+            few = reached[r.parent]
+            of_parents = lambda rows: rows.join(F.broadcast(parents), ["__key"], "left_semi") if few else join_sized(rows, parents, ["__key"], "left_semi", salt_by=["row_key"])
             named = lambda t: F.date_format(F.col(f"`{t.at}`"), "yyyy-MM") if t.at else F.lit(None).cast("string")
             moment = lambda c: F.col(f"`{c}`") if c else F.lit(None).cast("timestamp_ntz")
             rows = s.df.select(value(r.ref).cast("string").alias("__key"), s.row_key.cast("string").alias("row_key"), named(s).alias("period"), moment(s.at).alias("__t"), *(_carried(r.child, references, value)))
-            hit = join_sized(rows, parents, ["__key"], "left_semi", salt_by=["row_key"])
             own = p.df.select(value(r.key).cast("string").alias("__key"), p.row_key.cast("string").alias("row_key"), named(p).alias("period"), moment(r.since).alias("__since"), moment(r.until).alias("__until"))
-            own = join_sized(own, parents, ["__key"], "left_semi", salt_by=["row_key"])
             bad = known.where(F.col("src_table") == r.parent).select("row_key", "period")
-            sound = cut(own.alias("o").join(bad.alias("b"), F.col("o.row_key").eqNullSafe(F.col("b.row_key")) & F.col("o.period").eqNullSafe(F.col("b.period")), "left_anti"))
+            sound = cut(of_parents(own).alias("o").join(bad.alias("b"), F.col("o.row_key").eqNullSafe(F.col("b.row_key")) & F.col("o.period").eqNullSafe(F.col("b.period")), "left_anti"))
             if r.since:
-                hit = not_live(hit, sound)
+                hit = not_live(of_parents(rows), sound)
             else:
-                hit = join_sized(hit, sound.select("__key").distinct(), ["__key"], "left_anti", salt_by=["row_key"])
+                hit = join_sized(of_parents(rows), sound.select("__key").distinct(), ["__key"], "left_anti", salt_by=["row_key"])
             hit = hit.select(F.lit(r.child).alias("src_table"), "row_key", "period", _keys(r.child, references))
             nxt = hit if nxt is None else nxt.unionByName(hit)
         same = [nxt_c.eqNullSafe(k_c) for nxt_c, k_c in ((F.col(f"n.{c}"), F.col(f"k.{c}")) for c in ("src_table", "row_key", "period"))]
-        fresh = nxt.distinct().alias("n").join(known.alias("k"), same[0] & same[1] & same[2], "left_anti")
-        frontier = cut(fresh)
+        frontier = cut(nxt.distinct().alias("n").join(known.alias("k"), same[0] & same[1] & same[2], "left_anti"))
         new = frontier.select("src_table", "row_key", "period").distinct()
         found_all.append(new.withColumn("kind", F.lit("inherited")))
-        known = cut(known.unionByName(new))
+        known = known.unionByName(new)
+        if len(found_all) % ROUNDS_A_CUT == 0:
+            known = cut(known)
     out = found_all[0]
     for more in found_all[1:]:
         out = out.unionByName(more)

@@ -346,3 +346,25 @@ def parsed_files(spark: SparkSession, d: str) -> DataFrame:
     parts = FE.parse_files(files, lambda p, c: [{"part": ["first"]}, {"part": ["second"], "n": [str(len(c))]}])
     counted = parts.groupBy("path").agg(F.count(F.lit(1)).cast("int").alias("n_parts"), F.max(F.try_element_at("metadata", F.lit("n"))[0]).cast("bigint").alias("n"))
     return sizes.join(counted, "path").where("n = n_bytes").select("path", "n_bytes", "n_parts")
+
+
+@query("SELECT doc_id, CASE WHEN n_chars > 2000 THEN 'deleted' ELSE 'kept' END AS outcome FROM documents WHERE text IS NOT NULL AND n_chars IS NOT NULL")
+def extras_deleted(spark: SparkSession, d: str) -> DataFrame:
+    """Files of every text, of which those that a list lacks are deleted; what is left is read from the folder."""
+    folder = _place(spark, "mirror")
+    docs = table(spark, d, "documents").where("text IS NOT NULL AND n_chars IS NOT NULL").select("doc_id", "n_chars")
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for i in b["doc_id"]:
+                put(f"{folder}/{i}", b"x")
+            yield pd.DataFrame({"n": [len(b)]})
+
+    docs.mapInPandas(write, "n int").agg(F.sum("n")).collect()
+    there = S.walk(spark, folder).select(F.regexp_extract("path", r"/(\d+)$", 1).alias("key"))
+    wanted = docs.where("n_chars <= 2000").select(F.col("doc_id").cast("string").alias("key"))
+    extra = R.list_diff(there, wanted, there.limit(0)).where("reason = 'only_left'").select(F.col("key").alias("path"))
+    gone = K.delete_extras(extra, folder, sure=True).agg(F.count(F.lit(1)).alias("n")).first()["n"]
+    left = S.walk(spark, folder).select(F.regexp_extract("path", r"/(\d+)$", 1).cast("bigint").alias("doc_id"), F.lit("kept").alias("outcome"))
+    assert gone is not None
+    return docs.select("doc_id").join(left, "doc_id", "left").select("doc_id", F.coalesce("outcome", F.lit("deleted")).alias("outcome"))

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessellar.common import table
+from tessellar.common import scratch, table
 from tessellar.functions import digests as D
 from tessellar.functions.strings import store_text
 from tessellar.operators import object_graph as OG
@@ -245,3 +248,51 @@ def misnamed_texts(spark: SparkSession, d: str) -> DataFrame:
     path = F.concat(F.lit("a/b/"), F.when(F.col("doc_id") % 3 == 1, F.reverse(sha)).otherwise(sha))
     docs = table(spark, d, "documents").where("text IS NOT NULL")
     return docs.select("doc_id", D.misnamed(path, F.col("text").cast("binary")).alias("misnamed"), (sha == F.sha2(F.col("text").cast("binary"), 256)).alias("same"))
+
+
+#: Stands for a program: says its name, and writes to its output if it is given one.
+_STUB = """sh -c 'echo "run $0"; for x; do case "$x" in */out) echo "made by $0" > "$x";; esac; done' """
+_PROGRAMS = ", ".join(f"('{c.table}', '{c.template.split()[0]}', {str(c.prints).lower()}, {c.stdout_most})" for c in P.COMMANDS)
+
+
+@query(f"SELECT t.tool, f.filter_name AS path, 0 AS exit_value, false AS timeout, CASE WHEN t.prints THEN '' ELSE left('run ' || t.program || chr(10), t.most) END AS stdout FROM (VALUES {_PROGRAMS}) AS t(tool, program, prints, most), record_filters f")
+def commands_run(spark: SparkSession, d: str) -> DataFrame:
+    """The command of each tool over the small files of a table, with a stub in the place of its program."""
+    files = table(spark, d, "record_filters").select(F.col("filter_name").alias("path"), F.col("filter_json").cast("binary").alias("content"))
+    runs = [P.run_command(files, replace(c, template=_STUB + c.template)) for c in P.COMMANDS]
+    return reduce(DataFrame.unionByName, runs).select("tool", "path", "exit_value", "timeout", "stdout")
+
+
+@query(
+    "WITH n AS (SELECT doc_id, length(text) - length(replace(text, chr(12), '')) AS n FROM documents WHERE text IS NOT NULL) SELECT doc_id::varchar AS path, n::int AS n_pages, unnest(range(1, n + 1))::int AS page, 0 AS exit_value, false AS timeout FROM n "
+    "UNION ALL SELECT doc_id::varchar, NULL, NULL, 0, false FROM n WHERE n = 0"
+)
+def pages_split(spark: SparkSession, d: str) -> DataFrame:
+    """Every text split into as many pages as it has page breaks, by programs that count and split."""
+    files = table(spark, d, "documents").where("text IS NOT NULL").select(F.col("doc_id").cast("string").alias("path"), F.col("text").cast("binary").alias("content"))
+    count = P.Command("page_splitter_count", """sh -c 'tr -cd "\\f" < $0 | wc -c' {input}""")
+    split = P.Command("page_splitter", "sh -c 'echo $1 > $2' {input} {page} {output}", "pdf")
+    return P.split_pages(files, scratch(spark, "pages"), count, split)
+
+
+@query("SELECT doc_id::varchar AS path, 0 AS exit_value, false AS timeout, CASE WHEN text <> '' THEN sha256(text) END AS digest, text <> '' AS same FROM documents WHERE text IS NOT NULL")
+def extracted(spark: SparkSession, d: str) -> DataFrame:
+    """What a program takes out of every file, with its digest and itself packed and unpacked again."""
+    files = table(spark, d, "documents").where("text IS NOT NULL").select(F.col("doc_id").cast("string").alias("path"), F.col("text").cast("binary").alias("content"))
+    got = P.extract(files, P.Command("icc", "cat {input}", "icc", prints=True))
+    return got.select("path", "exit_value", "timeout", "digest", F.coalesce(F.sha2(D.unpack(F.col("packed")), 256) == F.col("digest"), F.lit(False)).alias("same"))
+
+
+_BASE32 = (
+    "list_aggregate(list_transform(range(4), lambda b: list_aggregate(list_transform(range(8), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', "
+    "(((('0x' || substr(h, (b * 10 + 1)::int, 10))::bigint >> (35 - 5 * k)) & 31) + 1)::int, 1)), 'string_agg', '')), 'string_agg', '')"
+)
+
+
+@query(f"SELECT doc_id, {_BASE32} AS digest, doc_id % 2 = 0 AS same FROM (SELECT doc_id, sha1(text) AS h FROM documents WHERE text IS NOT NULL)")
+def index_digests(spark: SparkSession, d: str) -> DataFrame:
+    """The digest of every text as crawl indexes write it, compared with one that is spelled otherwise, or another."""
+    content = F.col("text").cast("binary")
+    docs = table(spark, d, "documents").where("text IS NOT NULL").withColumn("digest", D.base32_sha1(content))
+    told = F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit(" sha1:"), F.lower("digest"))).otherwise(F.concat(F.lit("0"), F.substring("digest", 2, 31)))
+    return docs.select("doc_id", "digest", D.same_digest(content, told).alias("same"))
