@@ -16,7 +16,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessellar.common import cut, join_sized
+from tessellar.common import BROADCAST_ROWS, cut, join_sized
 
 #: A boundary bin, the only one whose keys are ranked, holds about so many keys.
 BIN_KEYS = 20_000
@@ -24,6 +24,8 @@ BIN_KEYS = 20_000
 MOST_BITS = 20
 #: Hash bounds of so many strata are handed to a scan; with more strata it reads all, and the join with the bins decides alone.
 MOST_BOUNDS = 200
+#: What the epochs have added to each bin is summed up anew after so many, so that plans stay short.
+EPOCHS_A_CUT = 8
 SCHEMA = SCHEMA_OF_KEYS = "stratum int, key string, priority bigint, epoch int"
 
 
@@ -81,9 +83,12 @@ def extend(keys: DataFrame, bins: DataFrame, bits: int, ledger: DataFrame, epoch
     is wanted in part are ranked; equal hashes go by key.
     """
     in_bin = F.shiftrightunsigned("priority", 63 - bits)
-    in_bins = lambda rows, which: join_sized(rows.withColumn("bin", in_bin), which, ["stratum", "bin"], "inner", salt_by=["key"])
+    sizes = bins.groupBy("stratum", "all_new").agg(F.count(F.lit(1)).alias("n"), F.min("bin").alias("lo"), F.max("bin").alias("hi")).collect()
+    few = sum(r["n"] for r in sizes) <= BROADCAST_ROWS
+    on = ["stratum", "bin"]
+    in_bins = lambda rows, which: rows.withColumn("bin", in_bin).join(F.broadcast(which), on) if few else join_sized(rows.withColumn("bin", in_bin), which, on, "inner", salt_by=["key"])
     fresh = in_bins(keys.where(F.col("epoch") == epoch), bins.where("all_new"))
-    ends = bins.where("NOT all_new").groupBy("stratum").agg(F.min("bin").alias("lo"), F.max("bin").alias("hi")).collect()
+    ends = [r for r in sizes if not r["all_new"]]
     if ends:
         inside = lambda r: F.col("priority").between(r["lo"] << (63 - bits), (r["hi"] + 1 << (63 - bits)) - 1)
         near = reduce(or_, ((F.col("stratum") == r["stratum"]) & inside(r) for r in ends)) if len(ends) <= MOST_BOUNDS else F.lit(True)
@@ -131,7 +136,9 @@ def grow(keys: DataFrame, rates: Mapping[int, float], path: str, epochs: list[in
         extend(keys, bins, bits, ledger(e) if old else read(added), e).write.mode("overwrite").parquet(part)
         added.append(part)
         more = bins.select("stratum", "bin", F.least("wanted", "free").alias("n"))
-        grown = cut(grown.unionByName(more).groupBy("stratum", "bin").agg(F.sum("n").alias("n")))
+        grown = grown.unionByName(more)
+        if len(added) % EPOCHS_A_CUT == 0:
+            grown = cut(grown.groupBy("stratum", "bin").agg(F.sum("n").alias("n")))
 
     if old:
         add(last, f"{path}/part-epoch-{last:06d}-{len(old):04d}", True)
