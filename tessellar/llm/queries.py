@@ -23,17 +23,24 @@ MOST_FILTERS = 1000
 
 
 _GROUPS = ["day", "tld", "mime"]
+#: Stands for the day of captures without one until results are labelled; no capture is of that day.
+_UNDATED = "DATE '0001-01-01'"
+
+
+def _label_days(rows: DataFrame) -> DataFrame:
+    """Days as yyyy-MM-dd, '(none)' for captures without one; null, as the union over all days, stays."""
+    return rows.withColumn("day", F.when(F.col("day") == F.expr(_UNDATED), S.NONE).otherwise(F.date_format("day", "yyyy-MM-dd")))
 
 
 def _captures(spark: SparkSession, d: str) -> tuple[DataFrame, dict, dict]:
-    """Captures with their host's tld and mime's name, and the groups and identifiers to count; a day, tld or mime that is not known is '(none)'."""
+    """Captures with their host's tld and mime's name, and the groups and identifiers to count; a tld or mime that is not known is '(none)', a day _UNDATED."""
     urls = table(spark, d, "cc_urls").select("captured_at", "host", "mime", "digest")
     hosts = table(spark, d, "cc_hosts").where("id IS NOT NULL").groupBy(F.col("id").alias("host")).agg(F.min("tld").alias("tld"))
     mimes = table(spark, d, "cc_mimes").where("id IS NOT NULL").groupBy(F.col("id").alias("mime")).agg(F.min("name").alias("mime_name"))
     rows = join_sized(urls, hosts, ["host"], "left", salt_by=["digest", "captured_at"])
     rows = join_sized(rows, mimes, ["mime"], "left", salt_by=["digest", "captured_at"])
     tld = S.tidy_label(F.col("tld"))
-    groups = {"day": S.tidy_label(F.date_format("captured_at", "yyyy-MM-dd")), "tld": tld, "mime": S.tidy_label(F.col("mime_name"))}
+    groups = {"day": F.coalesce(F.to_date("captured_at"), F.expr(_UNDATED)), "tld": tld, "mime": S.tidy_label(F.col("mime_name"))}
     return rows, groups, {"digest": S.tidy_digest(F.col("digest")), "host": F.col("host"), "tld": F.when(tld != S.NONE, tld)}
 
 
@@ -48,7 +55,7 @@ def p4_distinct(spark: SparkSession, d: str) -> DataFrame:
     A null in day, tld or mime stands for the union over all its values; '(none)' for captures without one.
     """
     sets = [_GROUPS, ["day", "tld"], ["day", "mime"], ["tld", "mime"], ["day"], ["tld"], ["mime"], []]
-    return S.estimate(S.unions(_capture_states(spark, d), _GROUPS, sets, own={"tld": [["day"]]}), _GROUPS)
+    return _label_days(S.estimate(S.unions(_capture_states(spark, d), _GROUPS, sets, own={"tld": [["day"]]}), _GROUPS))
 
 
 def p4_bounds(spark: SparkSession, d: str) -> DataFrame:
@@ -71,7 +78,7 @@ def p4_bounds(spark: SparkSession, d: str) -> DataFrame:
 
 def p4_states(spark: SparkSession, d: str) -> DataFrame:
     """Size of the mergeable states per day: buckets in use and bits set."""
-    return _capture_states(spark, d).groupBy("day", "field").agg(F.count(F.lit(1)).alias("n_buckets"), F.sum(F.bit_count("bits")).alias("n_bits"))
+    return _label_days(_capture_states(spark, d).groupBy("day", "field").agg(F.count(F.lit(1)).alias("n_buckets"), F.sum(F.bit_count("bits")).alias("n_bits")))
 
 
 def _strata(spark: SparkSession, d: str, until: Column | None = None) -> tuple[DataFrame, list[tuple[str, float]], list[int], str]:
