@@ -165,10 +165,16 @@ def told(lines: list[str]) -> str | None:
         return None
 
 
+def _packed(ends: list[int]) -> bytes:
+    """Numbers of two bytes each, or of four if need be; the first byte says which."""
+    wide = bool(ends) and ends[-1] > 0xFFFF
+    return struct.pack(f">B{len(ends)}{'I' if wide else 'H'}", 4 if wide else 2, *ends)
+
+
 def line_rows(text: str, started: datetime | None, texts: bool = False) -> Iterator[list]:
     """(line_no, upto, sequence, values) of each line that might begin an entry; ``upto`` is the last non-blank line before the next such line.
 
-    ``texts`` adds where each token ends (numbers of four bytes), the line (a header's block of lines as one), the non-blank lines that follow it, and
+    ``texts`` adds where each token ends (packed), the line (a header's block of lines as one), the non-blank lines that follow it, and
     what a JSON entry has for message.
 
     A line that begins with white space, ``|`` or ``>`` never does. A line that is ``{`` alone takes the indented lines up to its
@@ -201,7 +207,7 @@ def line_rows(text: str, started: datetime | None, texts: bool = False) -> Itera
         toks, values, ends = tokens(x, started)
         held = [i + 1, j + 1, SEP.join(toks), values]
         if texts:
-            held += [struct.pack(f">{len(ends)}I", *ends), x, "", told(lines[i : j + 1]) if x[0] == "{" else None]
+            held += [_packed(ends), x, "", told(lines[i : j + 1]) if x[0] == "{" else None]
         i = j + 1
     if held:
         yield held
@@ -568,13 +574,17 @@ def entries(runs: DataFrame, max_rows: int = BROADCAST_ROWS, messages: bool = Fa
     key = ["run_id", "version", "line_no"]
     if messages and is_small(meant, max_rows):
         lit = lines.drop("seq").join(F.broadcast(meant), ["id", "id2"], "left").select(*named, *texts).repartition("run_id")
+    elif messages:
+        # texts don't go through the join by sequence: what it finds is sorted in before the lines, and handed to them there
+        got = join_sized(lines.select(*key, "id", "id2"), meant, ["id", "id2"], "left", salt_by=["run_id", "line_no"], max_rows=max_rows)
+        got = got.select(*key, F.lit(0).alias("__own"), F.struct(*(c for c in meant.columns if c not in ("id", "id2"))).alias("__found"))
+        both = got.unionByName(lines.drop("seq", "id", "id2").withColumn("__own", F.lit(1)), allowMissingColumns=True).repartition("run_id")
+        pairs = Window.partitionBy("run_id", "version").orderBy("line_no", "__own")
+        both = both.withColumns({"__prev": F.lag("__own").over(pairs), "__got": F.lag("__found").over(pairs)}).where("__own = 1 AND __prev = 0")
+        lit = both.select("*", "__got.*").select(*named, *texts)
     else:
-        narrow = lines.select(*_LINES, "id", "id2").drop("seq")
-        lit = join_sized(narrow, meant, ["id", "id2"], "left", salt_by=["run_id", "line_no"], max_rows=max_rows).select(*named, *(["message_at"] if messages else []))
+        lit = join_sized(lines.select(*_LINES, "id", "id2").drop("seq"), meant, ["id", "id2"], "left", salt_by=["run_id", "line_no"], max_rows=max_rows).select(*named)
         lit = lit.repartition("run_id")  # the one shuffle of the fields: all windows and groups below are within a run
-        if messages:  # and one of the texts, which don't go through the join by sequence
-            own = lines.select(*key, "line", "more", "told", "ends").repartition("run_id").dropDuplicates(key)
-            lit = lit.dropDuplicates(key).join(own, key).select("*", texts[0]).drop("message_at", "told", "ends")
     w = Window.partitionBy("run_id", "version").orderBy("line_no")
     lit = lit.withColumn("__again", F.lag("line_no").over(w).eqNullSafe(F.col("line_no"))).where("NOT __again")
     lit = lit.withColumn("goes_on", F.lag("opens", 1, False).over(w) & F.col("level_alone") & (F.lag("upto").over(w) + 1 == F.col("line_no")))
@@ -601,7 +611,8 @@ def entries(runs: DataFrame, max_rows: int = BROADCAST_ROWS, messages: bool = Fa
 
 def _message() -> Column:
     """What a header line says: of a JSON entry its message value, else what follows the header, without the quote that a quoted value ends with."""
-    start = F.when(F.col("message_at") > 0, F.conv(F.hex(F.expr("substring(ends, 4 * message_at - 3, 4)")), 16, 10).cast("int")).otherwise(0)
+    wide = F.expr("substring(ends, 1, 1) = X'04'")
+    start = F.when(F.col("message_at") > 0, F.conv(F.hex(F.when(wide, F.expr("substring(ends, 4 * message_at - 2, 4)")).otherwise(F.expr("substring(ends, 2 * message_at, 2)"))), 16, 10).cast("int")).otherwise(0)
     rest = F.btrim(F.substring(F.col("line"), start + 1, F.length("line")), F.lit(" \t\r\f\x0b\xa0"))
     quoted = (start > 0) & (F.substring(F.col("line"), start, 1) == '"') & ~F.col("line").startswith('"')
     return F.coalesce("told", F.when(quoted, F.regexp_replace(rest, r'"\s*\}?$', "")).otherwise(rest))

@@ -101,3 +101,11 @@ def test_message_goes_on_in_the_next_line_and_beyond_entries(spark):
 @pytest.mark.parametrize("kind,raw,want", [("iso", "2025-02-30 00:00:00", ""), ("iso", "2025-01-01T00:30:00+0200", "2024-12-31 22:30:00"), ("long", "Jan 1, 2025 12:05:00 AM", "2025-01-01 00:05:00"), ("clf", "01/Feb/2025:10:00:00 -0130", "2025-02-01 11:30:00")])
 def test_to_utc(kind, raw, want):
     assert G.to_utc(kind, raw, AT) == want
+
+
+def test_messages_of_very_long_lines(spark):
+    text = "2025-01-01 00:00:00 INFO a.b - " + "word " * 20_000 + "\n" + "x=1 " * 20_000 + 'level=warn msg="late"\nerror: short'
+    df = spark.createDataFrame([(1, AT, text, "t", "c"), (1, AT, text, "t", "c")], SCHEMA).repartition(2)
+    for most in (0, 1000):
+        got = [(r.line_no, r.log_level, len(r.message), r.message[-5:]) for r in G.entries(df, max_rows=most, messages=True).orderBy("line_no").collect()]
+        assert [g[:2] for g in got] == [(1, "INFO"), (2, "WARN"), (3, "ERROR")] and got[0][3] == " word" and got[1][2:] == (4, "late") and got[2][2:] == (5, "short")
